@@ -34,6 +34,10 @@ def denormalise(mean: Column, dev: Column, bounds: RatingScale = RatingScale())
 
 
 def rounded(value: Column, places: int) -> Column:
-    """Round without ever producing negative zero; NULL stays NULL."""
-    r = F.round(value, places)
-    return F.when(r == 0, F.lit(0.0)).otherwise(r)
+    """Round half up by plain floating-point steps: floor(x * 10^p + 0.5) / 10^p.
+
+    Unlike ``round`` it does not go through a decimal per row, gives the same double
+    in numpy and in other SQL engines, and never yields negative zero.
+    """
+    unit = F.lit(float(10 ** places))
+    return F.floor(value * unit + F.lit(0.5)).cast("double") / unit

@@ -31,19 +31,26 @@ def item_deviations(devs: DataFrame) -> DataFrame:
     )
 
 
-def user_profiles(ratings: DataFrame, bounds: RatingScale = RatingScale()) -> DataFrame:
+def user_profiles(
+    ratings: DataFrame, bounds: RatingScale = RatingScale(), means: DataFrame | None = None
+) -> DataFrame:
     """Mean, rating count and L2 norm of the deviations per user.
 
-    Works on the histogram (user, rating value, count).  It is built map-side, so
+    The mean is that of ``ratings`` unless ``means`` (user_id, user_mean) says
+    otherwise; users without one are left out.  Works on the histogram (user, rating value, count).  It is built map-side, so
     a user with a third of all rows is shuffled as a handful of rating values, and
     the window below only ever sees those.
     """
     histogram = ratings.groupBy("user_id", "rating").agg(F.count(F.lit(1)).alias("c"))
     user = Window.partitionBy("user_id")
-    centred = histogram.withColumn(
-        "user_mean",
-        F.sum(F.col("rating") * F.col("c")).over(user) / F.sum("c").over(user),
-    ).withColumn("dev", deviation(F.col("rating"), F.col("user_mean"), bounds))
+    if means is None:
+        centred = histogram.withColumn(
+            "user_mean",
+            F.sum(F.col("rating") * F.col("c")).over(user) / F.sum("c").over(user),
+        )
+    else:
+        centred = histogram.join(means.select("user_id", "user_mean"), "user_id")
+    centred = centred.withColumn("dev", deviation(F.col("rating"), F.col("user_mean"), bounds))
     return centred.groupBy("user_id").agg(
         F.max("user_mean").alias("user_mean"),
         F.sum("c").alias("n_rated"),

@@ -49,8 +49,8 @@ def rating_stats(ratings: DataFrame, within: float = 0.5) -> DataFrame:
     centre = global_mean(ratings)
     users = mean_spread(user_means(ratings), "user_mean", centre, within)
     items = mean_spread(item_means(ratings), "item_mean", centre, within)
-    return users.select(F.lit("user").alias("grouping"), centre.alias("global_mean"), "*").unionByName(
-        items.select(F.lit("item").alias("grouping"), centre.alias("global_mean"), "*")
+    return users.select(F.lit("user").alias("grouped_by"), centre.alias("global_mean"), "*").unionByName(
+        items.select(F.lit("item").alias("grouped_by"), centre.alias("global_mean"), "*")
     )
 
 

@@ -105,7 +105,8 @@ def similarity_table(left: Block, right: Block, metric: str):
     else:
         union = left.sizes[:, None] + right.sizes[None, :] - shared
         table = np.divide(shared, union, out=np.zeros(shape), where=union > 0)
-    return np.round(table, SIMILARITY_PLACES), mask
+    unit = 10.0 ** SIMILARITY_PLACES  # the same steps as functions.rounded
+    return np.floor(table * unit + 0.5) / unit, mask
 
 
 def open_tile(rows: pd.DataFrame, metric: str):

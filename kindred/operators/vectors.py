@@ -41,6 +41,7 @@ def flagged_vectors(
     ratings: DataFrame,
     settings: FitSettings = FitSettings(),
     bounds: RatingScale = RatingScale(),
+    means: DataFrame | None = None,
 ) -> DataFrame:
     """Processed deviations with the ``hot`` and ``tiled`` flags.
 
@@ -58,7 +59,7 @@ def flagged_vectors(
         .distinct()
     )
     profiles = (
-        user_profiles(ratings, bounds)
+        user_profiles(ratings, bounds, means)
         .join(hot_raters, "user_id", "left")
         .withColumn(
             "tiled",
@@ -80,10 +81,14 @@ def fit(
     ratings: DataFrame,
     settings: FitSettings = FitSettings(),
     bounds: RatingScale = RatingScale(),
+    means: DataFrame | None = None,
 ) -> Fitted:
     """Compute and stage the vectors of ``ratings``.
 
+    ``means`` replaces the user means of ``ratings`` by given ones: deviations of
+    held-out rows around training means, for example.
+
     They are read three to five times by the plans built on them; staging them
     keeps the ratings' own joins and aggregates from being planned and run again.
     """
-    return Fitted(stage(flagged_vectors(ratings, settings, bounds), "vectors"), settings, bounds)
+    return Fitted(stage(flagged_vectors(ratings, settings, bounds, means), "vectors"), settings, bounds)

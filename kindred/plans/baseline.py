@@ -28,17 +28,23 @@ def predict_item_mean(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def predict_baseline(
-    train: DataFrame, test: DataFrame, bounds: RatingScale = RatingScale(), cold_items: str = "user_mean"
+    train: DataFrame,
+    test: DataFrame,
+    bounds: RatingScale = RatingScale(),
+    cold_items: str = "user_mean",
+    deviations_from: DataFrame | None = None,
 ) -> DataFrame:
     """User mean shifted by the item's mean deviation.
 
     ``cold_items="user_mean"`` predicts an item unseen in training by the user mean;
-    ``"drop"`` leaves such rows out.
+    ``"drop"`` leaves such rows out.  Item deviations come from ``train`` unless
+    ``deviations_from`` names other rows; user means always come from ``train``.
     """
     if cold_items not in ("user_mean", "drop"):
         raise ValueError(f"unknown cold_items {cold_items!r}")
     means = user_means(train).select("user_id", "user_mean")
-    item_dev = item_deviations(deviations(train, means, bounds)).select("item_id", "item_dev")
+    rows = train if deviations_from is None else deviations_from
+    item_dev = item_deviations(deviations(rows, means, bounds)).select("item_id", "item_dev")
     how = "left" if cold_items == "user_mean" else "inner"
     return (
         test.join(means, "user_id")
