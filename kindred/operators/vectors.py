@@ -45,25 +45,28 @@ def flagged_vectors(
 ) -> DataFrame:
     """Processed deviations with the ``hot`` and ``tiled`` flags.
 
-    The list of hot items has at most (rows / hot_item_ratings) entries.
+    The list of hot items has at most (rows / hot_item_ratings) entries.  ``ratings``
+    is read by several branches; all of them use all three of its columns, so that
+    Spark sees one identical shuffle under them and runs whatever produces the
+    ratings once.
     """
     hot_items = (
         ratings.groupBy("item_id")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count("rating").alias("n"))
         .where(F.col("n") > settings.hot_item_ratings)
         .select("item_id", F.lit(True).alias("hot"))
     )
     hot_raters = (
         ratings.join(hot_items, "item_id", "left_semi")
-        .select("user_id", F.lit(True).alias("rated_hot"))
-        .distinct()
+        .groupBy("user_id")
+        .agg((F.count("rating") > 0).alias("rated_hot"))
     )
     profiles = (
         user_profiles(ratings, bounds, means)
         .join(hot_raters, "user_id", "left")
         .withColumn(
             "tiled",
-            F.col("rated_hot").isNotNull() & (F.col("n_rated") <= settings.tiled_user_ratings),
+            F.coalesce("rated_hot", F.lit(False)) & (F.col("n_rated") <= settings.tiled_user_ratings),
         )
         .drop("rated_hot")
     )
