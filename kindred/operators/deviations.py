@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import deviation
+from kindred.operators.joins import join_per_key
 from kindred.schema import RatingScale
 
 
@@ -17,7 +18,7 @@ def deviations(
     ``means`` may come from another frame than ``ratings``: deviations of held-out
     rows against training means are a valid call.
     """
-    joined = ratings.join(means.select("user_id", "user_mean"), "user_id")
+    joined = join_per_key(ratings, means.select("user_id", "user_mean"), "user_id", "item_id")
     return joined.select(
         "user_id", "item_id", "rating", "user_mean",
         deviation(F.col("rating"), F.col("user_mean"), bounds).alias("dev"),
@@ -62,6 +63,7 @@ def processed_deviations(
     ratings: DataFrame, profiles: DataFrame, bounds: RatingScale = RatingScale()
 ) -> DataFrame:
     """Deviations with their L2-normalised form; NULL for a user of norm zero."""
-    return ratings.join(profiles, "user_id").withColumn(
+    joined = join_per_key(ratings, profiles, "user_id", "item_id")
+    return joined.withColumn(
         "dev", deviation(F.col("rating"), F.col("user_mean"), bounds)
     ).withColumn("pdev", F.try_divide(F.col("dev"), F.col("norm"))).drop("norm")

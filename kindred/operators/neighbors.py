@@ -10,6 +10,9 @@ from kindred.operators import pairs, tiles
 from kindred.operators.vectors import Fitted
 from kindred.schema import SIMILARITY_PLACES
 
+# Ranges of similarity over which the ranking of a very long list is divided.
+SIMILARITY_RANGES = 256
+
 
 def rank_edges(edges: DataFrame, k: int | None = None) -> DataFrame:
     """Rank each user's neighbours by similarity, ties by smaller neighbour id.
@@ -22,18 +25,42 @@ def rank_edges(edges: DataFrame, k: int | None = None) -> DataFrame:
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
+def rank_long_lists(edges: DataFrame) -> DataFrame:
+    """Rank all neighbours where one user may have too many to sort in one task.
+
+    Similarities are divided into ranges; the rank is the position inside the range
+    plus the number of neighbours in the user's higher ranges.
+    """
+    ranged = edges.withColumn("range", F.floor(F.col("similarity") * SIMILARITY_RANGES))
+    higher = (
+        Window.partitionBy("user_id").orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = (
+        ranged.groupBy("user_id", "range")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .select("user_id", "range", F.coalesce(F.sum("c").over(higher), F.lit(0)).alias("ahead"))
+    )
+    inside = Window.partitionBy("user_id", "range").orderBy(F.desc("similarity"), F.asc("neighbor_id"))
+    return (
+        ranged.withColumn("at", F.row_number().over(inside))
+        .join(offsets, ["user_id", "range"])
+        .select("user_id", "neighbor_id", "similarity", (F.col("at") + F.col("ahead")).alias("rank"))
+    )
+
+
 def top_k(fitted: Fitted, k: int | None, metric: str = pairs.COSINE) -> DataFrame:
     """user_id, neighbor_id, similarity, rank for the k most similar co-raters.
 
     ``k=None`` ranks all of them.
     """
-    rows = pairs.usable(fitted.vectors, metric)
-    joined = pairs.mirror(pairs.joined_pairs(fitted, metric))
     if k is None:
-        tiled = pairs.mirror(tiles.tile_pairs(rows, fitted.settings, metric))
-    else:
-        tiled = tiles.tile_top_k(rows, fitted.settings, metric, k)
-    return rank_edges(joined.unionByName(tiled), k)
+        edges = pairs.mirror(pairs.similarity_pairs(fitted, metric))
+        return rank_long_lists(edges) if fitted.long_groups else rank_edges(edges)
+    edges = pairs.mirror(pairs.joined_pairs(fitted, metric))
+    if fitted.hot_items is not None:
+        rows = pairs.usable(fitted.vectors, metric)
+        edges = edges.unionByName(tiles.tile_top_k(rows, fitted.settings, metric, k))
+    return rank_edges(edges, k)
 
 
 def top_k_of(fitted: Fitted, targets: DataFrame, k: int) -> DataFrame:

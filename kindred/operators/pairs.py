@@ -53,13 +53,17 @@ def joined_pairs(fitted: Fitted, metric: str) -> DataFrame:
         "item_id", F.col("user_id").alias("a"), F.col("tiled").alias("a_tiled"),
         F.col("weight").alias("a_weight"), F.col("n_rated").alias("a_n"),
     )
-    right = rows.where(~F.col("tiled")).select(
+    right = rows if fitted.hot_items is None else rows.where(~F.col("tiled"))
+    right = right.select(
         "item_id", F.col("user_id").alias("b"),
         F.col("weight").alias("b_weight"), F.col("n_rated").alias("b_n"),
     )
+    once = F.col("a") < F.col("b")
+    if fitted.hot_items is not None:
+        once = F.col("a_tiled") | once
     return (
         left.join(right, "item_id")
-        .where(F.col("a_tiled") | (F.col("a") < F.col("b")))
+        .where(once)
         .select(
             F.least("a", "b").alias("user_id"),
             F.greatest("a", "b").alias("neighbor_id"),
@@ -74,9 +78,11 @@ def joined_pairs(fitted: Fitted, metric: str) -> DataFrame:
 def similarity_pairs(fitted: Fitted, metric: str = COSINE) -> DataFrame:
     """All co-rating pairs, user_id < neighbor_id.  The result itself is one row per
     pair; operators that need less of it have their own entry points below."""
-    rows = usable(fitted.vectors, metric)
-    return joined_pairs(fitted, metric).unionByName(
-        tiles.tile_pairs(rows, fitted.settings, metric)
+    joined = joined_pairs(fitted, metric)
+    if fitted.hot_items is None:
+        return joined
+    return joined.unionByName(
+        tiles.tile_pairs(usable(fitted.vectors, metric), fitted.settings, metric)
     )
 
 
@@ -95,8 +101,7 @@ def pair_stats(fitted: Fitted, metric: str) -> DataFrame:
     """One row about all pairs: how many share an item, how many have a non-zero
     similarity, and sum, sum of squares, minimum and maximum of the similarity.
     Tiles contribute one partial row each, never their pairs."""
-    rows = usable(fitted.vectors, metric)
-    joined = joined_pairs(fitted, metric).agg(
+    stats = joined_pairs(fitted, metric).agg(
         F.count(F.lit(1)).alias("shared"),
         F.count_if(F.col("similarity") != 0).alias("nonzero"),
         F.sum("similarity").alias("total"),
@@ -104,11 +109,11 @@ def pair_stats(fitted: Fitted, metric: str) -> DataFrame:
         F.min("similarity").alias("low"),
         F.max("similarity").alias("high"),
     )
-    return (
-        joined.unionByName(tiles.tile_stats(rows, fitted.settings, metric))
-        .agg(
-            F.sum("shared").alias("shared"), F.sum("nonzero").alias("nonzero"),
-            F.sum("total").alias("total"), F.sum("squares").alias("squares"),
-            F.min("low").alias("low"), F.max("high").alias("high"),
-        )
+    if fitted.hot_items is None:
+        return stats
+    tiled = tiles.tile_stats(usable(fitted.vectors, metric), fitted.settings, metric)
+    return stats.unionByName(tiled).agg(
+        F.sum("shared").alias("shared"), F.sum("nonzero").alias("nonzero"),
+        F.sum("total").alias("total"), F.sum("squares").alias("squares"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindred.operators.joins import join_per_key
+
 
 def global_mean(ratings: DataFrame) -> Column:
     """Mean rating as a scalar subquery: computed once, inlined as a literal."""
@@ -55,7 +57,11 @@ def rating_stats(ratings: DataFrame, within: float = 0.5) -> DataFrame:
 
 
 def item_sets(ratings: DataFrame) -> DataFrame:
-    """Each user's items as a sorted array: an output form, not used in computation."""
-    return ratings.groupBy("user_id").agg(
-        F.sort_array(F.collect_set("item_id")).alias("items")
-    )
+    """Each user's set of items in long form, with its size.
+
+    One row per member: an array per user would put a user's whole history into one
+    row, however long it is.
+    """
+    members = ratings.select("user_id", "item_id").distinct()
+    sizes = members.groupBy("user_id").agg(F.count(F.lit(1)).alias("set_size"))
+    return join_per_key(members, sizes, "user_id", "item_id")

@@ -137,13 +137,18 @@ def tile_pairs(rows: DataFrame, settings: FitSettings, metric: str) -> DataFrame
 
 
 def best_of_rows(users, others, table, mask, k: int) -> pd.DataFrame:
-    """Per row the k highest similarities; equal ones by smaller id (columns are sorted)."""
+    """Per row the k highest similarities, equal ones by smaller id."""
     score = np.where(mask, table, -np.inf)
-    order = np.argsort(-score, axis=1, kind="stable")[:, :k]
-    best = np.take_along_axis(score, order, axis=1)
-    row, at = np.nonzero(best > -np.inf)
+    if k < score.shape[1]:
+        least = -np.partition(-score, k - 1, axis=1)[:, k - 1 : k]
+        mask = mask & (score >= least)  # ties with the k-th are still in
+    row, at = np.nonzero(mask)
+    order = np.lexsort((others[at], -score[row, at], row))
+    row, at = row[order], at[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    row, at = row[rank < k], at[rank < k]
     return pd.DataFrame({
-        "user_id": users[row], "neighbor_id": others[order[row, at]], "similarity": best[row, at],
+        "user_id": users[row], "neighbor_id": others[at], "similarity": score[row, at],
     })
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,73 +11,42 @@ from kindred.operators.deviations import processed_deviations, user_profiles
 from kindred.schema import FitSettings, RatingScale
 from kindred.sources.staging import stage
 
+# A list of ids up to this long (16 MB of keys) may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Fitted:
     """User vectors of a training frame, staged once.
 
-    ``vectors``: user_id, item_id, rating, user_mean, n_rated, dev, pdev, plus
+    ``vectors``   user_id, item_id, rating, user_mean, n_rated, dev, pdev, tiled, hot
+    ``users``     user_id, user_mean, n_rated, norm, tiled: one row per user
+    ``hot_items`` item_id of the hot items, or None if there are none
+
+    * hot: the item has too many raters to join them with each other;
+    * tiled: the user rated a hot item, so pairs of tiled users are compared in
+      tiles.  Two users who are not both tiled share no hot item, except with a user
+      whose own rating count is over ``tiled_user_ratings``; of those there can be
+      only few.
 
-    * ``hot``    the item has too many raters to join them with each other;
-    * ``tiled``  the user rated a hot item, so pairs of tiled users are compared
-      in tiles.  Two users who are not both tiled share no hot item, except with a
-      user whose own rating count is over ``tiled_user_ratings``; of those there
-      can be only few.
+    ``long_groups`` tells whether a user's or a cell's list of partners can be longer
+    than the settings allow in one sorted group.
     """
 
     vectors: DataFrame
-    settings: FitSettings = field(default_factory=FitSettings)
-    bounds: RatingScale = field(default_factory=RatingScale)
-
-    def users(self) -> DataFrame:
-        """user_id, user_mean, n_rated, tiled: one row per user."""
-        return self.vectors.select("user_id", "user_mean", "n_rated", "tiled").distinct()
+    users: DataFrame
+    hot_items: DataFrame | None
+    long_groups: bool
+    settings: FitSettings
+    bounds: RatingScale
 
-    def hot_items(self) -> DataFrame:
-        return self.vectors.where("hot").select("item_id").distinct()
-
-
-def flagged_vectors(
-    ratings: DataFrame,
-    settings: FitSettings = FitSettings(),
-    bounds: RatingScale = RatingScale(),
-    means: DataFrame | None = None,
-) -> DataFrame:
-    """Processed deviations with the ``hot`` and ``tiled`` flags.
 
-    The list of hot items has at most (rows / hot_item_ratings) entries.  ``ratings``
-    is read by several branches; all of them use all three of its columns, so that
-    Spark sees one identical shuffle under them and runs whatever produces the
-    ratings once.
-    """
-    hot_items = (
-        ratings.groupBy("item_id")
-        .agg(F.count("rating").alias("n"))
-        .where(F.col("n") > settings.hot_item_ratings)
-        .select("item_id", F.lit(True).alias("hot"))
-    )
-    hot_raters = (
-        ratings.join(hot_items, "item_id", "left_semi")
-        .groupBy("user_id")
-        .agg((F.count("rating") > 0).alias("rated_hot"))
-    )
-    profiles = (
-        user_profiles(ratings, bounds, means)
-        .join(hot_raters, "user_id", "left")
-        .withColumn(
-            "tiled",
-            F.coalesce("rated_hot", F.lit(False)) & (F.col("n_rated") <= settings.tiled_user_ratings),
-        )
-        .drop("rated_hot")
-    )
-    return (
-        processed_deviations(ratings, profiles, bounds)
-        .join(hot_items, "item_id", "left")
-        .select(
-            "user_id", "item_id", "rating", "user_mean", "n_rated", "dev", "pdev", "tiled",
-            F.col("hot").isNotNull().alias("hot"),
-        )
-    )
+def flag_hot(rows: DataFrame, hot_items: DataFrame, count: int) -> DataFrame:
+    """Add ``hot``; the list is broadcast only if its counted length allows it."""
+    marked = hot_items.withColumn("hot", F.lit(True))
+    if count <= BROADCAST_ROWS:
+        marked = F.broadcast(marked)
+    return rows.join(marked, "item_id", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
 
 
 def fit(
@@ -91,7 +60,41 @@ def fit(
     ``means`` replaces the user means of ``ratings`` by given ones: deviations of
     held-out rows around training means, for example.
 
-    They are read three to five times by the plans built on them; staging them
-    keeps the ratings' own joins and aggregates from being planned and run again.
+    The ratings are staged first, because they are read several times and whatever
+    joins and aggregates produce them should run once.  Counting the hot items then
+    tells which branches later plans need at all.
     """
-    return Fitted(stage(flagged_vectors(ratings, settings, bounds, means), "vectors"), settings, bounds)
+    ratings = stage(ratings.select("user_id", "item_id", "rating"), "ratings")
+    hot_items = stage(
+        ratings.groupBy("item_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > settings.hot_item_ratings)
+        .select("item_id"),
+        "hot-items",
+    )
+    hot_count = hot_items.count()
+
+    users = user_profiles(ratings, bounds, means)
+    if hot_count:
+        rated_hot = (
+            flag_hot(ratings, hot_items, hot_count)
+            .where("hot").select("user_id", F.lit(True).alias("rated_hot")).distinct()
+        )
+        short_enough = F.col("n_rated") <= settings.tiled_user_ratings
+        users = users.join(rated_hot, "user_id", "left").withColumn(
+            "tiled", F.col("rated_hot").isNotNull() & short_enough
+        ).drop("rated_hot")
+    else:
+        users = users.withColumn("tiled", F.lit(False))
+    users = stage(users, "users")
+    long_lists = not users.where(F.col("n_rated") > settings.tiled_user_ratings).isEmpty()
+
+    vectors = processed_deviations(ratings, users, bounds)
+    if hot_count:
+        vectors = flag_hot(vectors, hot_items, hot_count)
+    else:
+        vectors = vectors.withColumn("hot", F.lit(False))
+    return Fitted(
+        stage(vectors, "vectors"), users, hot_items if hot_count else None,
+        bool(hot_count) or long_lists, settings, bounds,
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import denormalise
 from kindred.operators import pairs, tiles
+from kindred.operators.joins import join_per_key
 from kindred.operators.vectors import Fitted
 from kindred.schema import RatingScale
 
@@ -22,12 +23,12 @@ def neighbor_terms(wanted: DataFrame, edges: DataFrame, fitted: Fitted) -> DataF
     """
     cells = wanted.select("user_id", "item_id").distinct()
     raters = fitted.vectors.select("item_id", F.col("user_id").alias("neighbor_id"), "dev", "hot")
-    by_item = (
-        cells.join(raters.where(~F.col("hot")).drop("hot"), "item_id")
-        .join(edges, ["user_id", "neighbor_id"])
-    )
+    light = raters.drop("hot") if fitted.hot_items is None else raters.where(~F.col("hot")).drop("hot")
+    by_item = cells.join(light, "item_id").join(edges, ["user_id", "neighbor_id"])
+    if fitted.hot_items is None:
+        return by_item
     by_neighbor = (
-        cells.join(fitted.hot_items(), "item_id", "left_semi")
+        cells.join(fitted.hot_items, "item_id", "left_semi")
         .join(edges, "user_id")
         .join(raters.where("hot").drop("hot"), ["neighbor_id", "item_id"])
     )
@@ -77,9 +78,11 @@ def all_neighbor_sums(wanted: DataFrame, fitted: Fitted, metric: str) -> DataFra
         .groupBy("user_id", "item_id")
         .agg(num.alias("num"), den.alias("den"))
     )
+    if fitted.hot_items is None:
+        return joined
     tiled = tiles.tile_sums(
         pairs.usable(fitted.vectors, metric), fitted.settings, metric,
-        cells.join(fitted.users().select("user_id", "tiled"), "user_id"),
+        join_per_key(cells, fitted.users.select("user_id", "tiled"), "user_id", "item_id"),
     )
     return (
         joined.unionByName(tiled)
@@ -119,7 +122,7 @@ def predict(
 ) -> DataFrame:
     """Predictions for rows (user_id, item_id, ...) whose user has a mean."""
     return (
-        pairs_wanted.join(fitted.users().select("user_id", "user_mean"), "user_id")
+        with_user_means(pairs_wanted, fitted)
         .join(sums, ["user_id", "item_id"], "left")
         .withColumn(
             "prediction",
@@ -129,3 +132,8 @@ def predict(
         )
         .drop("num", "den")
     )
+
+
+def with_user_means(cells: DataFrame, fitted: Fitted) -> DataFrame:
+    """Rows (user_id, item_id, ...) of fitted users with the user's mean."""
+    return join_per_key(cells, fitted.users.select("user_id", "user_mean"), "user_id", "item_id")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import denormalise
 from kindred.operators.deviations import deviations, item_deviations
+from kindred.operators.joins import join_per_key
 from kindred.operators.stats import global_mean, item_means, user_means
 from kindred.schema import RatingScale
 
@@ -16,15 +17,13 @@ def predict_global(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def predict_user_mean(train: DataFrame, test: DataFrame) -> DataFrame:
-    return test.join(
-        user_means(train).select("user_id", F.col("user_mean").alias("prediction")), "user_id"
-    )
+    means = user_means(train).select("user_id", F.col("user_mean").alias("prediction"))
+    return join_per_key(test, means, "user_id", "item_id")
 
 
 def predict_item_mean(train: DataFrame, test: DataFrame) -> DataFrame:
-    return test.join(
-        item_means(train).select("item_id", F.col("item_mean").alias("prediction")), "item_id"
-    )
+    means = item_means(train).select("item_id", F.col("item_mean").alias("prediction"))
+    return join_per_key(test, means, "item_id", "user_id")
 
 
 def predict_baseline(
@@ -46,11 +45,8 @@ def predict_baseline(
     rows = train if deviations_from is None else deviations_from
     item_dev = item_deviations(deviations(rows, means, bounds)).select("item_id", "item_dev")
     how = "left" if cold_items == "user_mean" else "inner"
-    return (
-        test.join(means, "user_id")
-        .join(item_dev, "item_id", how)
-        .withColumn(
-            "prediction",
-            denormalise(F.col("user_mean"), F.coalesce("item_dev", F.lit(0.0)), bounds),
-        )
+    with_means = join_per_key(test, means, "user_id", "item_id")
+    return join_per_key(with_means, item_dev, "item_id", "user_id", how).withColumn(
+        "prediction",
+        denormalise(F.col("user_mean"), F.coalesce("item_dev", F.lit(0.0)), bounds),
     )

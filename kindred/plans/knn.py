@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.operators import pairs
@@ -11,7 +11,7 @@ from kindred.operators.neighbors import top_k
 from kindred.operators.vectors import Fitted
 from kindred.operators.weighting import (
     all_neighbor_sums, full_table_sums, knn_sums, knn_sums_for_ks, neighbor_terms, predict,
-    weighted_prediction,
+    weighted_prediction, with_user_means,
 )
 from kindred.schema import SWEEP_KS
 
@@ -34,9 +34,8 @@ def predict_knn(
 def predict_table(fitted: Fitted, k: int, metric: str = pairs.COSINE) -> DataFrame:
     """Predictions for all cells with a usable neighbour among the k nearest."""
     sums = full_table_sums(top_k(fitted, k, metric), fitted)
-    means = fitted.users().select("user_id", "user_mean")
     return (
-        sums.join(means, "user_id")
+        with_user_means(sums, fitted)
         .select(
             "user_id", "item_id",
             weighted_prediction(
@@ -68,7 +67,7 @@ def knn_sweep(
         for k in ks
     ]))
     predicted = (
-        test.join(fitted.users().select("user_id", "user_mean"), "user_id")
+        with_user_means(test, fitted)
         .join(sums, ["user_id", "item_id"], "left")
         .select("rating", per_k.alias("p"))
         .select("rating", "p.k", "p.prediction")
@@ -105,28 +104,25 @@ def mae_by_k(
     ranges of k first, so that no task sees all of them.
     """
     ranked = top_k(fitted, None, metric).select("user_id", "neighbor_id", "similarity", "rank")
-    known = test.join(fitted.users().select("user_id", "user_mean"), "user_id")
-    cell = Window.partitionBy("user_id", "item_id").orderBy("rank")
-    s, dev = F.col("similarity"), F.col("dev")
-    running = neighbor_terms(test, ranked, fitted).select(
-        "user_id", "item_id", "rank",
-        F.sum(s * dev).over(cell.rowsBetween(Window.unboundedPreceding, 0)).alias("num"),
-        F.sum(F.abs(s)).over(cell.rowsBetween(Window.unboundedPreceding, 0)).alias("den"),
+    known = with_user_means(test, fitted)
+    terms = neighbor_terms(test, ranked, fitted).select(
+        "user_id", "item_id", F.col("rank").cast("bigint").alias("k"),
+        (F.col("similarity") * F.col("dev")).alias("num"), F.abs("similarity").alias("den"),
     )
-    steps = known.join(running, ["user_id", "item_id"]).select(
-        "user_id", "item_id", "rank",
-        F.abs(F.col("rating") - weighted_prediction(
-            F.col("num"), F.col("den"), F.col("user_mean"), fitted.bounds, fallback
-        )).alias("error"),
-        (F.abs(F.col("rating") - F.col("user_mean")) if fallback == "user_mean"
-         else F.lit(None).cast("double")).alias("start"),
+    steps = running_totals(terms, ["user_id", "item_id"], ["num", "den"], fitted.long_groups)
+
+    def error(num: str, den: str) -> Column:
+        return F.abs(F.col("rating") - weighted_prediction(
+            F.col(num), F.col(den), F.col("user_mean"), fitted.bounds, fallback
+        ))
+
+    changed = known.join(steps, ["user_id", "item_id"]).select(
+        "k", error("num", "den").alias("after"), error("num_before", "den_before").alias("before")
     )
-    # Before the first neighbour the row has its starting error (or none).
-    before = F.coalesce(F.lag("error").over(cell), F.col("start"))
-    bookings = steps.select(
-        F.col("rank").cast("bigint").alias("k"),
-        (F.coalesce("error", F.lit(0.0)) - F.coalesce(before, F.lit(0.0))).alias("error"),
-        (F.col("error").isNotNull().cast("bigint") - before.isNotNull().cast("bigint")).alias("n"),
+    bookings = changed.select(
+        "k",
+        (F.coalesce("after", F.lit(0.0)) - F.coalesce("before", F.lit(0.0))).alias("error"),
+        (F.col("after").isNotNull().cast("bigint") - F.col("before").isNotNull().cast("bigint")).alias("n"),
     )
     if fallback == "user_mean":
         base = known.agg(
@@ -136,34 +132,40 @@ def mae_by_k(
         )
         bookings = bookings.unionByName(base)
     changes = bookings.groupBy("k").agg(F.sum("error").alias("error"), F.sum("n").alias("n"))
-    return _running_totals(changes).select(
+    return running_totals(changes, [], ["error", "n"], True).select(
         "k", "n", F.try_divide(F.col("error"), F.col("n")).alias("mae")
     )
 
 
-def _running_totals(changes: DataFrame) -> DataFrame:
-    """Running sums of ``error`` and ``n`` over k, by ranges of k."""
-    ranged = changes.withColumn("range", F.floor(F.col("k") / K_RANGE))
-    inside = Window.partitionBy("range").orderBy("k")
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("range")
-        .agg(F.sum("error").alias("e"), F.sum("n").alias("c"))
-        .select(
-            "range",
-            F.coalesce(F.sum("e").over(before), F.lit(0.0)).alias("error_before"),
-            F.coalesce(F.sum("c").over(before), F.lit(0)).alias("n_before"),
-        )
+def running_totals(
+    rows: DataFrame, keys: list[str], columns: list[str], in_ranges: bool
+) -> DataFrame:
+    """Sums of ``columns`` over k, up to each row and (``_before``) up to the row before.
+
+    ``in_ranges`` forms them in ranges of k first, so that no task sees all rows of a
+    key; the totals of whole ranges are few.
+    """
+    if in_ranges:
+        rows = rows.withColumn("range", F.floor(F.col("k") / K_RANGE))
+    group = [*keys, "range"] if in_ranges else keys
+    inside = Window.partitionBy(*group).orderBy("k")
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.select(
+        *group, "k",
+        *[F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(c) for c in columns],
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in columns],
     )
-    return (
-        ranged.withColumn("error", F.sum("error").over(inside))
-        .withColumn("n", F.sum("n").over(inside))
-        .join(offsets, "range")
-        .select(
-            "k",
-            (F.col("error") + F.col("error_before")).alias("error"),
-            (F.col("n") + F.col("n_before")).alias("n"),
-        )
+    if not in_ranges:
+        return totals
+    ranges = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*group).agg(*[F.sum(c).alias(c) for c in columns]).select(
+        *group,
+        *[F.coalesce(F.sum(c).over(ranges), F.lit(0)).alias(f"{c}_offset") for c in columns],
+    )
+    return totals.join(offsets, group).select(
+        *keys, "k",
+        *[(F.col(c) + F.col(f"{c}_offset")).alias(c) for c in columns],
+        *[(F.col(f"{c}_before") + F.col(f"{c}_offset")).alias(f"{c}_before") for c in columns],
     )
 
 

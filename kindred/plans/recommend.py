@@ -10,7 +10,7 @@ from kindred.operators.deviations import deviations, item_deviations
 from kindred.operators.neighbors import top_k, top_k_of
 from kindred.operators.stats import user_means
 from kindred.operators.vectors import Fitted
-from kindred.operators.weighting import full_table_sums, weighted_prediction
+from kindred.operators.weighting import full_table_sums, weighted_prediction, with_user_means
 from kindred.schema import RatingScale
 
 # Predictions are compared after rounding, so that the last bits of a sum do not
@@ -86,8 +86,7 @@ def recommend_popular(
 
 
 def _knn_scores(neighbors: DataFrame, fitted: Fitted) -> DataFrame:
-    means = fitted.users().select("user_id", "user_mean")
-    scored = full_table_sums(neighbors, fitted).join(means, "user_id").select(
+    scored = with_user_means(full_table_sums(neighbors, fitted), fitted).select(
         "user_id", "item_id",
         rounded(
             weighted_prediction(

@@ -21,7 +21,7 @@ def overlap_stats(fitted: Fitted) -> DataFrame:
 
     Pairs without a shared item count as overlap 0; they are counted, not formed.
     """
-    users = fitted.users().agg(F.count(F.lit(1))).scalar()
+    users = fitted.users.agg(F.count(F.lit(1))).scalar()
     pair_count = F.col("users") * (F.col("users") - 1) / 2
     average = F.try_divide(F.col("total"), F.col("pairs"))
     return (
@@ -40,7 +40,7 @@ def overlap_stats(fitted: Fitted) -> DataFrame:
 
 def storage(fitted: Fitted) -> DataFrame:
     """Pairs to compare, and bytes to store all or only non-zero similarities at 8 each."""
-    users = fitted.users().agg(F.count(F.lit(1))).scalar()
+    users = fitted.users.agg(F.count(F.lit(1))).scalar()
     return (
         pairs.pair_stats(fitted, pairs.COSINE)
         .withColumn("users", users)

@@ -297,8 +297,7 @@ SELECT grouped_by, groups, ratio_close, all_close FROM (
 SELECT item_id, {rnd('m', 6)} AS item_mean, n,
   {rnd('n / (SELECT max(n) FROM im)', 6)} AS share_of_max FROM im"""),
     "user_item_sets": with_(RATINGS, select="""
-SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items
-FROM ratings GROUP BY 1"""),
+SELECT user_id, item_id, count(*) OVER (PARTITION BY user_id) AS set_size FROM ratings"""),
     "mae_global": with_(SPLIT, GLOBAL, select=mae("global", "gp")),
     "mae_user": with_(SPLIT, USER, select=mae("user", "up")),
     "mae_item": with_(SPLIT, ITEM, select=mae("item", "ip")),

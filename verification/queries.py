@@ -154,8 +154,7 @@ def q_item_popularity(spark, d):
 
 
 def q_user_item_sets(spark, d):
-    sets = item_sets(_ratings(spark, d))
-    return sets.select("user_id", F.array_join("items", ",").alias("items"))
+    return item_sets(_ratings(spark, d))
 
 
 # --- mean predictors ---------------------------------------------------------
