@@ -54,6 +54,7 @@ def fit(
     settings: FitSettings = FitSettings(),
     bounds: RatingScale = RatingScale(),
     means: DataFrame | None = None,
+    stored: bool = False,
 ) -> Fitted:
     """Compute and stage the vectors of ``ratings``.
 
@@ -61,10 +62,13 @@ def fit(
     held-out rows around training means, for example.
 
     The ratings are staged first, because they are read several times and whatever
-    joins and aggregates produce them should run once.  Counting the hot items then
-    tells which branches later plans need at all.
+    joins and aggregates produce them should run once; ``stored=True`` says that they
+    are a scan of a stored table already.  Counting the hot items then tells which
+    branches later plans need at all.
     """
-    ratings = stage(ratings.select("user_id", "item_id", "rating"), "ratings")
+    ratings = ratings.select("user_id", "item_id", "rating")
+    if not stored:
+        ratings = stage(ratings, "ratings")
     hot_items = stage(
         ratings.groupBy("item_id")
         .agg(F.count(F.lit(1)).alias("n"))

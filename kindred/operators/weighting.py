@@ -13,7 +13,7 @@ from kindred.schema import RatingScale
 
 
 def neighbor_terms(wanted: DataFrame, edges: DataFrame, fitted: Fitted) -> DataFrame:
-    """One row per wanted cell (u, i) and neighbour v of u that rated i.
+    """One row per wanted row (u, i) and neighbour v of u that rated i.
 
     For an item with few raters the raters are looked up first and then matched
     with the edges; for a hot item the edges come first and the raters are matched
@@ -21,7 +21,7 @@ def neighbor_terms(wanted: DataFrame, edges: DataFrame, fitted: Fitted) -> DataF
     min(raters, hot_item_ratings) or (number of edges of its user) candidates.
     Columns of ``edges`` beyond user_id and neighbor_id are carried along.
     """
-    cells = wanted.select("user_id", "item_id").distinct()
+    cells = wanted.select("user_id", "item_id")
     raters = fitted.vectors.select("item_id", F.col("user_id").alias("neighbor_id"), "dev", "hot")
     light = raters.drop("hot") if fitted.hot_items is None else raters.where(~F.col("hot")).drop("hot")
     by_item = cells.join(light, "item_id").join(edges, ["user_id", "neighbor_id"])
@@ -43,7 +43,11 @@ def _sums(when: Column | None = None) -> tuple[Column, Column]:
 
 
 def knn_sums(wanted: DataFrame, neighbors: DataFrame, fitted: Fitted) -> DataFrame:
-    """Weighted sums of wanted cells over the given neighbours."""
+    """Weighted sums of wanted cells over the given neighbours.
+
+    A cell asked for twice has both sums doubled, which leaves their quotient alone;
+    so the wanted rows need no shuffle to make them distinct.
+    """
     num, den = _sums()
     terms = neighbor_terms(wanted, neighbors.select("user_id", "neighbor_id", "similarity"), fitted)
     return terms.groupBy("user_id", "item_id").agg(num.alias("num"), den.alias("den"))
@@ -70,7 +74,7 @@ def all_neighbor_sums(wanted: DataFrame, fitted: Fitted, metric: str) -> DataFra
     Pairs of tiled users are weighted inside their tile and leave it as partial
     sums; the others go through the pair join.
     """
-    cells = wanted.select("user_id", "item_id").distinct()
+    cells = wanted.select("user_id", "item_id")
     edges = pairs.mirror(pairs.joined_pairs(fitted, metric))
     num, den = _sums()
     joined = (

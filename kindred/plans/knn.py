@@ -105,7 +105,8 @@ def mae_by_k(
     """
     ranked = top_k(fitted, None, metric).select("user_id", "neighbor_id", "similarity", "rank")
     known = with_user_means(test, fitted)
-    terms = neighbor_terms(test, ranked, fitted).select(
+    cells = test.select("user_id", "item_id").distinct()
+    terms = neighbor_terms(cells, ranked, fitted).select(
         "user_id", "item_id", F.col("rank").cast("bigint").alias("k"),
         (F.col("similarity") * F.col("dev")).alias("num"), F.abs("similarity").alias("den"),
     )

@@ -35,7 +35,7 @@ from kindred.sources import (
     item_titles, personal_from_parts, personal_ratings, ratings_from_sales, read_personal,
     read_ratings, train_test, write_json,
 )
-from kindred.sources.staging import checkpoint_folder
+from kindred.sources.staging import checkpoint_folder, stage
 
 PERSONAL_USER = -1
 NEIGHBORS = 10
@@ -51,20 +51,27 @@ def neat(df: DataFrame, **places: int) -> DataFrame:
 
 
 def _ratings(spark: SparkSession, d: str) -> DataFrame:
-    return ratings_from_sales(spark, d)
+    """The ratings, staged: most queries read them several times, and the join of the
+    two fact tables under them should run once."""
+    return stage(ratings_from_sales(spark, d), "ratings")
 
 
 def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return train_test(_ratings(spark, d))
 
 
+def _seen(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Test rows whose item occurs in train."""
+    return test.join(train.select("item_id").distinct(), "item_id", "left_semi")
+
+
 def _personal(spark: SparkSession, d: str) -> DataFrame:
     return personal_ratings(personal_from_parts(spark, d), PERSONAL_USER)
 
 
 def _fitted(spark: SparkSession, d: str) -> tuple[Fitted, DataFrame]:
     train, test = _split(spark, d)
-    return fit(train), test
+    return fit(train, stored=True), test
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -86,7 +93,7 @@ def ratings_from_text(spark, d):
     """Ratings written as text with a two-character separator and read back."""
     path = _scratch(spark, "ratings-text")
     line = F.concat_ws(" :: ", "user_id", "item_id", "rating", F.lit("0"))
-    _ratings(spark, d).select(line.alias("value")).write.text(path)
+    ratings_from_sales(spark, d).select(line.alias("value")).write.text(path)
     return neat(read_ratings(spark, path, sep="::"), rating=6)
 
 
@@ -107,7 +114,7 @@ def metrics_json(spark, d):
 
 
 def ratings_with_personal(spark, d):
-    together = _ratings(spark, d).unionByName(_personal(spark, d))
+    together = ratings_from_sales(spark, d).unionByName(_personal(spark, d))
     return neat(user_means(together), user_mean=6)
 
 
@@ -127,7 +134,7 @@ def q_rating_stats(spark, d):
 
 
 def q_user_means(spark, d):
-    return neat(user_means(_ratings(spark, d)), user_mean=6)
+    return neat(user_means(ratings_from_sales(spark, d)), user_mean=6)
 
 
 def q_user_mean_stats(spark, d):
@@ -182,7 +189,7 @@ def q_absolute_errors(spark, d):
 def q_mae_baseline_on_test_deviations(spark, d):
     """Item deviations taken from the test rows themselves, around training means."""
     train, test = _split(spark, d)
-    seen = test.join(train.select("item_id").distinct(), "item_id", "left_semi")
+    seen = _seen(train, test)
     return _metrics(
         mae(predict_baseline(train, seen, cold_items="drop", deviations_from=seen), "baseline")
     )
@@ -279,8 +286,8 @@ def q_mae_knn_covered(spark, d):
 
 def _fit_on_test(spark, d) -> tuple[Fitted, DataFrame]:
     train, test = _split(spark, d)
-    seen = test.join(train.select("item_id").distinct(), "item_id", "left_semi")
-    return fit(seen, means=user_means(train)), seen
+    seen = stage(_seen(train, test), "seen")
+    return fit(seen, means=user_means(train), stored=True), seen
 
 
 def q_mae_cosine_on_test_deviations(spark, d):
@@ -312,9 +319,9 @@ def q_mae_by_k(spark, d):
 def q_lowest_k(spark, d):
     """Smallest k that beats the baseline, with deviations from train or from test rows."""
     train, test = _split(spark, d)
-    fitted = fit(train)
-    seen = test.join(train.select("item_id").distinct(), "item_id", "left_semi")
-    on_test = fit(seen, means=user_means(train))
+    fitted = fit(train, stored=True)
+    seen = stage(_seen(train, test), "seen")
+    on_test = fit(seen, means=user_means(train), stored=True)
     train_fit = lowest_k(mae_by_k(fitted, test), mae(predict_baseline(train, test), "baseline"))
     test_fit = lowest_k(
         mae_by_k(on_test, seen, fallback="drop"),
@@ -370,7 +377,7 @@ def q_recommend_knn_all(spark, d):
 
 def q_model_comparison(spark, d):
     train, test = _split(spark, d)
-    report = model_comparison(train, test, fit(train), (EVALUATED_K,))
+    report = model_comparison(train, test, fit(train, stored=True), (EVALUATED_K,))
     return neat(report, mae=6, mae_minus_reference=6)
 
 
