@@ -12,13 +12,14 @@ SALTS = 4
 
 
 def join_per_key(
-    facts: DataFrame, per_key: DataFrame, key: str, spread_by: str, how: str = "inner"
+    facts: DataFrame, per_key: DataFrame, key: str | list[str], spread_by: str, how: str = "inner"
 ) -> DataFrame:
-    """Join ``facts`` with a table of one row per ``key``.
+    """Join ``facts`` with a table of one row per ``key`` (a column or several).
 
     Rows of one key are divided by a hash of ``spread_by``; the per-key row is
     repeated for each division.  ``how`` is inner or left.
     """
     salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
     repeated = per_key.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return facts.withColumn("salt", salt).join(repeated, [key, "salt"], how).drop("salt")
+    keys = [key] if isinstance(key, str) else key
+    return facts.withColumn("salt", salt).join(repeated, [*keys, "salt"], how).drop("salt")

@@ -18,7 +18,8 @@ def rank_edges(edges: DataFrame, k: int | None = None) -> DataFrame:
     """Rank each user's neighbours by similarity, ties by smaller neighbour id.
 
     With ``k`` the limit is applied inside every partition before the shuffle
-    (WindowGroupLimit), so at most k rows per user and partition travel.
+    (WindowGroupLimit), so at most k rows per user and partition travel.  Edges that
+    are partitioned by user already are not shuffled again.
     """
     best_first = Window.partitionBy("user_id").orderBy(F.desc("similarity"), F.asc("neighbor_id"))
     ranked = edges.withColumn("rank", F.row_number().over(best_first))
@@ -53,10 +54,9 @@ def top_k(fitted: Fitted, k: int | None, metric: str = pairs.COSINE) -> DataFram
 
     ``k=None`` ranks all of them.
     """
-    if k is None:
-        edges = pairs.mirror(pairs.similarity_pairs(fitted, metric))
-        return rank_long_lists(edges) if fitted.long_groups else rank_edges(edges)
-    edges = pairs.mirror(pairs.joined_pairs(fitted, metric))
+    if k is None and fitted.long_groups:
+        return rank_long_lists(pairs.mirror(pairs.similarity_pairs(fitted, metric)))
+    edges = pairs.joined_edges(fitted, metric)
     if fitted.hot_items is not None:
         rows = pairs.usable(fitted.vectors, metric)
         edges = edges.unionByName(tiles.tile_top_k(rows, fitted.settings, metric, k))

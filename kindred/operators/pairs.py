@@ -41,12 +41,11 @@ def similarity_of(metric: str, size: Column) -> Column:
     return rounded(F.coalesce(F.try_divide(shared, union), F.lit(0.0)), SIMILARITY_PLACES)
 
 
-def joined_pairs(fitted: Fitted, metric: str) -> DataFrame:
-    """Pairs of which at least one user is not tiled, as user_id < neighbor_id.
+def _products(fitted: Fitted, metric: str) -> DataFrame:
+    """Joined pairs (a, b) once per shared item, in both directions if both are untiled.
 
-    The right side holds untiled users only, so a hot item brings all its raters
-    on the left but next to none on the right.  Taking one direction per pair
-    halves the join output and the rows of the aggregate.
+    The right side holds untiled users only, so a hot item brings all its raters on
+    the left but next to none on the right.
     """
     rows = usable(fitted.vectors, metric)
     left = rows.select(
@@ -58,21 +57,51 @@ def joined_pairs(fitted: Fitted, metric: str) -> DataFrame:
         "item_id", F.col("user_id").alias("b"),
         F.col("weight").alias("b_weight"), F.col("n_rated").alias("b_n"),
     )
+    return (
+        left.join(right, "item_id")
+        .withColumn("product", F.col("a_weight") * F.col("b_weight"))
+        .withColumn("size", F.col("a_n") + F.col("b_n"))
+    )
+
+
+def _similarities(products: DataFrame, metric: str) -> DataFrame:
+    return products.groupBy("user_id", "neighbor_id").agg(
+        similarity_of(metric, F.col("size")).alias("similarity")
+    )
+
+
+def joined_pairs(fitted: Fitted, metric: str) -> DataFrame:
+    """Pairs of which at least one user is not tiled, as user_id < neighbor_id.
+
+    Taking one direction per pair halves the join output and the aggregate.
+    """
     once = F.col("a") < F.col("b")
     if fitted.hot_items is not None:
         once = F.col("a_tiled") | once
-    return (
-        left.join(right, "item_id")
-        .where(once)
-        .select(
-            F.least("a", "b").alias("user_id"),
-            F.greatest("a", "b").alias("neighbor_id"),
-            (F.col("a_weight") * F.col("b_weight")).alias("product"),
-            (F.col("a_n") + F.col("b_n")).alias("size"),
-        )
-        .groupBy("user_id", "neighbor_id")
-        .agg(similarity_of(metric, F.col("size")).alias("similarity"))
+    products = _products(fitted, metric).where(once)
+    return _similarities(
+        products.select(
+            F.least("a", "b").alias("user_id"), F.greatest("a", "b").alias("neighbor_id"),
+            "product", "size",
+        ),
+        metric,
+    )
+
+
+def joined_edges(fitted: Fitted, metric: str) -> DataFrame:
+    """The same pairs in both directions, ready to be ranked per user.
+
+    As long as every list is short, both directions are joined and shuffled once, by
+    user, and need no other shuffle to be summed and ranked.  With long lists, one
+    user's products are too many for one task: then single pairs are summed, spread
+    by pair, and mirrored.
+    """
+    if fitted.long_groups:
+        return mirror(joined_pairs(fitted, metric))
+    products = _products(fitted, metric).where(F.col("a") != F.col("b")).select(
+        F.col("a").alias("user_id"), F.col("b").alias("neighbor_id"), "product", "size"
     )
+    return _similarities(products.repartition("user_id"), metric)
 
 
 def similarity_pairs(fitted: Fitted, metric: str = COSINE) -> DataFrame:

@@ -12,6 +12,14 @@ from kindred.operators.vectors import Fitted
 from kindred.schema import RatingScale
 
 
+def raters(fitted: Fitted, hot: bool | None = None) -> DataFrame:
+    """item_id, neighbor_id, dev of all ratings, or of hot / other items only."""
+    rows = fitted.vectors
+    if hot is not None and fitted.hot_items is not None:
+        rows = rows.where(F.col("hot") if hot else ~F.col("hot"))
+    return rows.select("item_id", F.col("user_id").alias("neighbor_id"), "dev")
+
+
 def neighbor_terms(wanted: DataFrame, edges: DataFrame, fitted: Fitted) -> DataFrame:
     """One row per wanted row (u, i) and neighbour v of u that rated i.
 
@@ -22,17 +30,41 @@ def neighbor_terms(wanted: DataFrame, edges: DataFrame, fitted: Fitted) -> DataF
     Columns of ``edges`` beyond user_id and neighbor_id are carried along.
     """
     cells = wanted.select("user_id", "item_id")
-    raters = fitted.vectors.select("item_id", F.col("user_id").alias("neighbor_id"), "dev", "hot")
-    light = raters.drop("hot") if fitted.hot_items is None else raters.where(~F.col("hot")).drop("hot")
-    by_item = cells.join(light, "item_id").join(edges, ["user_id", "neighbor_id"])
+    by_item = cells.join(raters(fitted, hot=False), "item_id").join(edges, ["user_id", "neighbor_id"])
     if fitted.hot_items is None:
         return by_item
-    by_neighbor = (
+    return by_item.unionByName(_hot_item_terms(cells, edges, fitted))
+
+
+def _hot_item_terms(cells: DataFrame, edges: DataFrame, fitted: Fitted) -> DataFrame:
+    return (
         cells.join(fitted.hot_items, "item_id", "left_semi")
         .join(edges, "user_id")
-        .join(raters.where("hot").drop("hot"), ["neighbor_id", "item_id"])
+        .join(raters(fitted, hot=True), ["neighbor_id", "item_id"])
     )
-    return by_item.unionByName(by_neighbor)
+
+
+def co_rater_terms(wanted: DataFrame, fitted: Fitted, metric: str) -> DataFrame:
+    """The same over all joined pairs, without forming their second direction: a cell
+    and a rater look their pair up by its smaller and larger user."""
+    cells = wanted.select("user_id", "item_id")
+    joined = pairs.joined_pairs(fitted, metric)
+    ordered = joined.select(
+        F.col("user_id").alias("low"), F.col("neighbor_id").alias("high"), "similarity"
+    )
+    met = (
+        cells.join(raters(fitted, hot=False), "item_id")
+        .withColumn("low", F.least("user_id", "neighbor_id"))
+        .withColumn("high", F.greatest("user_id", "neighbor_id"))
+    )
+    if fitted.long_groups:
+        terms = join_per_key(met, ordered, ["low", "high"], "item_id")
+    else:
+        terms = met.join(ordered, ["low", "high"])
+    terms = terms.drop("low", "high")
+    if fitted.hot_items is None:
+        return terms
+    return terms.unionByName(_hot_item_terms(cells, pairs.mirror(joined), fitted))
 
 
 def _sums(when: Column | None = None) -> tuple[Column, Column]:
@@ -75,10 +107,9 @@ def all_neighbor_sums(wanted: DataFrame, fitted: Fitted, metric: str) -> DataFra
     sums; the others go through the pair join.
     """
     cells = wanted.select("user_id", "item_id")
-    edges = pairs.mirror(pairs.joined_pairs(fitted, metric))
     num, den = _sums()
     joined = (
-        neighbor_terms(cells, edges, fitted)
+        co_rater_terms(cells, fitted, metric)
         .groupBy("user_id", "item_id")
         .agg(num.alias("num"), den.alias("den"))
     )
@@ -98,10 +129,9 @@ def all_neighbor_sums(wanted: DataFrame, fitted: Fitted, metric: str) -> DataFra
 def full_table_sums(neighbors: DataFrame, fitted: Fitted) -> DataFrame:
     """Weighted sums of every cell (u, i) that at least one neighbour of u rated."""
     edges = neighbors.select("user_id", "neighbor_id", "similarity")
-    raters = fitted.vectors.select(F.col("user_id").alias("neighbor_id"), "item_id", "dev")
     num, den = _sums()
     return (
-        edges.join(raters, "neighbor_id")
+        edges.join(raters(fitted), "neighbor_id")
         .groupBy("user_id", "item_id")
         .agg(num.alias("num"), den.alias("den"))
     )

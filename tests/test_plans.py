@@ -43,9 +43,17 @@ def test_no_cross_join_and_no_python_without_hot_items(split, fitted):
         assert "Pandas" not in plan and "Python" not in plan
 
 
-def test_top_k_is_limited_before_its_shuffle(fitted):
+def test_top_k_of_short_lists_shuffles_edges_once(fitted):
     plan = plan_of(top_k(fitted, 5))
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") == 1
+    above_join = plan[: plan.index("Join")]
+    assert above_join.count("Exchange") == 1
+
+
+def test_top_k_of_long_lists_is_limited_before_its_shuffle(split):
+    long_lists = fit(split[0], FitSettings(tiled_user_ratings=20), stored=True)
+    assert long_lists.long_groups
+    assert plan_of(top_k(long_lists, 5)).count("WindowGroupLimit") == 2
 
 
 def test_hot_items_are_tiled(split):

@@ -20,6 +20,7 @@ SCHEMA = "user_id bigint, item_id bigint, rating double"
 # From no hot item at all, through a mixture, to everything in one-user tiles.
 SETTINGS = {
     "joined": FitSettings(),
+    "long lists": FitSettings(tiled_user_ratings=15),
     "mixed": FitSettings(hot_item_ratings=12, tiled_user_ratings=15, tile_users=8),
     "tiled": FitSettings(hot_item_ratings=1, tile_users=16),
     "many tiles": FitSettings(hot_item_ratings=5, tiled_user_ratings=20, tile_users=64, tile_ratings=40),
