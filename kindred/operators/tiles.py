@@ -3,8 +3,8 @@
 Users are hashed into blocks; a tile is a pair of blocks and one Spark group.  A
 rating is sent to as many tiles as there are blocks, so the shuffle grows with
 rows x blocks, not with the square of an item's popularity, and the size of a tile
-is fixed by the settings whatever the data.  Inside a tile numpy adds up one item
-at a time; a tile returns its top k, its partial sums or its statistics, and pairs
+is fixed by the settings whatever the data.  Inside a tile numpy adds up the
+products item by item, or for many small items at once; a tile returns its top k, its partial sums or its statistics, and pairs
 only where pairs are the result.
 """
 
@@ -29,6 +29,11 @@ STATS_SCHEMA = (
     "shared bigint, nonzero bigint, total double, squares double, low double, high double"
 )
 
+# An item with this many pairs in a tile is added as one block; smaller ones are
+# added together, so many pairs at a time.
+BLOCK_PAIRS = 1_024
+BATCH_PAIRS = 2_000_000
+
 
 def tiled_rows(
     rows: DataFrame, settings: FitSettings, wanted: DataFrame | None = None
@@ -74,16 +79,24 @@ class Block:
         self.sizes[self.row] = by_item["n_rated"].to_numpy()
         self.items, first = np.unique(by_item["item_id"].to_numpy(), return_index=True)
         self.span = np.append(first, len(by_item))
+        self.counts = np.diff(self.span)
 
     def raters(self, i: int) -> slice:
         return slice(self.span[i], self.span[i + 1])
 
 
-def shared_items(left: Block, right: Block):
-    _, at_left, at_right = np.intersect1d(
-        left.items, right.items, assume_unique=True, return_indices=True
-    )
-    return zip(at_left, at_right)
+def pairs_in_batches(left: Block, right: Block, i: np.ndarray, j: np.ndarray):
+    """Positions (in left, in right) of all pairs of raters of the items i = j, in batches."""
+    width = right.counts[j]
+    ends = np.cumsum(left.counts[i] * width)
+    start = 0
+    while start < len(i):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + BATCH_PAIRS, side="right")))
+        item = np.repeat(np.arange(start, stop), np.diff(ends[start:stop], prepend=done))
+        at = np.arange(done, ends[stop - 1]) - (ends[item] - left.counts[i[item]] * width[item])
+        yield left.span[i[item]] + at // width[item], right.span[j[item]] + at % width[item]
+        start = stop
 
 
 def similarity_table(left: Block, right: Block, metric: str):
@@ -91,12 +104,19 @@ def similarity_table(left: Block, right: Block, metric: str):
     shape = (len(left.users), len(right.users))
     shared = np.zeros(shape, dtype=np.int32)
     dots = np.zeros(shape) if metric == "cosine" else None
-    for i, j in shared_items(left, right):
-        a, b = left.raters(i), right.raters(j)
+    _, i, j = np.intersect1d(left.items, right.items, assume_unique=True, return_indices=True)
+    large = left.counts[i] * right.counts[j] >= BLOCK_PAIRS
+    for x, y in zip(i[large], j[large]):
+        a, b = left.raters(x), right.raters(y)
         cells = np.ix_(left.row[a], right.row[b])
         shared[cells] += 1
         if dots is not None:
             dots[cells] += np.multiply.outer(left.weight[a], right.weight[b])
+    for a, b in pairs_in_batches(left, right, i[~large], j[~large]):
+        cells = left.row[a] * shape[1] + right.row[b]
+        np.add.at(shared.reshape(-1), cells, 1)
+        if dots is not None:
+            np.add.at(dots.reshape(-1), cells, left.weight[a] * right.weight[b])
     mask = shared > 0
     if metric == "cosine":
         table = dots

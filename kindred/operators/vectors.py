@@ -69,14 +69,15 @@ def fit(
     ratings = ratings.select("user_id", "item_id", "rating")
     if not stored:
         ratings = stage(ratings, "ratings")
-    hot_items = stage(
+    hot_items = (
         ratings.groupBy("item_id")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > settings.hot_item_ratings)
-        .select("item_id"),
-        "hot-items",
+        .select("item_id")
     )
     hot_count = hot_items.count()
+    if hot_count:
+        hot_items = stage(hot_items, "hot-items")
 
     users = user_profiles(ratings, bounds, means)
     if hot_count:
