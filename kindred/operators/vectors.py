@@ -19,7 +19,7 @@ BROADCAST_ROWS = 1_000_000
 class Fitted:
     """User vectors of a training frame, staged once.
 
-    ``vectors``   user_id, item_id, rating, user_mean, n_rated, dev, pdev, tiled, hot
+    ``vectors``   user_id, item_id, dev, pdev, n_rated, tiled, hot
     ``users``     user_id, user_mean, n_rated, norm, tiled: one row per user
     ``hot_items`` item_id of the hot items, or None if there are none
 
@@ -94,7 +94,7 @@ def fit(
     users = stage(users, "users")
     long_lists = not users.where(F.col("n_rated") > settings.tiled_user_ratings).isEmpty()
 
-    vectors = processed_deviations(ratings, users, bounds)
+    vectors = processed_deviations(ratings, users, bounds).drop("rating", "user_mean")
     if hot_count:
         vectors = flag_hot(vectors, hot_items, hot_count)
     else:

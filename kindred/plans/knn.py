@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.operators import pairs
 from kindred.operators.metrics import absolute_errors
-from kindred.operators.neighbors import top_k
+from kindred.operators.neighbors import top_k, top_k_of
 from kindred.operators.vectors import Fitted
 from kindred.operators.weighting import (
     all_neighbor_sums, full_table_sums, knn_sums, knn_sums_for_ks, neighbor_terms, predict,
@@ -26,11 +26,24 @@ def predict_all_neighbors(
 
 
 def predict_knn(
-    fitted: Fitted, test: DataFrame, k: int, metric: str = pairs.COSINE, fallback: str = "user_mean"
+    fitted: Fitted,
+    test: DataFrame,
+    k: int,
+    metric: str = pairs.COSINE,
+    fallback: str = "user_mean",
 ) -> DataFrame:
+    """Predictions from the k most similar users; neighbours are found for all users."""
     return predict(test, knn_sums(test, top_k(fitted, k, metric), fitted), fitted, fallback)
 
 
+def predict_knn_for(
+    fitted: Fitted, test: DataFrame, k: int, fallback: str = "user_mean"
+) -> DataFrame:
+    """The same for a test frame with few users: only their neighbours are looked for."""
+    neighbors = top_k_of(fitted, test.select("user_id").distinct(), k)
+    return predict(test, knn_sums(test, neighbors, fitted), fitted, fallback)
+
+
 def predict_table(fitted: Fitted, k: int, metric: str = pairs.COSINE) -> DataFrame:
     """Predictions for all cells with a usable neighbour among the k nearest."""
     sums = full_table_sums(top_k(fitted, k, metric), fitted)

@@ -6,7 +6,7 @@ ratings          user_id, item_id, rating
 user means       user_id, user_mean, n
 item means       item_id, item_mean, n
 deviations       user_id, item_id, rating, user_mean, dev
-vectors          deviations + pdev, n_rated, tiled, hot   (see operators.vectors)
+vectors          user_id, item_id, dev, pdev, n_rated, tiled, hot  (operators.vectors)
 pairs            user_id < neighbor_id, similarity        (one row per unordered pair)
 edges            user_id -> neighbor_id, similarity[, rank]
 weighted sums    user_id, item_id, num, den

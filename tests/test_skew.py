@@ -9,7 +9,8 @@ from kindred.operators import pairs
 from kindred.operators.neighbors import top_k
 from kindred.operators.vectors import fit
 from kindred.plans.knn import (
-    knn_sweep, lowest_k, mae_by_k, predict_all_neighbors, predict_knn, predict_table,
+    knn_sweep, lowest_k, mae_by_k, predict_all_neighbors, predict_knn, predict_knn_for,
+    predict_table,
 )
 from kindred.plans.report import overlap_stats, storage
 from kindred.schema import FitSettings
@@ -95,6 +96,16 @@ def test_knn_predictions(fitted, data, k):
     assert found == pytest.approx(brute.predict(wanted, brute.ranked(), k), abs=1e-7)
 
 
+def test_knn_predictions_for_few_users(fitted, data):
+    _, test, brute, wanted = data
+    found = {
+        (r.user_id, r.item_id): r.prediction
+        for r in predict_knn_for(fitted, test.where("user_id in (0, 3, 6)"), 4).collect()
+    }
+    few = [t for t in wanted if t[0] in (0, 3, 6)]
+    assert found == pytest.approx(brute.predict(few, brute.ranked(), 4), abs=1e-7)
+
+
 def test_full_table(fitted, data):
     brute = data[2]
     found = {(r.user_id, r.item_id): r.prediction for r in predict_table(fitted, 5).collect()}
