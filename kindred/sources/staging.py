@@ -2,7 +2,8 @@
 
 A staged frame is computed once, survives the loss of any executor, keeps column
 pruning and filter pushdown (it is parquet), and has a known size, so the planner
-judges joins with it by fact rather than by guess.
+judges joins with it by fact rather than by guess.  Like a temporary view it lives
+as long as the application: its folder is registered for deletion on exit.
 """
 
 from __future__ import annotations
@@ -33,4 +34,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/kindred/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)

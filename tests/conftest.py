@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
 
     session = build_session(
         "tests", "local[4]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kindred.operators import pairs
 from kindred.operators.neighbors import top_k
 from kindred.operators.vectors import fit
+from kindred.plans import knn
 from kindred.plans.knn import (
     knn_sweep, lowest_k, mae_by_k, predict_all_neighbors, predict_knn, predict_knn_for,
     predict_table,
@@ -18,13 +19,12 @@ from brute import Brute
 
 SCHEMA = "user_id bigint, item_id bigint, rating double"
 
-# From no hot item at all, through a mixture, to everything in one-user tiles.
+# From no hot item at all, through a mixture, to everything in small tiles.
 SETTINGS = {
     "joined": FitSettings(),
     "long lists": FitSettings(tiled_user_ratings=15),
     "mixed": FitSettings(hot_item_ratings=12, tiled_user_ratings=15, tile_users=8),
-    "tiled": FitSettings(hot_item_ratings=1, tile_users=16),
-    "many tiles": FitSettings(hot_item_ratings=5, tiled_user_ratings=20, tile_users=64, tile_ratings=40),
+    "tiled": FitSettings(hot_item_ratings=1, tile_users=64, tile_ratings=40),
 }
 
 
@@ -116,7 +116,8 @@ def test_full_table(fitted, data):
 
 
 @pytest.mark.parametrize("fallback", ["user_mean", "drop"])
-def test_mae_curve_sweep_and_lowest_k(spark, fitted, data, fallback):
+def test_mae_curve_sweep_and_lowest_k(spark, monkeypatch, fitted, data, fallback):
+    monkeypatch.setattr(knn, "K_RANGE", 7)
     _, test, brute, wanted = data
     ranked, truth = brute.ranked(), {(u, i): r for u, i, r in wanted}
 
