@@ -1,9 +1,12 @@
 """What the physical plans must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from kindred.operators import pairs
+from kindred.operators.deviations import deviations
 from kindred.operators.neighbors import top_k
+from kindred.operators.stats import user_means
 from kindred.operators.vectors import fit
 from kindred.plans.baseline import predict_baseline
 from kindred.plans.knn import knn_sweep, predict_all_neighbors, predict_knn
@@ -72,3 +75,36 @@ def test_self_join_shuffles_the_vectors_once(spark, fitted):
         assert "ReusedExchange" in plan_of(df)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "64",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+def test_adaptive_execution_can_split_a_hot_user(spark, split):
+    """A join with per-user means: plain it stays in one task, salted it is split."""
+    before = {name: spark.conf.get(name) for name in SKEW if spark.conf.get(name, None)}
+    for name, value in SKEW.items():
+        spark.conf.set(name, value)
+    try:
+        hot = spark.range(300_000).select(
+            F.lit(-9).cast("bigint").alias("user_id"),
+            (F.col("id") + 10**6).alias("item_id"),
+            (1 + F.col("id") % 5).cast("double").alias("rating"),
+        )
+        ratings = stage(split[0].unionByName(hot).repartition(8), "skewed")
+        means = user_means(ratings)
+        salted = deviations(ratings, means).groupBy("item_id").agg(F.avg("dev"))
+        plain = ratings.join(means, "user_id").groupBy("item_id").agg(F.avg("rating"))
+        for df, is_split in ((salted, True), (plain, False)):
+            df.collect()
+            assert ("skew=true" in plan_of(df)) == is_split
+    finally:
+        for name in SKEW:
+            spark.conf.set(name, before[name]) if name in before else spark.conf.unset(name)
