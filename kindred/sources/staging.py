@@ -3,7 +3,7 @@
 A staged frame is computed once, survives the loss of any executor, keeps column
 pruning and filter pushdown (it is parquet), and has a known size, so the planner
 judges joins with it by fact rather than by guess.  Like a temporary view it lives
-as long as the application: its folder is registered for deletion on exit.
+as long as the application, unless ``release`` removes it earlier.
 """
 
 from __future__ import annotations
@@ -17,23 +17,44 @@ _local_folder: tempfile.TemporaryDirectory | None = None
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder in local mode only."""
+    """``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a temporary folder is made for a session whose driver and
+    executors are one process (``local``, ``local[n]``); any other session must set it.
+    """
     global _local_folder
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_folder is None:
         _local_folder = tempfile.TemporaryDirectory(prefix="kindred-")
     return _local_folder.name
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the checkpoint folder, removed when the application ends."""
+    path = f"{checkpoint_folder(spark)}/kindred/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the checkpoint folder and return a scan of it."""
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/kindred/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Remove staged tables now.  Only for tables that nothing will read again."""
+    for df in staged:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
