@@ -9,8 +9,9 @@ every prefix of the input exactly one run ends there.
 ``Transducer`` determinises it while it reads.  A state is the set of runs that are still
 alive, each with the tokens it has put out and the others have not agreed on.  As soon as
 all runs agree on a token, the transition emits it: the lookahead is bounded by the longest
-token.  States and transitions are made when first needed and kept in a table of bounded
-size, like the table of encodings of whole pieces in front of it.
+token.  States and transitions are made when a piece needs them the second time, and kept in
+a table of bounded size; where the table has none, the runs are simulated.  Encodings of
+whole pieces are kept in a table of bounded size as well.
 
 ``StreamDecoder`` turns token ids back into text as they come: a state machine over UTF-8
 remembers how many continuation bytes are due and holds back unfinished characters.
@@ -27,10 +28,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-MAX_TRANSITIONS = 300_000
-MAX_PIECES = 400_000
+MAX_TRANSITIONS = 100_000
+MAX_NEIGHBOURS = 300_000
+MAX_PIECES = 250_000
 MAX_KEPT = 64
+BATCH_ROWS = 1000
 _ROOT = 0
 _START = -1
 
@@ -64,15 +69,13 @@ class Transducer:
             self._token[node] = rank
         inner = {key >> 8 for key in self._child}
         self._leaf = [node not in inner for node in range(len(self._token))]
-        self._neighbours: dict[tuple[int, int], bool] = {}
+        self._neighbours: dict[int, bool] = {}
         self._spines: tuple[dict, dict] = ({}, {})
-        self._reset()
-
-    def _reset(self) -> None:
         start = (((_START,), _ROOT),)
         self._states = [start]
         self._number = {start: 0}
         self._next: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self._met: set[int] = set()
 
     def merge(self, piece: bytes) -> list[int]:
         """The definition: merge the neighbours of least joint rank, the leftmost first."""
@@ -112,9 +115,9 @@ class Transducer:
         """
         if before == _START:
             return bool(self._spine(token, False))
-        known = self._neighbours.get((before, token))
+        known = self._neighbours.get(before << 32 | token)
         if known is None:
-            if len(self._neighbours) >= MAX_TRANSITIONS:
+            if len(self._neighbours) >= MAX_NEIGHBOURS:
                 self._neighbours.clear()
             left, right = self._spine(before, True), self._spine(token, False)
             i = j = 0
@@ -124,30 +127,35 @@ class Transducer:
                 rank = self.ranks.get(x + y)
                 known = rank is None or rank >= x_used or rank > y_used
                 i, j = (i + 1, j) if x_used <= y_used else (i, j + 1)
-            self._neighbours[before, token] = known
+            self._neighbours[before << 32 | token] = known
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Make the transition of ``state`` on ``byte``."""
+    def _advance(self, runs, byte: int) -> list:
+        """The runs that live after one more byte, the one that has just put out a token last."""
         alive, ended = [], None
         children, token_of, leaf, neighbours = self._child, self._token, self._leaf, self._neighbours
-        for tokens, node in self._states[state]:
+        for tokens, node in runs:
             child = children.get(node << 8 | byte)
             if child is None:
                 continue
             if ended is None and (token := token_of[child]) is not None:
-                fits = neighbours.get((tokens[-1], token))
+                fits = neighbours.get(tokens[-1] << 32 | token)
                 if fits if fits is not None else self._tolerates(tokens[-1], token):
                     ended = tokens + (token,)
             if not leaf[child]:
                 alive.append((tokens, child))
         alive.append((ended, _ROOT))
+        return alive
+
+    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """Make the transition of ``state`` on ``byte``: runs that agree on tokens emit them."""
+        alive = self._advance(self._states[state], byte)
         first = alive[0][0]
         agreed = 1
         while agreed < len(first) and all(len(t) > agreed and t[agreed] == first[agreed] for t, _ in alive):
             agreed += 1
         out = first[1:agreed]
-        target = tuple([(t[agreed - 1:], node) for t, node in alive]) if out else tuple(alive)
+        target = tuple([(t[agreed - 1:], node) for t, node in alive])
         number = self._number.get(target)
         if number is None:
             number = self._number[target] = len(self._states)
@@ -160,12 +168,24 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self._next) >= MAX_TRANSITIONS:
-            self._reset()
         state, out = 0, []
-        for byte in piece:
-            made = self._next.get(state << 8 | byte)
-            state, emitted = made if made is not None else self._step(state, byte)
+        made_of = self._next.get
+        for at, byte in enumerate(piece):
+            key = state << 8 | byte
+            made = made_of(key)
+            if made is None:
+                if key not in self._met or len(self._next) >= MAX_TRANSITIONS:
+                    # A transition is worth keeping when it is met again; until then, and when
+                    # the table is full, the runs themselves go through the rest of the piece.
+                    if len(self._met) < 4 * MAX_TRANSITIONS:
+                        self._met.add(key)
+                    runs = self._states[state]
+                    for rest in piece[at:]:
+                        runs = self._advance(runs, rest)
+                    out += runs[-1][0][1:]
+                    return tuple(out)
+                made = self._step(state, byte)
+            state, emitted = made
             if emitted:
                 out += emitted
         # The run that has just ended at the last byte is the last of the state.
@@ -208,7 +228,7 @@ class StreamDecoder:
         self._held = b""
 
     def feed(self, ids: Iterable[int]) -> str:
-        data = self._held + b"".join([self._bytes_of[i] for i in ids])
+        data = self._held + b"".join(map(self._bytes_of.__getitem__, ids))
         cut = len(data) - self._unfinished(data)
         self._held = data[cut:]
         return data[:cut].decode("utf-8", "replace")
@@ -241,35 +261,40 @@ def _vocabulary_bytes(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", n_tokens: str = "n_tokens") -> DataFrame:
+def transcode(
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", n_tokens: str = "n_tokens",
+    decoded: str | None = None, keep: list[str] | None = None, block: int = 4096,
+) -> DataFrame:
     """Add the token ids of a text column: binary (little-endian uint32) and their number.
 
-    Null and empty texts have no ids.  All other columns are kept; columns called ``ids``
-    or ``n_tokens`` are replaced.
+    With ``decoded``, that column gets the text decoded from the ids, ``block`` ids at a time.
+    Null and empty texts have no ids.  ``keep`` names the columns that stay (default: all);
+    columns with the names of the new ones are replaced.
     """
     content = _vocabulary_bytes(df, ranks_path)
-    kept = [c for c in df.columns if c not in (ids, n_tokens)]
-    df = df.select(*[f"`{c}`" for c in kept])
-    at = kept.index(text)
+    made = [ids, n_tokens] + ([decoded] if decoded else [])
+    keep = [c for c in (df.columns if keep is None else keep) if c not in made]
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(content.value, pattern)
+        encoder, bytes_of = _encoder(content.value, pattern), _tokens(content.value)
         for batch in batches:
-            found, counts = [], []
-            for value in batch.column(at):
-                tokens = encoder.encode(value.as_py())
-                found.append(tokens.tobytes())
-                counts.append(len(tokens))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.binary()), pa.array(counts, pa.int64())],
-                [*batch.schema.names, ids, n_tokens],
-            )
+            for start in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(start, BATCH_ROWS)
+                found = [encoder.encode(value.as_py()) for value in part.column(part.num_columns - 1)]
+                columns = part.columns[:-1] + [
+                    pa.array([x.tobytes() for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int64())
+                ]
+                if decoded:
+                    columns.append(pa.array([decode_ids(x, bytes_of, block) for x in found], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, keep + made)
 
-    return df.mapInArrow(run, _extended(df, f"`{ids}` binary, `{n_tokens}` long"))
+    types = [f"`{ids}` binary", f"`{n_tokens}` long"] + ([f"`{decoded}` string"] if decoded else [])
+    return rows.mapInArrow(run, _extended(df.select(*[f"`{c}`" for c in keep]), ", ".join(types)))
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded", block: int = 4096) -> DataFrame:
-    """Add the text of a column of ids (binary, little-endian uint32), decoded ``block`` ids at a time."""
+    """Add the text of a column of ids (binary, little-endian uint32; null: empty)."""
     content = _vocabulary_bytes(df, ranks_path)
     kept = [c for c in df.columns if c != decoded]
     df = df.select(*[f"`{c}`" for c in kept])
@@ -278,25 +303,24 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of = _tokens(content.value)
         for batch in batches:
-            texts = []
-            for value in batch.column(at):
-                decoder = StreamDecoder(bytes_of)
-                tokens = np.frombuffer(value.as_buffer() or b"", dtype="<u4").tolist()
-                parts = [decoder.feed(tokens[i: i + block]) for i in range(0, len(tokens), block)]
-                texts.append("".join(parts) + decoder.close())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, decoded]
-            )
+            texts = [decode_ids(np.frombuffer(v.as_buffer() or b"", dtype="<u4"), bytes_of, block) for v in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], kept + [decoded])
 
     return df.mapInArrow(run, _extended(df, f"`{decoded}` string"))
 
 
+def decode_ids(ids: np.ndarray, bytes_of: dict[int, bytes], block: int) -> str:
+    """Decode ``block`` ids at a time."""
+    decoder = StreamDecoder(bytes_of)
+    tokens = ids.tolist()
+    parts = [decoder.feed(tokens[i: i + block]) for i in range(0, len(tokens), block)]
+    return "".join(parts) + decoder.close()
+
+
 @lru_cache(maxsize=2)
 def _tokens(content: bytes) -> dict[int, bytes]:
     return {rank: token for token, rank in parse_ranks(content).items()}
 
 
 def _extended(df: DataFrame, more: str):
-    from pyspark.sql.types import StructType
-
     return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])

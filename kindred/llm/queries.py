@@ -34,8 +34,8 @@ def op7_records(spark: SparkSession, d: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     """Token ids by the transducer, and the text decoded from them."""
     ranks = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(_documents(spark, d), ranks, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(encoded, ranks).select(
+    rows = bpe.transcode(_documents(spark, d), ranks, public_tokenizers.PATTERN, decoded="decoded", keep=["doc_id"])
+    return rows.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )
 
