@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import bpe, minhash, records
+from kindred.llm import bpe, minhash, records, toxicity
 from kindred.sources.staging import scratch
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -23,6 +23,12 @@ def op5_minhash(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Scores by class-conditional models fitted on the labelled rows outside fold 0."""
+    rated = toxicity.rate(_documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
+    return rated.select("doc_id", F.coalesce(toxicity.fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op7_records(spark: SparkSession, d: str) -> DataFrame:
     """Token ids written to record files and read back through the index."""
     path = scratch(spark, "records")
@@ -40,4 +46,4 @@ def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_minhash": op5_minhash, "op7_records": op7_records, "op9_bpe": op9_bpe}
+QUERIES = {"op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op9_bpe": op9_bpe}
