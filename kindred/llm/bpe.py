@@ -22,20 +22,19 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kindred.llm.pieces import PieceEncoder
+
 MAX_TRANSITIONS = 100_000
 MAX_NEIGHBOURS = 300_000
-MAX_PIECES = 250_000
-MAX_KEPT = 64
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 _ROOT = 0
 _START = -1
 
@@ -194,27 +193,22 @@ class Transducer:
 
 
 class Encoder:
-    """Encode texts: split by the pattern, then run each piece through the transducer."""
+    """Encode texts: split by the pattern, then run each different piece through the transducer."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self._transducer = Transducer(ranks)
-        self._split = regex.compile(pattern).findall
-        self._known: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, text: str | None) -> np.ndarray:
-        """uint32 ids; none for null."""
-        pieces, known = self._split(text or ""), self._known
-        new = set(pieces).difference(known)
-        if len(known) + len(new) > MAX_PIECES:
-            known.clear()
-            new = set(pieces)
-        for piece in new:
-            known[piece] = self._transducer.encode(piece.encode("utf-8"))
-        ids = np.fromiter(chain.from_iterable(map(known.__getitem__, pieces)), dtype="<u4")
-        for piece in new:
-            if len(piece) > MAX_KEPT:
-                del known[piece]
-        return ids
+        self._pieces = PieceEncoder(pattern, self._learn)
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        encode = self._transducer.encode
+        tokens = [encode(piece.encode("utf-8")) for piece in pieces]
+        data = np.fromiter(chain.from_iterable(tokens), dtype="<u4").tobytes()
+        ends = [0, *accumulate(4 * len(t) for t in tokens)]
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids as little-endian uint32; none for null."""
+        return self._pieces.encode([text or "" for text in texts])
 
 
 class StreamDecoder:
@@ -281,10 +275,8 @@ def transcode(
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(start, BATCH_ROWS)
-                found = [encoder.encode(value.as_py()) for value in part.column(part.num_columns - 1)]
-                columns = part.columns[:-1] + [
-                    pa.array([x.tobytes() for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int64())
-                ]
+                found = encoder.encode(part.column(part.num_columns - 1).to_pylist())
+                columns = part.columns[:-1] + [pa.array(found, pa.binary()), pa.array([len(x) // 4 for x in found], pa.int64())]
                 if decoded:
                     columns.append(pa.array([decode_ids(x, bytes_of, block) for x in found], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, keep + made)
@@ -303,16 +295,16 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of = _tokens(content.value)
         for batch in batches:
-            texts = [decode_ids(np.frombuffer(v.as_buffer() or b"", dtype="<u4"), bytes_of, block) for v in batch.column(at)]
+            texts = [decode_ids(v.as_py() or b"", bytes_of, block) for v in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], kept + [decoded])
 
     return df.mapInArrow(run, _extended(df, f"`{decoded}` string"))
 
 
-def decode_ids(ids: np.ndarray, bytes_of: dict[int, bytes], block: int) -> str:
-    """Decode ``block`` ids at a time."""
+def decode_ids(ids: bytes, bytes_of: dict[int, bytes], block: int) -> str:
+    """Decode little-endian uint32 ids, ``block`` at a time."""
     decoder = StreamDecoder(bytes_of)
-    tokens = ids.tolist()
+    tokens = np.frombuffer(ids, dtype="<u4").tolist()
     parts = [decoder.feed(tokens[i: i + block]) for i in range(0, len(tokens), block)]
     return "".join(parts) + decoder.close()
 

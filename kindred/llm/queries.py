@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import bpe, minhash, records, toxicity
+from kindred.llm import bpe, licenses, minhash, records, toxicity
 from kindred.sources.staging import scratch
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,6 +17,11 @@ def _documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", *columns)
 
 
+def op3_licenses(spark: SparkSession, d: str) -> DataFrame:
+    """License phrases and notices in every text."""
+    return licenses.scan(_documents(spark, d)).drop("spans")
+
+
 def op5_minhash(spark: SparkSession, d: str) -> DataFrame:
     """Near-duplicates: three-word shingles, similarity 0.85."""
     found = minhash.near_duplicates(_documents(spark, d), words=3, percent=85)
@@ -46,4 +51,4 @@ def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op9_bpe": op9_bpe}
+QUERIES = {"op3_licenses": op3_licenses, "op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op9_bpe": op9_bpe}

@@ -21,17 +21,16 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kindred.llm.pieces import PieceEncoder
+
 FILE_BYTES = 16 << 20
-MAX_PIECES = 400_000
-MAX_KEPT = 64
+BATCH_ROWS = 250
 #: Fixed value: how byte-level vocabularies split a text (as the tokenizer file's own pre-tokenizer does).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _HEAD = struct.Struct("<QI")
@@ -74,49 +73,42 @@ def document_of(payload: memoryview) -> int:
 class LibraryEncoder:
     """Encode texts with the tokenizers library, each different piece once.
 
-    Byte-level merges never cross the border of a piece, so the ids of a text are those of
-    its pieces.  New pieces without white space inside go to the library together, on lines
-    of their own: a line feed between two such pieces is one token.  All others, and texts
-    that name a special token, are handed to the library by themselves.
+    New pieces without white space inside go to the library together, on lines of their own:
+    a line feed between two such pieces is a piece and one token.  All others, and texts that name a
+    special token, are handed to the library by themselves.
     """
 
     def __init__(self, content: bytes):
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_buffer(content)
-        self._split = regex.compile(PATTERN).findall
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._feed = self._ids("\n")
-        self._known: dict[str, list[int]] = {}
+        self._pieces = PieceEncoder(PATTERN, self._learn)
 
     def _ids(self, text: str) -> list[int]:
         return self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self._special):
-            return np.array(self._ids(text), dtype=np.uint32)
-        pieces, known = self._split(text), self._known
-        new = set(pieces).difference(known)
-        if len(known) + len(new) > MAX_PIECES:
-            known.clear()
-            new = set(pieces)
-        self._learn([p for p in new if not p.isspace()], [p for p in new if p.isspace()])
-        ids = np.fromiter(chain.from_iterable(map(known.__getitem__, pieces)), dtype=np.uint32)
-        for piece in new:
-            if len(piece) > MAX_KEPT:
-                del known[piece]
-        return ids
-
-    def _learn(self, words: list[str], blanks: list[str]) -> None:
-        if len(self._feed) == 1:
-            ids = np.array(self._ids("\n".join(words)), dtype=np.uint32)
-            parts = np.split(ids, np.flatnonzero(ids == self._feed[0]))
-            if len(parts) == len(words):
-                parts[1:] = [p[1:] for p in parts[1:]]
-                self._known.update(zip(words, [p.tolist() for p in parts]))
-                words = []
-        for piece in chain(words, blanks):
-            self._known[piece] = self._ids(piece)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """uint32 ids of each text."""
+        special = [any(s in text for s in self._special) for text in texts]
+        found = self._pieces.encode(["" if own else text for own, text in zip(special, texts)])
+        return [
+            np.array(self._ids(text), dtype=np.uint32) if own else np.frombuffer(ids, dtype="<u4")
+            for own, text, ids in zip(special, texts, found)
+        ]
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        words = [p for p in pieces if not p.isspace()]
+        known: dict[str, bytes] = {}
+        if len(self._feed) == 1 and words:
+            ids = np.array(self._ids("\n".join(words)), dtype="<u4")
+            cuts = np.flatnonzero(ids == self._feed[0])
+            if len(cuts) == len(words) - 1:
+                data = ids.tobytes()
+                starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(data)]
+                known = dict(zip(words, [data[a:b] for a, b in zip(starts, ends)]))
+        return [known[p] if p in known else np.array(self._ids(p), dtype="<u4").tobytes() for p in pieces]
 
 
 @lru_cache(maxsize=2)
@@ -146,14 +138,16 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, wide
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value)
         for batch in batches:
-            lines = []
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = np.append(encoder.encode(text.as_py()), np.uint32(end_id))
-                if not wide and int(ids.max()) > 0xFFFF:
-                    raise ValueError("the vocabulary needs wide=True")
-                # The line feed at the end is the writer's.
-                lines.append(frame(_payload(doc_id.as_py(), ids, width))[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], ["value"])
+            for start in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(start, BATCH_ROWS)
+                lines = []
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+                    ids = np.append(ids, np.uint32(end_id))
+                    if not wide and int(ids.max()) > 0xFFFF:
+                        raise ValueError("the vocabulary needs wide=True")
+                    # The line feed at the end is the writer's.
+                    lines.append(frame(_payload(doc_id, ids, width))[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], ["value"])
 
     framed = rows.mapInArrow(run, "value binary")
     framed.select(F.col("value").cast("string")).write.text(path, lineSep="\n")
