@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import bpe, licenses, minhash, records, toxicity
+from kindred.llm import bpe, kdshards, licenses, minhash, mixing, records, toxicity
 from kindred.sources.staging import scratch
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,6 +17,15 @@ def _documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", *columns)
 
 
+def op2_kdshards(spark: SparkSession, d: str) -> DataFrame:
+    """Eight shards of nearly equal bytes."""
+    placed = kdshards.shard(_documents(spark, d, "lang", "source"), 8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_licenses(spark: SparkSession, d: str) -> DataFrame:
     """License phrases and notices in every text."""
     return licenses.scan(_documents(spark, d)).drop("spans")
@@ -51,4 +60,26 @@ def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_licenses": op3_licenses, "op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op9_bpe": op9_bpe}
+def domain_of(source: str) -> Column:
+    """The domain of a source: which block of five its number falls in; 'd-' without a number."""
+    number = F.regexp_extract(F.coalesce(F.col(source), F.lit("")), "([0-9]{1,6})$", 1)
+    return F.concat(F.lit("d"), F.when(number == "", F.lit("-")).otherwise(F.floor(number.cast("int") / 5).cast("string")))
+
+
+def mix_weights() -> dict[str, Column]:
+    """Integer weights among siblings: domains, languages, sources."""
+    return {
+        "domain": F.when(F.col("domain") == "d0", 4).when(F.col("domain") == "d1", 3).otherwise(2),
+        "lang": F.when(F.col("lang") == "en", 5).when(F.col("lang") == "es", 3).otherwise(2),
+        "source": F.lit(1),
+    }
+
+
+def op8_mixing(spark: SparkSession, d: str) -> DataFrame:
+    """As many tokens (blank-separated words) as three fifths of the table, mixed by weight."""
+    docs = _documents(spark, d, "lang", "source").withColumn("domain", domain_of("source"))
+    tokens = F.size(F.split(F.coalesce("text", F.lit("")), " "))
+    return mixing.mix(docs, tokens, F.floor(F.sum("tokens") * 3 / 5), mix_weights(), epochs=4)
+
+
+QUERIES = {"op2_kdshards": op2_kdshards, "op3_licenses": op3_licenses, "op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op8_mixing": op8_mixing, "op9_bpe": op9_bpe}
