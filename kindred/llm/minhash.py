@@ -221,14 +221,12 @@ def near_duplicates(
     # One representative of each set: later steps see every set once.
     able = signed.where("n_shingles > 0 and doc_id is not null")
     classes = able.groupBy("set_a", "set_b").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n_shingles").alias("n")
-    ).select("set_a", "set_b", F.col("first.doc_id").alias("node"), F.col("first.text_hash").alias("text_hash"), "n")
-    classes = stage(classes, "classes")
-    banded = able.select(F.col("doc_id").alias("node"), "text_hash", "set_a", "set_b", F.explode("bands").alias("bucket"))
-    banded = banded.join(classes.drop("n"), ["node", "text_hash", "set_a", "set_b"], "left_semi")
-    banded = stage(banded.select("bucket", "node").distinct(), "buckets")
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    )
+    classes = stage(classes.select("set_a", "set_b", F.col("first.doc_id").alias("node"), F.col("first.text_hash").alias("text_hash"), "n", "bands"), "classes")
+    banded = classes.select(F.explode("bands").alias("bucket"), "node")
     stars = stage(banded.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "stars")
-    star_edges = banded.join(stars, "bucket").where("a < node").select("a", F.col("node").alias("b")).distinct()
+    star_edges = banded.join(stars, "bucket").where("a < node").select("a", F.col("node").alias("b"))
     communities = stage(components(star_edges).withColumnRenamed("component", "community"), "communities")
     wanted = stage(classes.join(communities, "node").select("node", "text_hash", "n", "community"), "candidates")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.xxhash64("text").alias("text_hash"), "text")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import bpe, kdshards, licenses, minhash, mixing, records, toxicity
+from kindred.llm import ann, bpe, kdshards, licenses, minhash, mixing, records, subspace, toxicity
 from kindred.sources.staging import scratch
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,6 +17,15 @@ def _documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", *columns)
 
 
+def _embeddings(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/embeddings.parquet")
+
+
+def op1_subspace(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of a label with a cosine of 0.98 or more."""
+    return subspace.near_vectors(_embeddings(spark, d), 0.98)
+
+
 def op2_kdshards(spark: SparkSession, d: str) -> DataFrame:
     """Eight shards of nearly equal bytes."""
     placed = kdshards.shard(_documents(spark, d, "lang", "source"), 8)
@@ -82,4 +91,9 @@ def op8_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(docs, tokens, F.floor(F.sum("tokens") * 3 / 5), mix_weights(), epochs=4)
 
 
-QUERIES = {"op2_kdshards": op2_kdshards, "op3_licenses": op3_licenses, "op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op8_mixing": op8_mixing, "op9_bpe": op9_bpe}
+def op10_ann(spark: SparkSession, d: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return ann.search(_embeddings(spark, d), F.col("vec_id") % 50 == 0, 5)
+
+
+QUERIES = {"op1_subspace": op1_subspace, "op10_ann": op10_ann, "op2_kdshards": op2_kdshards, "op3_licenses": op3_licenses, "op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op8_mixing": op8_mixing, "op9_bpe": op9_bpe}
