@@ -94,7 +94,7 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 pa.array(banded, pa.list_(pa.int64())),
             ], ["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands"])
 
-    rows_in = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     return rows_in.mapInArrow(run, schema)
 
 

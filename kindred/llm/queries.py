@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, bpe, kdshards, licenses, minhash, mixing, records, subspace, toxicity
+from kindred.llm import ann, bpe, kdshards, languages, licenses, minhash, mixing, records, subspace, toxicity
 from kindred.sources.staging import scratch
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -40,6 +40,16 @@ def op3_licenses(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan(_documents(spark, d)).drop("spans")
 
 
+def op4_languages(spark: SparkSession, d: str) -> DataFrame:
+    """The language of every document and every page; models fitted on the documents."""
+    docs = _documents(spark, d, "lang", "source")
+    model = languages.fit_documents(docs)
+    pages = languages.page_evidence(spark.read.parquet(f"{d}/pages.parquet"))
+    of_docs = languages.identify(languages.document_evidence(docs), model, ["doc_id"])
+    of_pages = languages.identify(pages, model, ["page_id"])
+    return of_docs.unionByName(of_pages, allowMissingColumns=True)
+
+
 def op5_minhash(spark: SparkSession, d: str) -> DataFrame:
     """Near-duplicates: three-word shingles, similarity 0.85."""
     found = minhash.near_duplicates(_documents(spark, d), words=3, percent=85)
@@ -96,4 +106,4 @@ def op10_ann(spark: SparkSession, d: str) -> DataFrame:
     return ann.search(_embeddings(spark, d), F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {"op1_subspace": op1_subspace, "op10_ann": op10_ann, "op2_kdshards": op2_kdshards, "op3_licenses": op3_licenses, "op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op8_mixing": op8_mixing, "op9_bpe": op9_bpe}
+QUERIES = {"op1_subspace": op1_subspace, "op10_ann": op10_ann, "op2_kdshards": op2_kdshards, "op3_licenses": op3_licenses, "op4_languages": op4_languages, "op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op8_mixing": op8_mixing, "op9_bpe": op9_bpe}
