@@ -87,7 +87,7 @@ def fit(texts: DataFrame, sample: int = SAMPLE) -> Trigrams | None:
         for language, own in sums.items():
             found = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([language] * len(found)), pa.array(found), pa.array(own[found])], ["language", "bucket", "n"]
+                [pa.array([language] * len(found), pa.string()), pa.array(found, pa.int64()), pa.array(own[found], pa.int64())], ["language", "bucket", "n"]
             )
 
     summed = chosen.select("language", "text").mapInArrow(run, "language string, bucket long, n long")
