@@ -37,7 +37,9 @@ def rounded(value: Column, places: int) -> Column:
     """Round half up by plain floating-point steps: floor(x * 10^p + 0.5) / 10^p.
 
     Unlike ``round`` it does not go through a decimal per row, gives the same double
-    in numpy and in other SQL engines, and never yields negative zero.
+    in numpy and in other SQL engines, and never yields negative zero.  A double too
+    large to have such places (its scaled form is beyond 2**52) is returned as it is.
     """
     unit = F.lit(float(10 ** places))
-    return F.floor(value * unit + F.lit(0.5)).cast("double") / unit
+    steps = F.floor(value * unit + F.lit(0.5)).cast("double") / unit
+    return F.when(F.abs(value * unit) < F.lit(float(1 << 52)), steps).otherwise(value)

@@ -15,13 +15,13 @@ def global_mean(ratings: DataFrame) -> Column:
 
 def user_means(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("user_id").agg(
-        F.avg("rating").alias("user_mean"), F.count(F.lit(1)).alias("n")
+        F.avg("rating").alias("user_mean"), F.count("rating").alias("n")
     )
 
 
 def item_means(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("item_id").agg(
-        F.avg("rating").alias("item_mean"), F.count(F.lit(1)).alias("n")
+        F.avg("rating").alias("item_mean"), F.count("rating").alias("n")
     )
 
 

@@ -109,9 +109,17 @@ def similarity_table(left: Block, right: Block, metric: str):
     for x, y in zip(i[large], j[large]):
         a, b = left.raters(x), right.raters(y)
         cells = np.ix_(left.row[a], right.row[b])
-        shared[cells] += 1
-        if dots is not None:
-            dots[cells] += np.multiply.outer(left.weight[a], right.weight[b])
+        # Indexed addition adds once per cell: right only if no user rated the item twice.
+        once = len(np.unique(left.row[a])) == len(left.row[a]) and len(np.unique(right.row[b])) == len(right.row[b])
+        products = np.multiply.outer(left.weight[a], right.weight[b])
+        if once:
+            shared[cells] += 1
+            if dots is not None:
+                dots[cells] += products
+        else:
+            np.add.at(shared, cells, 1)
+            if dots is not None:
+                np.add.at(dots, cells, products)
     for a, b in pairs_in_batches(left, right, i[~large], j[~large]):
         cells = left.row[a] * shape[1] + right.row[b]
         np.add.at(shared.reshape(-1), cells, 1)

@@ -49,6 +49,12 @@ def flag_hot(rows: DataFrame, hot_items: DataFrame, count: int) -> DataFrame:
     return rows.join(marked, "item_id", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
 
 
+def one_rating_each(ratings: DataFrame) -> DataFrame:
+    """One row per (user, item): the mean of its ratings.  Rows with a null are left out."""
+    known = ratings.dropna(subset=["user_id", "item_id", "rating"])
+    return known.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
+
+
 def fit(
     ratings: DataFrame,
     settings: FitSettings = FitSettings(),
@@ -61,23 +67,25 @@ def fit(
     ``means`` replaces the user means of ``ratings`` by given ones: deviations of
     held-out rows around training means, for example.
 
+    A user's vector has one entry per item: rows that repeat a (user, item) count as
+    one rating, their mean, and rows with a null user, item or rating are left out (``one_rating_each``).
+
     The ratings are staged first, because they are read several times and whatever
     joins and aggregates produce them should run once; ``stored=True`` says that they
-    are a scan of a stored table already.  Counting the hot items then tells which
-    branches later plans need at all.
+    are a scan of a stored table of one rating per (user, item) already.  Counting the hot items
+    then tells which branches later plans need at all.
     """
     ratings = ratings.select("user_id", "item_id", "rating")
     if not stored:
-        ratings = stage(ratings, "ratings")
+        ratings = stage(one_rating_each(ratings), "ratings")
     hot_items = (
         ratings.groupBy("item_id")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > settings.hot_item_ratings)
         .select("item_id")
     )
+    hot_items = stage(hot_items, "hot-items")
     hot_count = hot_items.count()
-    if hot_count:
-        hot_items = stage(hot_items, "hot-items")
 
     users = user_profiles(ratings, bounds, means)
     if hot_count:

@@ -191,10 +191,6 @@ def lowest_k(curve: DataFrame, target: DataFrame) -> DataFrame:
     goal = target.select("mae").scalar()
     hit = F.struct("k", "mae")
     return (
-        curve.withColumn("goal", goal)
-        .agg(
-            F.max("goal").alias("target_mae"),
-            F.min(F.when(F.col("mae") < F.col("goal"), hit)).alias("hit"),
-        )
-        .select("target_mae", F.col("hit.k").alias("k"), F.col("hit.mae").alias("mae"))
+        curve.agg(F.min(F.when(F.col("mae") < goal, hit)).alias("hit"))
+        .select(goal.alias("target_mae"), F.col("hit.k").alias("k"), F.col("hit.mae").alias("mae"))
     )

@@ -22,18 +22,18 @@ def overlap_stats(fitted: Fitted) -> DataFrame:
     Pairs without a shared item count as overlap 0; they are counted, not formed.
     """
     users = fitted.users.agg(F.count(F.lit(1))).scalar()
-    pair_count = F.col("users") * (F.col("users") - 1) / 2
+    pair_count = F.expr("users * (users - 1) div 2")
     average = F.try_divide(F.col("total"), F.col("pairs"))
     return (
         pairs.pair_stats(fitted, pairs.OVERLAP)
         .withColumn("users", users)
-        .withColumn("pairs", pair_count.cast("bigint"))
+        .withColumn("pairs", pair_count)
         .select(
             "users", "pairs", F.col("shared").alias("overlapping_pairs"),
             F.when(F.col("shared") < F.col("pairs"), 0).otherwise(F.col("low")).cast("bigint").alias("min"),
             F.coalesce("high", F.lit(0)).cast("bigint").alias("max"),
             average.alias("average"),
-            F.sqrt(F.try_divide(F.col("squares"), F.col("pairs")) - average * average).alias("stddev"),
+            F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col("squares"), F.col("pairs")) - average * average)).alias("stddev"),
         )
     )
 
@@ -44,7 +44,7 @@ def storage(fitted: Fitted) -> DataFrame:
     return (
         pairs.pair_stats(fitted, pairs.COSINE)
         .withColumn("users", users)
-        .withColumn("pairs", (F.col("users") * (F.col("users") - 1) / 2).cast("bigint"))
+        .withColumn("pairs", F.expr("users * (users - 1) div 2"))
         .select(
             "users", "pairs", (F.col("pairs") * 8).alias("bytes"),
             F.col("nonzero").alias("nonzero_pairs"), (F.col("nonzero") * 8).alias("nonzero_bytes"),

@@ -18,14 +18,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
-
-RATINGS = T.StructType([
-    T.StructField("user_id", T.LongType(), False),
-    T.StructField("item_id", T.LongType(), False),
-    T.StructField("rating", T.DoubleType(), False),
-])
-
 # Similarities are rounded to this many places before anything is ranked, so
 # that the last bits of a distributed sum never decide who is a neighbour.
 SIMILARITY_PLACES = 9

@@ -7,7 +7,7 @@ fixed-schema ratings file calls for.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,12 @@ def _text_columns(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
+def _required(name: str, kind: str) -> Column:
+    """A field cast to ``kind``; a line that lacks it fails the job, like one that can't be cast."""
+    missing = F.raise_error(F.lit(f"a line of the ratings file has no {name}"))
+    return F.when(F.col(name).isNull(), missing).otherwise(F.col(name)).cast(kind).alias(name)
+
+
 def read_ratings(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """Ratings from ``user <sep> item <sep> rating [<sep> anything]`` lines."""
     raw = spark.read.csv(
@@ -27,9 +33,7 @@ def read_ratings(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
         ignoreTrailingWhiteSpace=True,
     )
     return raw.select(
-        F.col("user_id").cast("bigint").alias("user_id"),
-        F.col("item_id").cast("bigint").alias("item_id"),
-        F.col("rating").cast("double").alias("rating"),
+        _required("user_id", "bigint"), _required("item_id", "bigint"), _required("rating", "double")
     )
 
 

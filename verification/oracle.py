@@ -6,6 +6,7 @@ model evaluated at several k is evaluated once per k, and so on.
 
 from __future__ import annotations
 
+#: Fixed value: the neighbourhood sizes the reference results are reported for.
 KS = (10, 30, 50, 100, 200, 300, 400, 800, 943)
 
 
@@ -224,6 +225,9 @@ TRAIN = (SPLIT, vectors())
 TEST_FIT = (SPLIT, vectors("seen", "user_mean"))
 COSINE = (*TRAIN, similar("cosine"))
 JACCARD = (*TRAIN, similar("jaccard"))
+WHOLE = (RATINGS, ALL_USERS, vectors("ratings", "all_mean"))
+ALL_COSINE = (*WHOLE, similar("cosine"))
+ALL_JACCARD = (*WHOLE, similar("jaccard"))
 ALL_EDGES = "SELECT * FROM e"
 K100 = "SELECT * FROM ranked WHERE rank <= 100"
 
@@ -306,18 +310,18 @@ SELECT user_id, item_id, count(*) OVER (PARTITION BY user_id) AS set_size FROM r
         *TEST_FIT, baseline("v", "seen", "JOIN"), select=mae("baseline", "bp")),
     "absolute_errors": with_(SPLIT, USER, select=f"""
 SELECT user_id, item_id, {rnd('abs(rating - prediction)', 6)} AS error FROM up"""),
-    "normalized_deviation": with_(*TRAIN, select=f"""
+    "normalized_deviation": with_(*WHOLE, select=f"""
 SELECT user_id, item_id, {rnd('rating', 6)} AS rating, {rnd('a', 6)} AS user_mean,
   {rnd('d', 6)} AS dev FROM v"""),
-    "item_mean_deviation": with_(*TRAIN, select=f"""
+    "item_mean_deviation": with_(*WHOLE, select=f"""
 SELECT item_id, {rnd('avg(d)', 6)} AS item_dev, count(*) AS n FROM v GROUP BY 1"""),
     "baseline_prediction": with_(*TRAIN, baseline(), select=PREDICTIONS.replace("predicted", "bp")),
-    "processed_deviation": with_(*TRAIN, select=f"""
+    "processed_deviation": with_(*WHOLE, select=f"""
 SELECT user_id, item_id, {rnd('d', 6)} AS dev, {rnd('pd', 6)} AS pdev FROM p"""),
-    "cosine_similarity": with_(*COSINE, select="SELECT * FROM s"),
-    "jaccard_similarity": with_(*JACCARD, select="SELECT * FROM s"),
-    "pair_overlap": with_(*TRAIN, similar("overlap"), select="SELECT * FROM s"),
-    "overlap_stats": with_(*TRAIN, similar("overlap"), select=f"""
+    "cosine_similarity": with_(*ALL_COSINE, select="SELECT * FROM s"),
+    "jaccard_similarity": with_(*ALL_JACCARD, select="SELECT * FROM s"),
+    "pair_overlap": with_(*WHOLE, similar("overlap"), select="SELECT * FROM s"),
+    "overlap_stats": with_(*WHOLE, similar("overlap"), select=f"""
 SELECT users, pairs, overlapping_pairs,
   CAST(CASE WHEN overlapping_pairs < pairs THEN 0 ELSE lo END AS BIGINT) AS min,
   CAST(hi AS BIGINT) AS max, {rnd('total / pairs', 6)} AS average,
@@ -329,12 +333,12 @@ FROM (
     sum((similarity - mean) ** 2) AS squares
   FROM s, (SELECT count(*) AS u FROM sizes) c,
     (SELECT (SELECT sum(similarity) FROM s) / (count(*) * (count(*) - 1) / 2) AS mean FROM sizes) m)"""),
-    "pair_count_storage": with_(*COSINE, select="""
+    "pair_count_storage": with_(*ALL_COSINE, select="""
 SELECT u AS users, u * (u - 1) // 2 AS pairs, 8 * (u * (u - 1) // 2) AS bytes,
   nonzero AS nonzero_pairs, 8 * nonzero AS nonzero_bytes
 FROM (SELECT count(*) AS u FROM sizes) a, (SELECT count(*) AS nonzero FROM s WHERE similarity <> 0) b"""),
-    "top_k_neighbors": with_(*COSINE, RANKED, select="SELECT * FROM ranked WHERE rank <= 10"),
-    "neighbor_lists": with_(*COSINE, RANKED, select="""
+    "top_k_neighbors": with_(*ALL_COSINE, RANKED, select="SELECT * FROM ranked WHERE rank <= 10"),
+    "neighbor_lists": with_(*ALL_COSINE, RANKED, select="""
 SELECT user_id, string_agg(CAST(neighbor_id AS VARCHAR), ',' ORDER BY rank) AS neighbors
 FROM ranked WHERE rank <= 10 GROUP BY 1"""),
     "cosine_prediction": with_(*COSINE, predicted(ALL_EDGES), select=PREDICTIONS),
@@ -349,18 +353,18 @@ FROM ranked WHERE rank <= 10 GROUP BY 1"""),
     "mae_knn": with_(*COSINE, RANKED, predicted(K100), select=mae("knn")),
     "mae_knn_covered": with_(*COSINE, RANKED, predicted(K100, keep=False), select=mae("knn")),
     "knn_sweep": with_(*COSINE, RANKED, sweep(), select=BY_K),
-    "knn_storage_by_k": with_(*COSINE, RANKED, select="""
+    "knn_storage_by_k": with_(*ALL_COSINE, RANKED, select="""
 SELECT k, count(*) AS edges, 8 * count(*) AS bytes FROM ranked
 JOIN (VALUES """ + ", ".join(f"({k})" for k in KS) + """) ks(k) ON rank <= k GROUP BY k"""),
     "mae_by_k": with_(*COSINE, RANKED, curve("test", True), select=f"""
 SELECT k, n, {rnd('mae', 6)} AS mae FROM curve"""),
     "lowest_k": lowest_k(),
-    "knn_full_table": with_(*COSINE, RANKED, select=f"""
+    "knn_full_table": with_(*ALL_COSINE, RANKED, select=f"""
 SELECT w.user_id, w.item_id, {rnd(denorm('u.a', 'wd'), 6)} AS prediction
 FROM (SELECT g.user_id, v.item_id,
              sum(g.similarity * v.d) / nullif(sum(abs(g.similarity)), 0.0) AS wd
       FROM ranked g JOIN v ON v.user_id = g.neighbor_id WHERE g.rank <= 10 GROUP BY 1, 2) w
-JOIN user_mean u ON u.user_id = w.user_id WHERE wd IS NOT NULL"""),
+JOIN all_mean u ON u.user_id = w.user_id WHERE wd IS NOT NULL"""),
     "recommend_baseline": with_(
         RATINGS, PERSONAL, ALL_USERS, vectors("ratings", "all_mean"),
         select=recommended(personal_candidates())),
@@ -378,7 +382,7 @@ JOIN user_mean u ON u.user_id = w.user_id WHERE wd IS NOT NULL"""),
         + recommended(knn_candidates(300, "personal"), extra=", 300 AS k") + ")",
     ),
     "recommend_knn_all": with_(
-        *COSINE, RANKED, select=recommended(knn_candidates(10, "train"), titles=False)),
+        *ALL_COSINE, RANKED, select=recommended(knn_candidates(10, "ratings"), titles=False)),
     "mean_model_differences": with_(SPLIT, GLOBAL, USER, ITEM, """m AS (
   SELECT 'global' AS model, count(*) AS n, avg(abs(rating - prediction)) AS mae FROM gp
   UNION ALL SELECT 'user', count(*), avg(abs(rating - prediction)) FROM up
@@ -387,3 +391,18 @@ SELECT model, n, {rnd('mae', 6)} AS mae,
   {rnd("mae - (SELECT mae FROM m WHERE model = 'global')", 6)} AS mae_minus_reference FROM m"""),
     "model_comparison": model_comparison(),
 }
+
+#: The same results whatever the settings that divide the work.
+ORACLE |= {f"{name}_hot": ORACLE[name] for name in (
+    "cosine_similarity", "jaccard_similarity", "overlap_stats", "top_k_neighbors", "cosine_prediction", "mae_by_k",
+)}
+ORACLE["ratings_from_tab_text"] = ORACLE["ratings_from_text"]
+ORACLE["knn_prediction_for_users"] = ORACLE["knn_prediction"] + " WHERE user_id % 50 = 0"
+_ON_TEST = {
+    m: with_(*TEST_FIT, similar(m), predicted(ALL_EDGES, "seen", False), select=f"""
+SELECT '{m}' AS model, count(prediction) AS n, avg(abs(rating - prediction)) AS mae FROM predicted""")
+    for m in ("cosine", "jaccard")
+}
+ORACLE["mae_jaccard_on_test_deviations"] = f"SELECT model, n, {rnd('mae', 6)} AS mae FROM ({_ON_TEST['jaccard']}) x"
+ORACLE["jaccard_minus_cosine"] = f"""SELECT x.model, x.n, {rnd('x.mae', 6)} AS mae, {rnd('x.mae - c.mae', 6)} AS mae_minus_reference
+FROM (SELECT * FROM ({_ON_TEST['cosine']}) y UNION ALL SELECT * FROM ({_ON_TEST['jaccard']}) z) x, ({_ON_TEST['cosine']}) c"""

@@ -6,7 +6,6 @@ models are fitted on train and judged on test.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +20,13 @@ from kindred.operators.metrics import absolute_errors, compare, mae
 from kindred.operators.neighbors import neighbor_lists, top_k
 from kindred.operators.stats import item_means, item_sets, mean_spread, global_mean, rating_stats, user_means
 from kindred.operators.vectors import Fitted, fit
+from kindred.schema import FitSettings
 from kindred.plans.baseline import (
     predict_baseline, predict_global, predict_item_mean, predict_user_mean,
 )
 from kindred.plans.knn import (
-    edges_by_k, knn_sweep, lowest_k, mae_by_k, predict_all_neighbors, predict_knn, predict_table,
+    edges_by_k, knn_sweep, lowest_k, mae_by_k, predict_all_neighbors, predict_knn, predict_knn_for,
+    predict_table,
 )
 from kindred.plans.recommend import (
     recommend_baseline, recommend_knn, recommend_knn_all, recommend_popular,
@@ -35,7 +36,8 @@ from kindred.sources import (
     item_titles, personal_from_parts, personal_ratings, ratings_from_sales, read_personal,
     read_ratings, train_test, write_json,
 )
-from kindred.sources.staging import checkpoint_folder, stage
+from kindred.sources.checks import expect_count
+from kindred.sources.staging import scratch, stage
 
 PERSONAL_USER = -1
 NEIGHBORS = 10
@@ -69,13 +71,19 @@ def _personal(spark: SparkSession, d: str) -> DataFrame:
     return personal_ratings(personal_from_parts(spark, d), PERSONAL_USER)
 
 
-def _fitted(spark: SparkSession, d: str) -> tuple[Fitted, DataFrame]:
+#: Settings under which items of the smallest tables are hot and users are compared in
+#: several tiles, some users outside of them: the division of work at scale, on test data.
+HOT = FitSettings(hot_item_ratings=25, tiled_user_ratings=45, tile_users=128, tile_ratings=4_000)
+
+
+def _fitted(spark: SparkSession, d: str, settings: FitSettings = FitSettings()) -> tuple[Fitted, DataFrame]:
+    """Fitted on the training rows, with the held-out ones: for predictions and their errors."""
     train, test = _split(spark, d)
-    return fit(train, stored=True), test
+    return fit(train, settings, stored=True), test
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_folder(spark)}/kindred/{name}-{uuid.uuid4().hex}"
+def _fitted_all(spark: SparkSession, d: str, settings: FitSettings = FitSettings()) -> Fitted:
+    return fit(_ratings(spark, d), settings, stored=True)
 
 
 def _predictions(df: DataFrame) -> DataFrame:
@@ -91,15 +99,23 @@ def _metrics(df: DataFrame) -> DataFrame:
 
 def ratings_from_text(spark, d):
     """Ratings written as text with a two-character separator and read back."""
-    path = _scratch(spark, "ratings-text")
+    path = scratch(spark, "ratings-text")
     line = F.concat_ws(" :: ", "user_id", "item_id", "rating", F.lit("0"))
     ratings_from_sales(spark, d).select(line.alias("value")).write.text(path)
     return neat(read_ratings(spark, path, sep="::"), rating=6)
 
 
+def ratings_from_tab_text(spark, d):
+    """Ratings written with tabs and read back, with their number checked."""
+    path = scratch(spark, "ratings-tab")
+    ratings = _ratings(spark, d)
+    ratings.select(F.concat_ws("\t", "user_id", "item_id", "rating").alias("value")).write.text(path)
+    return neat(expect_count(read_ratings(spark, path), ratings.count(), "ratings"), rating=6)
+
+
 def personal_from_csv(spark, d):
     """A personal list written as CSV (quoted titles, empty ratings) and read back."""
-    path = _scratch(spark, "personal-csv")
+    path = scratch(spark, "personal-csv")
     titled = personal_from_parts(spark, d).withColumn("title", F.concat("title", F.lit(", the")))
     titled.write.csv(path, quoteAll=False, nullValue="")
     return read_personal(spark, path)
@@ -107,7 +123,7 @@ def personal_from_csv(spark, d):
 
 def metrics_json(spark, d):
     """A metrics frame written as JSON and read back."""
-    path = _scratch(spark, "metrics-json")
+    path = scratch(spark, "metrics-json")
     train, test = _split(spark, d)
     write_json(mae(predict_user_mean(train, test), "user"), path)
     return neat(spark.read.schema("model string, n bigint, mae double").json(path), mae=6)
@@ -199,62 +215,65 @@ def q_mae_baseline_on_test_deviations(spark, d):
 
 
 def q_normalized_deviation(spark, d):
-    train, _ = _split(spark, d)
-    devs = deviations(train, user_means(train))
+    ratings = _ratings(spark, d)
+    devs = deviations(ratings, user_means(ratings))
     return neat(devs, rating=6, user_mean=6, dev=6)
 
 
 def q_item_mean_deviation(spark, d):
-    train, _ = _split(spark, d)
-    return neat(item_deviations(deviations(train, user_means(train))), item_dev=6)
+    ratings = _ratings(spark, d)
+    return neat(item_deviations(deviations(ratings, user_means(ratings))), item_dev=6)
 
 
 def q_processed_deviation(spark, d):
-    train, _ = _split(spark, d)
-    rows = processed_deviations(train, user_profiles(train))
+    ratings = _ratings(spark, d)
+    rows = processed_deviations(ratings, user_profiles(ratings))
     return neat(rows.select("user_id", "item_id", "dev", "pdev"), dev=6, pdev=6)
 
 
 # --- similarity --------------------------------------------------------------
 
 
-def _pairs_of(metric: str):
+def _pairs_of(metric: str, settings: FitSettings = FitSettings()):
     def query(spark, d):
-        fitted, _ = _fitted(spark, d)
-        return pairs.similarity_pairs(fitted, metric)
+        return pairs.similarity_pairs(_fitted_all(spark, d, settings), metric)
 
     return query
 
 
 def q_overlap_stats(spark, d):
-    fitted, _ = _fitted(spark, d)
-    return neat(overlap_stats(fitted), average=6, stddev=6)
+    return neat(overlap_stats(_fitted_all(spark, d)), average=6, stddev=6)
+
+
+def q_overlap_stats_hot(spark, d):
+    return neat(overlap_stats(_fitted_all(spark, d, HOT)), average=6, stddev=6)
 
 
 def q_pair_count_storage(spark, d):
-    fitted, _ = _fitted(spark, d)
-    return storage(fitted)
+    return storage(_fitted_all(spark, d))
 
 
 # --- neighbours and predictions ----------------------------------------------
 
 
 def q_top_k_neighbors(spark, d):
-    fitted, _ = _fitted(spark, d)
-    return top_k(fitted, NEIGHBORS)
+    return top_k(_fitted_all(spark, d), NEIGHBORS)
+
+
+def q_top_k_neighbors_hot(spark, d):
+    return top_k(_fitted_all(spark, d, HOT), NEIGHBORS)
 
 
 def q_neighbor_lists(spark, d):
-    fitted, _ = _fitted(spark, d)
-    lists = neighbor_lists(top_k(fitted, NEIGHBORS))
+    lists = neighbor_lists(top_k(_fitted_all(spark, d), NEIGHBORS))
     return lists.select(
         "user_id", F.array_join(F.col("neighbors.neighbor_id"), ",").alias("neighbors")
     )
 
 
-def _all_neighbor_predictions(metric: str):
+def _all_neighbor_predictions(metric: str, settings: FitSettings = FitSettings()):
     def query(spark, d):
-        fitted, test = _fitted(spark, d)
+        fitted, test = _fitted(spark, d, settings)
         return _predictions(predict_all_neighbors(fitted, test, metric))
 
     return query
@@ -273,6 +292,12 @@ def q_knn_prediction(spark, d):
     return _predictions(predict_knn(fitted, test, EVALUATED_K))
 
 
+def q_knn_prediction_for_users(spark, d):
+    """The held-out ratings of the users whose id is divisible by 50: only their neighbours are looked for."""
+    fitted, test = _fitted(spark, d)
+    return _predictions(predict_knn_for(fitted, test.where("user_id % 50 = 0"), EVALUATED_K))
+
+
 def q_mae_knn(spark, d):
     fitted, test = _fitted(spark, d)
     return _metrics(mae(predict_knn(fitted, test, EVALUATED_K), "knn", EVALUATED_K))
@@ -296,6 +321,18 @@ def q_mae_cosine_on_test_deviations(spark, d):
     return _metrics(mae(predict_all_neighbors(fitted, seen, fallback="drop"), "cosine"))
 
 
+def q_mae_jaccard_on_test_deviations(spark, d):
+    fitted, seen = _fit_on_test(spark, d)
+    return _metrics(mae(predict_all_neighbors(fitted, seen, pairs.JACCARD, fallback="drop"), "jaccard"))
+
+
+def q_jaccard_minus_cosine(spark, d):
+    """Both errors on the test rows' own deviations, and their difference."""
+    fitted, seen = _fit_on_test(spark, d)
+    rows = [mae(predict_all_neighbors(fitted, seen, m, fallback="drop"), m) for m in (pairs.COSINE, pairs.JACCARD)]
+    return neat(compare(rows[0].unionByName(rows[1]), pairs.COSINE).drop("k"), mae=6, mae_minus_reference=6)
+
+
 def q_mae_knn_on_test_deviations(spark, d):
     fitted, seen = _fit_on_test(spark, d)
     return neat(knn_sweep(fitted, seen, fallback="drop"), mae=6)
@@ -307,8 +344,7 @@ def q_knn_sweep(spark, d):
 
 
 def q_knn_storage_by_k(spark, d):
-    fitted, _ = _fitted(spark, d)
-    return edges_by_k(fitted)
+    return edges_by_k(_fitted_all(spark, d))
 
 
 def q_mae_by_k(spark, d):
@@ -316,6 +352,11 @@ def q_mae_by_k(spark, d):
     return neat(mae_by_k(fitted, test), mae=6)
 
 
+def q_mae_by_k_hot(spark, d):
+    fitted, test = _fitted(spark, d, HOT)
+    return neat(mae_by_k(fitted, test), mae=6)
+
+
 def q_lowest_k(spark, d):
     """Smallest k that beats the baseline, with deviations from train or from test rows."""
     train, test = _split(spark, d)
@@ -334,8 +375,7 @@ def q_lowest_k(spark, d):
 
 
 def q_knn_full_table(spark, d):
-    fitted, _ = _fitted(spark, d)
-    return neat(predict_table(fitted, NEIGHBORS), prediction=6)
+    return neat(predict_table(_fitted_all(spark, d), NEIGHBORS), prediction=6)
 
 
 # --- recommendation ----------------------------------------------------------
@@ -368,8 +408,7 @@ def q_recommend_knn(spark, d):
 
 
 def q_recommend_knn_all(spark, d):
-    fitted, _ = _fitted(spark, d)
-    return _recommended(recommend_knn_all(fitted, NEIGHBORS))
+    return _recommended(recommend_knn_all(_fitted_all(spark, d), NEIGHBORS))
 
 
 # --- reports -----------------------------------------------------------------
@@ -393,6 +432,7 @@ def q_mean_model_differences(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_from_text": ratings_from_text,
+    "ratings_from_tab_text": ratings_from_tab_text,
     "personal_from_csv": personal_from_csv,
     "metrics_json": metrics_json,
     "ratings_with_personal": ratings_with_personal,
@@ -418,21 +458,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jaccard_similarity": _pairs_of(pairs.JACCARD),
     "pair_overlap": _pairs_of(pairs.OVERLAP),
     "overlap_stats": q_overlap_stats,
+    "cosine_similarity_hot": _pairs_of(pairs.COSINE, HOT),
+    "jaccard_similarity_hot": _pairs_of(pairs.JACCARD, HOT),
+    "overlap_stats_hot": q_overlap_stats_hot,
     "pair_count_storage": q_pair_count_storage,
     "top_k_neighbors": q_top_k_neighbors,
+    "top_k_neighbors_hot": q_top_k_neighbors_hot,
     "neighbor_lists": q_neighbor_lists,
     "cosine_prediction": _all_neighbor_predictions(pairs.COSINE),
+    "cosine_prediction_hot": _all_neighbor_predictions(pairs.COSINE, HOT),
     "jaccard_prediction": _all_neighbor_predictions(pairs.JACCARD),
     "mae_cosine": _mae_all_neighbors(pairs.COSINE),
     "mae_jaccard": _mae_all_neighbors(pairs.JACCARD),
     "mae_cosine_on_test_deviations": q_mae_cosine_on_test_deviations,
+    "mae_jaccard_on_test_deviations": q_mae_jaccard_on_test_deviations,
+    "jaccard_minus_cosine": q_jaccard_minus_cosine,
     "mae_knn_on_test_deviations": q_mae_knn_on_test_deviations,
     "knn_prediction": q_knn_prediction,
+    "knn_prediction_for_users": q_knn_prediction_for_users,
     "mae_knn": q_mae_knn,
     "mae_knn_covered": q_mae_knn_covered,
     "knn_sweep": q_knn_sweep,
     "knn_storage_by_k": q_knn_storage_by_k,
     "mae_by_k": q_mae_by_k,
+    "mae_by_k_hot": q_mae_by_k_hot,
     "lowest_k": q_lowest_k,
     "knn_full_table": q_knn_full_table,
     "recommend_baseline": q_recommend_baseline,
