@@ -199,12 +199,12 @@ class Encoder:
         self._transducer = Transducer(ranks)
         self._pieces = PieceEncoder(pattern, self._learn)
 
-    def _learn(self, pieces: list[str]) -> list[bytes]:
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         encode = self._transducer.encode
         tokens = [encode(piece.encode("utf-8")) for piece in pieces]
         data = np.fromiter(chain.from_iterable(tokens), dtype="<u4").tobytes()
         ends = [0, *accumulate(4 * len(t) for t in tokens)]
-        return [data[a:b] for a, b in zip(ends, ends[1:])]
+        return {piece: data[a:b] for piece, a, b in zip(pieces, ends, ends[1:])}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids as little-endian uint32; none for null."""

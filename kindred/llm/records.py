@@ -27,12 +27,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.pieces import PieceEncoder
+from kindred.llm.pieces import PATTERN, PieceEncoder
 
 FILE_BYTES = 16 << 20
 BATCH_ROWS = 250
-#: Fixed value: how byte-level vocabularies split a text (as the tokenizer file's own pre-tokenizer does).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _HEAD = struct.Struct("<QI")
 _SUM = struct.Struct("<I")
 _ID = struct.Struct("<q")
@@ -98,17 +96,18 @@ class LibraryEncoder:
             for own, text, ids in zip(special, texts, found)
         ]
 
-    def _learn(self, pieces: list[str]) -> list[bytes]:
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         words = [p for p in pieces if not p.isspace()]
         known: dict[str, bytes] = {}
         if len(self._feed) == 1 and words:
             ids = np.array(self._ids("\n".join(words)), dtype="<u4")
-            cuts = np.flatnonzero(ids == self._feed[0])
+            cuts = 4 * np.flatnonzero(ids == self._feed[0])
             if len(cuts) == len(words) - 1:
-                data = ids.tobytes()
-                starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(data)]
-                known = dict(zip(words, [data[a:b] for a, b in zip(starts, ends)]))
-        return [known[p] if p in known else np.array(self._ids(p), dtype="<u4").tobytes() for p in pieces]
+                data, ends = ids.tobytes(), cuts.tolist()
+                known = {w: data[a:b] for w, a, b in zip(words, [0, *(cuts + 4).tolist()], [*ends, len(data)])}
+        for piece in pieces if len(known) < len(words) else [p for p in pieces if p.isspace()]:
+            known[piece] = np.array(self._ids(piece), dtype="<u4").tobytes()
+        return known
 
 
 @lru_cache(maxsize=2)
