@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from kindred.operators.stats import user_means
 from kindred.operators.vectors import Fitted
 from kindred.operators.weighting import full_table_sums, weighted_prediction, with_user_means
 from kindred.schema import RatingScale
+from kindred.sources.staging import stage
 
 # Predictions are compared after rounding, so that the last bits of a sum do not
 # decide between items the rule says are tied.
@@ -109,6 +112,21 @@ def recommend_knn(
     return with_titles(top_n(scored, n), items)
 
 
+def recommend_knn_for_ks(
+    fitted: Fitted, targets: DataFrame, ks: tuple[int, ...], n: int = 5, items: DataFrame | None = None
+) -> DataFrame:
+    """The same for several k, with a column k: neighbours are searched once, at the largest.
+
+    ``targets`` is staged: a list of constants would turn the join that selects the targets'
+    rows into one without a key.
+    """
+    nearest = stage(top_k_of(fitted, stage(targets.select("user_id"), "targets"), max(ks)), "nearest")
+    tops = [
+        top_n(_knn_scores(nearest.where(F.col("rank") <= k), fitted), n).withColumn("k", F.lit(k)) for k in ks
+    ]
+    return with_titles(reduce(DataFrame.unionByName, tops), items)
+
+
 def recommend_knn_all(
     fitted: Fitted, k: int, n: int = 5, items: DataFrame | None = None
 ) -> DataFrame:

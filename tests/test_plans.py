@@ -46,6 +46,13 @@ def test_no_cross_join_and_no_python_without_hot_items(split, fitted):
         assert "Pandas" not in plan and "Python" not in plan
 
 
+def test_recommendations_for_a_constant_user_join_on_a_key(spark, small_dir):
+    from verification.queries import QUERIES
+
+    plan = plan_of(QUERIES["recommend_knn"](spark, small_dir))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_top_k_of_short_lists_shuffles_edges_once(fitted):
     plan = plan_of(top_k(fitted, 5))
     assert plan.count("WindowGroupLimit") == 1

@@ -29,7 +29,7 @@ from kindred.plans.knn import (
     predict_table,
 )
 from kindred.plans.recommend import (
-    recommend_baseline, recommend_knn, recommend_knn_all, recommend_popular,
+    recommend_baseline, recommend_knn_all, recommend_knn_for_ks, recommend_popular,
 )
 from kindred.plans.report import model_comparison, overlap_stats, storage
 from kindred.sources import (
@@ -401,10 +401,7 @@ def q_recommend_knn(spark, d):
     personal = _personal(spark, d)
     fitted = fit(_ratings(spark, d).unionByName(personal))
     target = personal.select("user_id").distinct()
-    titles = item_titles(spark, d)
-    small = recommend_knn(fitted, target, 30, items=titles).withColumn("k", F.lit(30))
-    large = recommend_knn(fitted, target, 300, items=titles).withColumn("k", F.lit(300))
-    return _recommended(small.unionByName(large))
+    return _recommended(recommend_knn_for_ks(fitted, target, (30, 300), items=item_titles(spark, d)))
 
 
 def q_recommend_knn_all(spark, d):
