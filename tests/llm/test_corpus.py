@@ -315,3 +315,13 @@ def test_pipeline_stages(spark, tmp_path):
     assert 0.5 * len(kept[2]) < len(kept[3]) < len(kept[2]) and kept[4] == kept[3]
     assert docs.where("not intact").count() == 0
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(kept[4])
+
+
+def test_the_curve_converges_on_separable_ratios():
+    rng = np.random.default_rng(1)
+    ratio = np.concatenate((rng.normal(-0.02, 0.002, 900), rng.normal(0.1, 0.02, 100)))
+    toxic = np.arange(1000) >= 900
+    for weight in (np.ones(1000), np.where(toxic, 1.0, 12.0)):
+        slope, offset = toxicity.logistic(ratio, toxic, weight)
+        predicted = slope * toxicity.stretched(ratio) + offset >= 0
+        assert slope > 0 and (predicted == toxic).all()
