@@ -223,6 +223,52 @@ def test_ratio_of_known_words():
     assert model.ratio(hashes[0]) == 2.0 and model.ratio(hashes[1]) == -0.5 and model.ratio(hashes[0][:0]) == -0.5
 
 
+def rare_toxic(seed, count, every):
+    """Every ``every``-th text is toxic."""
+    rnd = random.Random(seed)
+    rows, labels = [], []
+    for i in range(count):
+        words = prose(rnd, rnd.choice(["en", "de"]), rnd.randrange(20, 150)).split()
+        for _ in range(2 * (i % every == 0)):
+            words.insert(rnd.randrange(len(words)), rnd.choice(["scoundrel", "wretch"]))
+        rows.append((i, " ".join(words), "en", "s"))
+        labels.append((i, int(i % every == 0)))
+    return rows, labels
+
+
+def test_the_larger_class_is_not_cut_to_the_smaller(spark):
+    rows, labels = rare_toxic(4, 400, 20)
+    fitted = {i: t for i, t in labels if zlib.crc32(str(i).encode()) % 5}
+    docs, marks = table(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert {r.doc_id: (int(r.toxic), r.weight) for r in toxicity.labelled_sample(docs, marks).collect()} == {i: (t, 1.0) for i, t in fitted.items()}
+    few = toxicity.labelled_sample(docs, marks, 50).collect()
+    toxic = sum(fitted.values())
+    assert toxic < 50 and sum(r.toxic for r in few) == toxic and sum(not r.toxic for r in few) == 50
+    assert {r.weight for r in few if not r.toxic} == {(len(fitted) - toxic) / 50}
+
+
+def test_few_toxic_texts_among_many(spark):
+    rows, labels = rare_toxic(5, 900, 18)
+    out = toxicity.rate(table(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    truth = dict(labels)
+    held = [(r.predicted, truth[r.doc_id]) for r in out if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert sum(t for _, t in held) >= 5 and all(p == t for p, t in held)
+
+
+def test_one_long_text_and_copies_do_not_make_a_word_toxic(spark):
+    rows, labels = rare_toxic(6, 400, 8)
+    ordinary = prose(random.Random(8), "fr", 60)
+    rnd = random.Random(9)
+    long = " ".join(f"{prose(rnd, 'de', 1)} mild" for _ in range(400))
+    rows += [(1000, long, "en", "s"), *[(2000 + i, ordinary + f" end{i}", "fr", "s") for i in range(40)]]
+    labels += [(1000, 1), *[(2000 + i, 1) for i in range(40)]]
+    model = toxicity.fit(toxicity.labelled_sample(table(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")))
+    known = set(model.words[0].tolist())
+    for word in ["mild", *ordinary.split()]:
+        assert next(batch_words([word], ALPHANUMERIC))[0] not in known
+    assert next(batch_words(["wretch"], ALPHANUMERIC))[0] in known
+
+
 # --- mixing --------------------------------------------------------------------
 
 
