@@ -4,7 +4,7 @@ Vectors of unit length are projected on a fixed orthonormal basis.  An index blo
 each projection, the block's vectors in the order of their projections: sorted arrays, one
 per projection, that serve every radius.  A query opens a window around its own projection in
 each array; a vector collides where it lies in the window.  Virtual rehashing widens all
-windows by a factor until at least PROBE of the block's vectors exceed the collision
+windows by a factor until at least PROBE of the block's different ids exceed the collision
 threshold; each widening counts only what the windows gain.  All vectors over the threshold
 are verified: their cosine is computed on the original components in double precision.
 
@@ -49,10 +49,11 @@ def cosines(query: np.ndarray, rows: np.ndarray, query_norm: float, norms: np.nd
 
 
 class Block:
-    """The sorted arrays of one block of vectors (float64 rows)."""
+    """The sorted arrays of one block of vectors (float64 rows) and their ids."""
 
-    def __init__(self, rows: np.ndarray):
-        self.rows = rows
+    def __init__(self, rows: np.ndarray, ids: np.ndarray):
+        self.rows, self.ids = rows, ids
+        self.different = len(np.unique(ids))
         self.norms = np.sqrt((rows * rows).sum(axis=1))
         projected = (rows / self.norms[:, None]) @ basis(rows.shape[1])
         self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
@@ -61,7 +62,7 @@ class Block:
     def candidates(self, queries: np.ndarray) -> list[np.ndarray]:
         """For each query (unit length) the rows whose collisions exceed the threshold."""
         count, dimensions = self.rows.shape
-        wanted = min(count, max(16, int(PROBE * count)))
+        wanted = min(self.different, max(16, int(PROBE * self.different)))
         projected = queries @ basis(dimensions)
         needed = int(np.ceil(THRESHOLD * dimensions))
         scale = 1 / np.sqrt(dimensions)
@@ -87,20 +88,23 @@ class Block:
                 counts += np.bincount(np.concatenate(gained), minlength=count)
                 seen_low, seen_high = low[q], high[q]
                 over = np.flatnonzero(counts >= needed)
-                if len(over) >= wanted:
+                # Repeated rows of an id are one candidate.
+                if len(over) >= wanted and (self.different == count or len(np.unique(self.ids[over])) >= wanted):
                     break
             found.append(over)
         return found
 
 
-def best(block: Block, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int):
+def best(block: Block, queries: np.ndarray, query_ids: np.ndarray, k: int):
     """The k nearest of the block for each query: (query_id, vec_id, score)."""
     norms = np.sqrt((queries * queries).sum(axis=1))
-    out = ([], [], [])
+    ids, out = block.ids, ([], [], [])
     for q, over in enumerate(block.candidates(queries / norms[:, None])):
         over = over[ids[over] != query_ids[q]]
         scores = cosines(queries[q], block.rows[over], norms[q], block.norms[over])
-        first = np.lexsort((ids[over], -scores))[:k]
+        order = np.lexsort((ids[over], -scores))
+        # Repeated rows of an id count once, before the best k are taken.
+        first = order[np.sort(np.unique(ids[over[order]], return_index=True)[1])[:k]]
         out[0].extend([int(query_ids[q])] * len(first))
         out[1].extend(ids[over[first]].tolist())
         out[2].extend(scores[first].tolist())
@@ -137,7 +141,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         if asks.all() or not asks.any():
             columns = ([], [], [])
         else:
-            columns = best(Block(data[~asks]), ids[~asks], data[asks], ids[asks], k)
+            columns = best(Block(data[~asks], ids[~asks]), data[asks], ids[asks], k)
         types = (("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()))
         return pa.table({name: pa.array(c, kind) for c, (name, kind) in zip(columns, types)})
 

@@ -132,3 +132,17 @@ def test_copies_tie_to_the_smaller_id(spark):
     rows = [(i, copy, 1, "x") for i in range(40)] + [(i, rng.normal(size=16).tolist(), 1, "x") for i in range(40, 80)]
     out = ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 30).orderBy("rank").collect()
     assert [r.vec_id for r in out] == [0, 1, 2, 3, 4] and len({r.score for r in out}) == 1
+
+
+@pytest.mark.parametrize("block, count", [(8192, 15), (12, 60)])
+@pytest.mark.parametrize("close", [1, 6, 40])
+def test_repeated_rows_count_once(spark, monkeypatch, block, count, close):
+    """Blocks of at most 16 ids are searched whole."""
+    monkeypatch.setattr(ann, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    vectors = {i: rng.normal(size=16) for i in range(count)}
+    vectors[7] = vectors[3] + 0.01 * rng.normal(size=16)
+    rows = [(i, v.tolist(), 1, "x") for i, v in vectors.items() for _ in range(2)] + [(7, vectors[7].tolist(), 1, "x")] * (close - 1)
+    out = ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 3).orderBy("rank").collect()
+    best = sorted((-cosine(vectors[3], v), i) for i, v in vectors.items() if i != 3)[:5]
+    assert [r.vec_id for r in out] == [i for _, i in best]
