@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, bpe, kdshards, languages, licenses, minhash, mixing, records, subspace, toxicity
+from kindred.llm import ann, bpe, collocations, kdshards, languages, licenses, minhash, mixing, quality, ranked, records, subspace, toxicity
 from kindred.sources.staging import scratch
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -106,4 +106,24 @@ def op10_ann(spark: SparkSession, d: str) -> DataFrame:
     return ann.search(_embeddings(spark, d), F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {"op1_subspace": op1_subspace, "op10_ann": op10_ann, "op2_kdshards": op2_kdshards, "op3_licenses": op3_licenses, "op4_languages": op4_languages, "op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op8_mixing": op8_mixing, "op9_bpe": op9_bpe}
+def op11_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Base rules and the verdict of boosted trees fitted on the labelled documents."""
+    return quality.judge(_documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
+def op12_search(spark: SparkSession, d: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return ranked.search(_documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"), 10)
+
+
+def op13_collocations(spark: SparkSession, d: str) -> DataFrame:
+    """The 2,000 strongest phrases of each language."""
+    return collocations.collocations(_documents(spark, d, "lang"))
+
+
+QUERIES = {
+    "op1_subspace": op1_subspace, "op10_ann": op10_ann, "op2_kdshards": op2_kdshards, "op3_licenses": op3_licenses, "op4_languages": op4_languages, "op5_minhash": op5_minhash, "op6_toxicity": op6_toxicity, "op7_records": op7_records, "op8_mixing": op8_mixing, "op9_bpe": op9_bpe,
+    "op11_quality": op11_quality, "op12_search": op12_search, "op13_collocations": op13_collocations,
+}

@@ -10,7 +10,7 @@ from verification.compare import canonical, duck
 
 def test_every_operator_is_registered_once():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(ORACLE) <= set(entry.oracle_sql())
 
 
@@ -23,5 +23,5 @@ def test_query_equals_its_sql(spark, small_dir, name):
 
 def test_every_row_of_the_table_is_in_the_result(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet").count()
-    for name in ("op2_kdshards", "op3_licenses", "op6_toxicity"):
+    for name in ("op2_kdshards", "op3_licenses", "op6_toxicity", "op11_quality"):
         assert QUERIES[name](spark, small_dir).count() == docs
