@@ -38,7 +38,7 @@ BREAKS = ~byte_class(PIECE_ENDS)
 PARTITION_BYTES = 16 << 20
 PARTITIONS = 64
 #: Keys that a task gathers before it counts them and sends the counts.
-GATHERED = 12_000_000
+GATHERED = 5_000_000
 #: The largest filter, in bits: 32 megabytes.  A partition's slice is at most SLICE_BITS.
 FILTER_BITS = 1 << 28
 SLICE_BITS = 1 << 21
@@ -212,7 +212,7 @@ def phrase_counts(docs: DataFrame, longest: int, filters: list[Filter], threshol
         for batch in batches:
             codes, seeds, names = _seeds(batch.column(0))
             totals = np.zeros(len(names), np.int64)
-            for chunk in chunks(batch.column(1), WORDS, BREAKS, size=4 * (4 << 20)):
+            for chunk in chunks(batch.column(1), WORDS, BREAKS):
                 langs = codes[chunk.rows]
                 totals += np.bincount(langs, minlength=len(names))
                 found = [(chunk, langs, n, at, hashes) for n, at, hashes in _phrases(chunk, seeds[langs], longest, filters)]
