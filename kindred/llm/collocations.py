@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm.hashing import byte_class, mix
 from kindred.llm.spans import Chunk, chunks, runs
+from kindred.operators.joins import join_per_key
 from kindred.sources.staging import stage
 
 #: What separates pieces, and words within pieces.
@@ -39,6 +40,8 @@ PARTITION_BYTES = 16 << 20
 PARTITIONS = 64
 #: Keys that a task gathers before it counts them and sends the counts.
 GATHERED = 5_000_000
+#: Different phrases that a task of the second pass counts before it sends the counts.
+HELD = 400_000
 #: The largest filter, in bits: 32 megabytes.  A partition's slice is at most SLICE_BITS.
 FILTER_BITS = 1 << 28
 SLICE_BITS = 1 << 21
@@ -188,43 +191,63 @@ def survivors(docs: DataFrame, partitions: int, lengths: range, filters: list[Fi
     return found
 
 
+class _Counter:
+    """Counts of the phrases of a task by hash, with the words of each."""
+
+    def __init__(self):
+        self.hashes, self.counts, self.at = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.lang, self.phrase, self.words = [], [], []
+
+    def add(self, chunk: Chunk, langs: np.ndarray, names: list[str], n: int, at: np.ndarray, hashes: np.ndarray) -> None:
+        order = np.argsort(hashes, kind="stable")
+        ordered = hashes[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1])))
+        found, times = ordered[first], np.diff(first, append=len(ordered))
+        place = np.searchsorted(self.hashes, found)
+        known = np.zeros(len(found), bool)
+        inside = place < len(self.hashes)
+        known[inside] = self.hashes[place[inside]] == found[inside]
+        self.counts[self.at[place[known]]] += times[known]
+        new = ~known
+        where = at[order[first[new]]]
+        self.lang += [names[i] for i in langs[where].tolist()]
+        self.phrase += [b" ".join(chunk.data[a:b].split()) for a, b in zip(chunk.starts[where].tolist(), chunk.ends[where + n - 1].tolist())]
+        self.words += [n] * len(where)
+        self.at = np.insert(self.at, place[new], np.arange(len(self.counts), len(self.counts) + len(where)))
+        self.hashes = np.insert(self.hashes, place[new], found[new])
+        self.counts = np.concatenate((self.counts, times[new]))
+
+    def rows(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array(self.lang, pa.string()), pa.array(self.phrase, pa.binary()).cast(pa.string()),
+            pa.array(self.words, pa.int32()), pa.array(self.counts),
+        ], ["lang", "phrase", "n_words", "a"])
+
+
 def phrase_counts(docs: DataFrame, longest: int, filters: list[Filter], threshold: int) -> DataFrame:
     """(lang, phrase, n_words, a): exact counts of all phrases of 1 to ``longest`` words that occur ``threshold``
     times, and of each language's words together (phrase null, n_words 0)."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
-    def count(gathered: list[tuple], names: list[str]) -> tuple[list, list, list, list]:
-        columns = ([], [], [], [])
-        for chunk, langs, n, at, hashes in gathered:
-            order = np.argsort(hashes, kind="stable")
-            ordered = hashes[order]
-            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1])))
-            where = at[order[first]]
-            starts, ends = chunk.starts[where].tolist(), chunk.ends[where + n - 1].tolist()
-            columns[0].extend([names[i] for i in langs[where].tolist()])
-            columns[1].extend([b" ".join(chunk.data[a:b].split()) for a, b in zip(starts, ends)])
-            columns[2].extend([n] * len(first))
-            columns[3].extend(np.diff(first, append=len(ordered)).tolist())
-        return columns
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = shared.value
+        counter = _Counter()
         for batch in batches:
             codes, seeds, names = _seeds(batch.column(0))
             totals = np.zeros(len(names), np.int64)
             for chunk in chunks(batch.column(1), WORDS, BREAKS):
                 langs = codes[chunk.rows]
                 totals += np.bincount(langs, minlength=len(names))
-                found = [(chunk, langs, n, at, hashes) for n, at, hashes in _phrases(chunk, seeds[langs], longest, filters)]
-                lang, phrase, words, times = count(found, names)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(words, pa.int32()), pa.array(times, pa.int64())],
-                    ["lang", "phrase", "n_words", "a"],
-                )
+                for n, at, hashes in _phrases(chunk, seeds[langs], longest, filters):
+                    counter.add(chunk, langs, names, n, at, hashes)
+                if len(counter.phrase) > HELD:
+                    yield counter.rows()
+                    counter = _Counter()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.nulls(len(names), pa.string()), pa.array([0] * len(names), pa.int32()), pa.array(totals)],
                 ["lang", "phrase", "n_words", "a"],
             )
+        yield counter.rows()
 
     counted = docs.mapInArrow(run, "lang string, phrase string, n_words int, a long")
     counted = counted.groupBy("lang", "phrase", "n_words").agg(F.sum("a").alias("a"))
@@ -245,7 +268,7 @@ def scored(counts: DataFrame) -> DataFrame:
     cuts = cuts.withColumn("left", _part("phrase", F.lit(1), F.col("k"))).withColumn("right", _part("phrase", F.col("k") + 1, F.col("n_words") - F.col("k")))
     for side, name in (("left", "l"), ("right", "r")):
         cuts = cuts.join(single.select("lang", F.col("phrase").alias(side), F.col("a").alias(name)), ["lang", side])
-    cuts = cuts.join(totals, "lang")
+    cuts = join_per_key(cuts, totals, "lang", "phrase")
     exact = lambda c, digits: F.col(c).cast(f"decimal({digits},0)")
     cuts = cuts.withColumn("over", exact("a", 18) * F.lit(1000).cast("decimal(4,0)") * exact("n", 15)).withColumn("under", exact("l", 18) * exact("r", 18))
     cuts = cuts.withColumn("score", F.expr("over div under"))

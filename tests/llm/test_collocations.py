@@ -69,6 +69,7 @@ def test_longer_texts_are_cut_between_pieces(spark, monkeypatch):
     rnd = random.Random(9)
     rows = [(prose(rnd, 3000), "en"), ("one two three " * 4000, "en"), ("w" * 50_000 + " one two", "en")]
     monkeypatch.setattr(collocations, "GATHERED", 500)
+    monkeypatch.setattr(collocations, "HELD", 30)
     chunks = collocations.chunks
     monkeypatch.setattr(collocations, "chunks", lambda *a, **k: chunks(*a, **{**k, "size": 700}))
     got = sorted(tuple(r) for r in collocations.collocations(table(spark, rows), 20).collect())
