@@ -18,10 +18,13 @@ phrases pass it and are counted; the result is the same.
 from __future__ import annotations
 
 import hashlib
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -217,41 +220,58 @@ class _Counter:
         self.hashes = np.insert(self.hashes, place[new], found[new])
         self.counts = np.concatenate((self.counts, times[new]))
 
-    def rows(self) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([
-            pa.array(self.lang, pa.string()), pa.array(self.phrase, pa.binary()).cast(pa.string()),
-            pa.array(self.words, pa.int32()), pa.array(self.counts),
-        ], ["lang", "phrase", "n_words", "a"])
+    def rows(self, partitions: int) -> pa.RecordBatch:
+        """A row for each hash partition, with lists of its phrases and their counts."""
+        hashes = np.empty(len(self.counts), np.uint64)
+        hashes[self.at] = self.hashes
+        part = ((hashes >> np.uint64(32)) % np.uint64(partitions)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        parts, first = np.unique(part[order], return_index=True)
+        bounds, taken = pa.array(np.append(first, len(order)).astype(np.int32)), pa.array(order)
+        columns = [pa.array(self.lang, pa.string()), pa.array(self.phrase, pa.binary()).cast(pa.string()), pa.array(self.words, pa.int32()), pa.array(self.counts)]
+        return _listed(parts, [pa.ListArray.from_arrays(bounds, c.take(taken)) for c in columns])
+
+
+def _listed(parts: np.ndarray, lists: list[pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), *lists], ["part", "lang", "phrase", "n_words", "a"])
 
 
-def phrase_counts(docs: DataFrame, longest: int, filters: list[Filter], threshold: int) -> DataFrame:
+def phrase_counts(docs: DataFrame, partitions: int, longest: int, filters: list[Filter], threshold: int) -> DataFrame:
     """(lang, phrase, n_words, a): exact counts of all phrases of 1 to ``longest`` words that occur ``threshold``
-    times, and of each language's words together (phrase null, n_words 0)."""
+    times, and of each language's words together (phrase null, n_words 0).
+
+    Tasks send their sums by hash partition, as lists; a partition adds them up by the phrases themselves.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = shared.value
-        counter = _Counter()
+        counter, totals = _Counter(), Counter()
         for batch in batches:
             codes, seeds, names = _seeds(batch.column(0))
-            totals = np.zeros(len(names), np.int64)
             for chunk in chunks(batch.column(1), WORDS, BREAKS):
                 langs = codes[chunk.rows]
-                totals += np.bincount(langs, minlength=len(names))
+                totals.update(dict(zip(names, np.bincount(langs, minlength=len(names)).tolist())))
                 for n, at, hashes in _phrases(chunk, seeds[langs], longest, filters):
                     counter.add(chunk, langs, names, n, at, hashes)
                 if len(counter.phrase) > HELD:
-                    yield counter.rows()
+                    yield counter.rows(partitions)
                     counter = _Counter()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.nulls(len(names), pa.string()), pa.array([0] * len(names), pa.int32()), pa.array(totals)],
-                ["lang", "phrase", "n_words", "a"],
-            )
-        yield counter.rows()
+        yield counter.rows(partitions)
+        parts = [zlib.crc32(name.encode("utf-8", "surrogatepass")) % partitions for name in totals]
+        single = lambda values, kind: pa.array([[v] for v in values], pa.list_(kind))
+        yield _listed(np.array(parts, np.int32), [
+            single(totals, pa.string()), single([None] * len(totals), pa.string()), single([0] * len(totals), pa.int32()), single(totals.values(), pa.int64())
+        ])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        lists = {c: table.column(c).combine_chunks() for c in ("lang", "phrase", "n_words", "a")}
+        flat = pa.table({c: (x.flatten() if isinstance(x, pa.ListArray) else pa.concat_arrays([y.flatten() for y in x.chunks])) for c, x in lists.items()})
+        sums = flat.group_by(["lang", "phrase", "n_words"]).aggregate([("a", "sum")]).rename_columns(["lang", "phrase", "n_words", "a"])
+        return sums.filter(pc.or_(pc.greater_equal(sums["a"], threshold), pc.equal(sums["n_words"], 0)))
 
-    counted = docs.mapInArrow(run, "lang string, phrase string, n_words int, a long")
-    counted = counted.groupBy("lang", "phrase", "n_words").agg(F.sum("a").alias("a"))
-    return counted.where((F.col("a") >= threshold) | (F.col("n_words") == 0))
+    sent = docs.mapInArrow(run, "part int, lang array<string>, phrase array<string>, n_words array<int>, a array<long>")
+    return sent.groupBy("part").applyInArrow(add_up, "lang string, phrase string, n_words int, a long")
 
 
 def _part(column: str, first: Column, size: Column) -> Column:
@@ -305,7 +325,7 @@ def collocations(docs: DataFrame, threshold: int = 100, longest: int = 5, top: i
     for lengths in (range(1, 3), range(3, longest + 1)):
         if len(lengths):
             filters = [*filters, survivors(docs, partitions, lengths, filters, threshold)]
-    counts = stage(phrase_counts(docs, longest, filters, threshold), "phrases")
+    counts = stage(phrase_counts(docs, partitions, longest, filters, threshold), "phrases")
     phrases = outermost(scored(counts))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = phrases.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
