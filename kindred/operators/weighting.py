@@ -10,6 +10,7 @@ from kindred.operators import pairs, tiles
 from kindred.operators.joins import join_per_key
 from kindred.operators.vectors import Fitted
 from kindred.schema import RatingScale
+from kindred.sources.staging import stage
 
 
 def raters(fitted: Fitted, hot: bool | None = None) -> DataFrame:
@@ -49,6 +50,8 @@ def co_rater_terms(wanted: DataFrame, fitted: Fitted, metric: str) -> DataFrame:
     and a rater look their pair up by its smaller and larger user."""
     cells = wanted.select("user_id", "item_id")
     joined = pairs.joined_pairs(fitted, metric)
+    if fitted.hot_items is not None:  # read twice below, once mirrored
+        joined = stage(joined, "pairs")
     ordered = joined.select(
         F.col("user_id").alias("low"), F.col("neighbor_id").alias("high"), "similarity"
     )
@@ -115,10 +118,13 @@ def all_neighbor_sums(wanted: DataFrame, fitted: Fitted, metric: str) -> DataFra
     )
     if fitted.hot_items is None:
         return joined
-    tiled = tiles.tile_sums(
-        pairs.usable(fitted.vectors, metric), fitted.settings, metric,
-        join_per_key(cells, fitted.users.select("user_id", "tiled"), "user_id", "item_id"),
-    )
+    rows = pairs.usable(fitted.vectors, metric)
+    wanted = join_per_key(cells, fitted.users.select("user_id", "tiled"), "user_id", "item_id").where("tiled")
+    wanted = wanted.join(fitted.hot_items.withColumn("hot", F.lit(True)), "item_id", "left")
+    wanted = wanted.withColumn("hot", F.coalesce("hot", F.lit(False)))
+    light = rows.where("tiled and not hot").select("item_id", F.col("user_id").alias("b"), F.col("dev").alias("value"))
+    terms = wanted.where("not hot").select("item_id", F.col("user_id").alias("a")).join(light, "item_id").where("a <> b")
+    tiled = tiles.tile_sums(rows, fitted.settings, metric, wanted, terms)
     return (
         joined.unionByName(tiled)
         .groupBy("user_id", "item_id")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kindred.operators import pairs
+from kindred.operators import pairs, tiles
 from kindred.operators.neighbors import top_k
 from kindred.operators.vectors import fit
 from kindred.plans import knn
@@ -177,3 +177,17 @@ def test_hot_item_is_not_joined_with_itself(data):
     fitted = fit(data[0], SETTINGS["mixed"])
     right = fitted.vectors.where("hot and not tiled").groupBy("item_id").count()
     assert right.agg(F.max("count")).first()[0] <= 2
+
+
+def test_only_ratings_of_hot_items_are_replicated(data):
+    """Rows into tiles: hot ratings of tiled users x blocks; light items send one row per pair that shares one."""
+    settings = SETTINGS["mixed"]
+    rows = pairs.usable(fit(data[0], settings).vectors, pairs.COSINE)
+    tiled = rows.where("tiled")
+    users, hot = tiled.select("user_id").distinct().count(), tiled.where("hot").count()
+    assert 0 < hot < tiled.count()
+    blocks = tiles.heavy_rows(rows, settings).agg(F.max("blocks")).first()[0]
+    assert blocks == -(-users // settings.tile_users) and blocks > 1
+    assert tiles.tiled_rows(rows, settings).count() == hot * blocks
+    sums = tiles.light_rows(rows, settings)
+    assert sums.count() == sums.select("first", "second").distinct().count() > 0

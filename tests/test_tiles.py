@@ -45,3 +45,21 @@ def test_best_of_rows_breaks_ties_by_id(k):
         expected = sorted((-table[u, c], others[c]) for c in range(25) if mask[u, c])[:k]
         mine = best[best["user_id"] == u]
         assert [(-s, v) for v, s in zip(mine["neighbor_id"], mine["similarity"])] == expected
+
+
+def test_light_sums_are_added_in_both_halves(tmp_path):
+    left, right = block(1), block(2)
+    light = pd.DataFrame(
+        [(100, 203, 0, 0, 0.25, 2), (101, 200, 0, 0, -0.5, 1), (999, 200, 0, 0, 9.0, 1)],
+        columns=["first", "second", "kind", "item_id", "value", "shared"],
+    )
+    table, _ = tiles.similarity_table(tiles.Block(left), tiles.Block(right), "cosine", light)
+    expected = dense(left, "weight") @ dense(right, "weight").T
+    expected[0, 3] += 0.25
+    expected[1, 0] -= 0.5
+    assert np.allclose(table, expected, atol=1e-9)
+    one = tiles.Block(left)
+    light["second"] = [103, 100, 100]
+    shared, _ = tiles.similarity_table(one, one, "overlap", light)
+    plain = dense(left, None) @ dense(left, None).T
+    assert shared[0, 3] == plain[0, 3] + 2 == shared[3, 0] and shared[1, 0] == plain[1, 0] + 1 == shared[0, 1]
