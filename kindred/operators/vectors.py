@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.operators.deviations import processed_deviations, user_profiles
@@ -14,6 +14,9 @@ from kindred.sources.staging import stage
 # A list of ids up to this long (16 MB of keys) may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
+# What a row costs, relative to a joined and summed pair: a pair inside a tile, a rating sent to one.
+PAIR_COST, TILE_PAIR_COST, SENT_COST = 1.0, 0.05, 3.0
+
 
 @dataclass(frozen=True)
 class Fitted:
@@ -31,6 +34,9 @@ class Fitted:
 
     ``long_groups`` tells whether a user's or a cell's list of partners can be longer
     than the settings allow in one sorted group.
+
+    A saved model (operators.store) also has its rows bucketed: ``light``, those of items that are not hot, by
+    item, and ``by_user``, all of them, if no user's list is long.
     """
 
     vectors: DataFrame
@@ -39,6 +45,8 @@ class Fitted:
     long_groups: bool
     settings: FitSettings
     bounds: RatingScale
+    light: DataFrame | None = None
+    by_user: DataFrame | None = None
 
 
 def flag_hot(rows: DataFrame, hot_items: DataFrame, count: int) -> DataFrame:
@@ -78,17 +86,27 @@ def fit(
     ratings = ratings.select("user_id", "item_id", "rating")
     if not stored:
         ratings = stage(one_rating_each(ratings), "ratings")
-    hot_items = (
-        ratings.groupBy("item_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > settings.hot_item_ratings)
-        .select("item_id")
-    )
+    degrees = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    if settings.hot_item_ratings is None:
+        settings = replace(settings, hot_item_ratings=split_at(degrees, ratings, settings))
+    hot_items = degrees.where(F.col("n") > settings.hot_item_ratings).select("item_id")
     hot_items = stage(hot_items, "hot-items")
     hot_count = hot_items.count()
+    hot_items = hot_items if hot_count else None
+    users, vectors, long_lists = fit_users(ratings, hot_items, hot_count, settings, bounds, means)
+    return Fitted(vectors, users, hot_items, bool(hot_count) or long_lists, settings, bounds)
+
+
+def fit_users(
+    ratings: DataFrame, hot_items: DataFrame | None, hot_count: int, settings: FitSettings,
+    bounds: RatingScale, means: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, bool]:
+    """Users and vectors of stored ratings under a given set of hot items, and whether a user's list is long.
 
+    A user's vector depends on that user's ratings alone.
+    """
     users = user_profiles(ratings, bounds, means)
-    if hot_count:
+    if hot_items is not None:
         rated_hot = (
             flag_hot(ratings, hot_items, hot_count)
             .where("hot").select("user_id", F.lit(True).alias("rated_hot")).distinct()
@@ -103,11 +121,32 @@ def fit(
     long_lists = not users.where(F.col("n_rated") > settings.tiled_user_ratings).isEmpty()
 
     vectors = processed_deviations(ratings, users, bounds).drop("rating", "user_mean")
-    if hot_count:
+    if hot_items is not None:
         vectors = flag_hot(vectors, hot_items, hot_count)
     else:
         vectors = vectors.withColumn("hot", F.lit(False))
-    return Fitted(
-        stage(vectors, "vectors"), users, hot_items if hot_count else None,
-        bool(hot_count) or long_lists, settings, bounds,
+    return users, stage(vectors, "vectors"), long_lists
+
+
+def split_at(degrees: DataFrame, ratings: DataFrame, settings: FitSettings) -> int:
+    """The number of ratings up to which an item's raters are best joined with each other.
+
+    The cost of a split is a sum over the histogram of item degrees d: joined items cost a row for each of their
+    d * (d - 1) / 2 pairs; items in tiles cost d ratings sent to every block, and their pairs at numpy's rate.  The number
+    of blocks follows from the ratings in tiles.  The histogram has a row for each different degree, so at most the root of
+    twice the ratings; its running totals are formed in one task.
+    """
+    pairs = F.col("items") * F.col("d") * (F.col("d") - 1) / 2
+    histogram = degrees.groupBy(F.col("n").alias("d")).agg(F.count(F.lit(1)).alias("items"))
+    upto = Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    beyond = Window.orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, -1)
+    users = ratings.agg(F.approx_count_distinct("user_id")).scalar()
+    totals = histogram.select(
+        "d", F.sum(pairs).over(upto).alias("joined"),
+        F.coalesce(F.sum(pairs).over(beyond), F.lit(0.0)).alias("tile_pairs"),
+        F.coalesce(F.sum(F.col("items") * F.col("d")).over(beyond), F.lit(0)).alias("sent"),
     )
+    blocks = F.ceil(F.greatest(F.least(users, "sent") / settings.tile_users, F.col("sent") / settings.tile_ratings))
+    cost = PAIR_COST * F.col("joined") + TILE_PAIR_COST * F.col("tile_pairs") + SENT_COST * F.col("sent") * blocks
+    least = totals.agg(F.min_by("d", F.struct(cost, "d"))).first()[0]
+    return settings.tile_users if least is None else int(least)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,9 @@ from kindred.sources.staging import stage
 def raters(fitted: Fitted, hot: bool | None = None) -> DataFrame:
     """item_id, neighbor_id, dev of all ratings, or of hot / other items only."""
     rows = fitted.vectors
-    if hot is not None and fitted.hot_items is not None:
+    if hot is False and fitted.light is not None:
+        rows = fitted.light
+    elif hot is not None and fitted.hot_items is not None:
         rows = rows.where(F.col("hot") if hot else ~F.col("hot"))
     return rows.select("item_id", F.col("user_id").alias("neighbor_id"), "dev")
 
@@ -136,8 +140,9 @@ def full_table_sums(neighbors: DataFrame, fitted: Fitted) -> DataFrame:
     """Weighted sums of every cell (u, i) that at least one neighbour of u rated."""
     edges = neighbors.select("user_id", "neighbor_id", "similarity")
     num, den = _sums()
+    rows = raters(fitted if fitted.by_user is None else replace(fitted, vectors=fitted.by_user))
     return (
-        edges.join(raters(fitted), "neighbor_id")
+        edges.join(rows, "neighbor_id")
         .groupBy("user_id", "item_id")
         .agg(num.alias("num"), den.alias("den"))
     )

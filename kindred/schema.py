@@ -43,14 +43,15 @@ class FitSettings:
     """Sizes that decide how similarity work is divided; none changes a result.
 
     An item with more than ``hot_item_ratings`` ratings is hot: joining its
-    raters with each other would grow with the square of its popularity.  Users
+    raters with each other would grow with the square of its popularity.  None lets
+    ``fit`` choose the number from the ratings (operators.vectors.split_at).  Users
     who rated a hot item are compared tile by tile (``tile_users`` against
     ``tile_users``) instead, unless they have more than ``tiled_user_ratings``
     ratings themselves, which would make the tile too tall.  ``skip_tiles`` looks for
     the k nearest only in tiles whose bounds allow one (operators.bounded).
     """
 
-    hot_item_ratings: int = 1_000
+    hot_item_ratings: int | None = 1_000
     tiled_user_ratings: int = 100_000
     tile_users: int = 2_048
     tile_ratings: int = 500_000

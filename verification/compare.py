@@ -54,7 +54,7 @@ def main(directory: str, names: list[str]) -> int:
 
     spark = build_session(
         "compare", "local[8]", spark__sql__shuffle__partitions="8",
-        spark__driver__memory="12g", spark__ui__enabled="false",
+        spark__driver__memory="12g", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(directory)

@@ -396,6 +396,16 @@ SELECT model, n, {rnd('mae', 6)} AS mae,
 ORACLE |= {f"{name}_hot": ORACLE[name] for name in (
     "cosine_similarity", "jaccard_similarity", "overlap_stats", "top_k_neighbors", "cosine_prediction", "mae_by_k",
 )}
+ORACLE["cosine_similarity_chosen_split"] = ORACLE["cosine_similarity"]
+ORACLE["knn_prediction_saved"] = ORACLE["knn_prediction"]
+ORACLE["recommend_knn_fold_in"] = ORACLE["recommend_knn"]
+ORACLE["fold_in_vectors"] = with_(
+    RATINGS, """changed AS MATERIALIZED (
+  SELECT user_id, item_id, CASE WHEN user_id % 7 = 0 THEN 6 - rating ELSE rating END AS rating
+  FROM ratings WHERE user_id % 7 = 0 OR user_id % 11 <> 0)""",
+    "changed_mean AS (SELECT user_id, avg(rating) AS a FROM changed GROUP BY 1)", vectors("changed", "changed_mean"),
+    select=f"SELECT user_id, item_id, {rnd('d', 6)} AS dev, {rnd('pd', 6)} AS pdev FROM p",
+)
 ORACLE["ratings_from_tab_text"] = ORACLE["ratings_from_text"]
 ORACLE["knn_prediction_for_users"] = ORACLE["knn_prediction"] + " WHERE user_id % 50 = 0"
 _ON_TEST = {

@@ -18,6 +18,7 @@ from kindred.operators.deviations import (
 )
 from kindred.operators.metrics import absolute_errors, compare, mae
 from kindred.operators.neighbors import neighbor_lists, top_k
+from kindred.operators.store import fold_in, load, save
 from kindred.operators.stats import item_means, item_sets, mean_spread, global_mean, rating_stats, user_means
 from kindred.operators.vectors import Fitted, fit
 from kindred.schema import FitSettings
@@ -76,6 +77,10 @@ def _personal(spark: SparkSession, d: str) -> DataFrame:
 HOT = FitSettings(hot_item_ratings=25, tiled_user_ratings=45, tile_users=128, tile_ratings=4_000)
 
 
+#: The split between joined and tiled items is chosen from the ratings; tiles small enough that it matters here.
+CHOSEN = FitSettings(hot_item_ratings=None, tile_users=512)
+
+
 def _fitted(spark: SparkSession, d: str, settings: FitSettings = FitSettings()) -> tuple[Fitted, DataFrame]:
     """Fitted on the training rows, with the held-out ones: for predictions and their errors."""
     train, test = _split(spark, d)
@@ -298,6 +303,14 @@ def q_knn_prediction_for_users(spark, d):
     return _predictions(predict_knn_for(fitted, test.where("user_id % 50 = 0"), EVALUATED_K))
 
 
+def q_knn_prediction_saved(spark, d):
+    """The model is written to a folder, read back by its path alone, and predicts."""
+    fitted, test = _fitted(spark, d)
+    path = scratch(spark, "model")
+    save(fitted, path)
+    return _predictions(predict_knn(load(spark, path), test, EVALUATED_K))
+
+
 def q_mae_knn(spark, d):
     fitted, test = _fitted(spark, d)
     return _metrics(mae(predict_knn(fitted, test, EVALUATED_K), "knn", EVALUATED_K))
@@ -404,6 +417,23 @@ def q_recommend_knn(spark, d):
     return _recommended(recommend_knn_for_ks(fitted, target, (30, 300), items=item_titles(spark, d)))
 
 
+def q_recommend_knn_fold_in(spark, d):
+    """The same for a user folded into a model that was fitted without it."""
+    personal = _personal(spark, d)
+    fitted = fold_in(_fitted_all(spark, d), personal)
+    target = personal.select("user_id").distinct()
+    return _recommended(recommend_knn_for_ks(fitted, target, (30, 300), items=item_titles(spark, d)))
+
+
+def q_fold_in_vectors(spark, d):
+    """Vectors after every seventh user turned its ratings round and every eleventh other one left."""
+    ratings = _ratings(spark, d)
+    turned = ratings.where("user_id % 7 = 0").withColumn("rating", 6 - F.col("rating"))
+    left = ratings.where("user_id % 11 = 0 and user_id % 7 <> 0").select("user_id").distinct()
+    rows = fold_in(fit(ratings, stored=True), turned, left).vectors
+    return neat(rows.select("user_id", "item_id", "dev", "pdev"), dev=6, pdev=6)
+
+
 def q_recommend_knn_all(spark, d):
     return _recommended(recommend_knn_all(_fitted_all(spark, d), NEIGHBORS))
 
@@ -455,6 +485,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jaccard_similarity": _pairs_of(pairs.JACCARD),
     "pair_overlap": _pairs_of(pairs.OVERLAP),
     "overlap_stats": q_overlap_stats,
+    "cosine_similarity_chosen_split": _pairs_of(pairs.COSINE, CHOSEN),
     "cosine_similarity_hot": _pairs_of(pairs.COSINE, HOT),
     "jaccard_similarity_hot": _pairs_of(pairs.JACCARD, HOT),
     "overlap_stats_hot": q_overlap_stats_hot,
@@ -473,6 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mae_knn_on_test_deviations": q_mae_knn_on_test_deviations,
     "knn_prediction": q_knn_prediction,
     "knn_prediction_for_users": q_knn_prediction_for_users,
+    "knn_prediction_saved": q_knn_prediction_saved,
     "mae_knn": q_mae_knn,
     "mae_knn_covered": q_mae_knn_covered,
     "knn_sweep": q_knn_sweep,
@@ -484,6 +516,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recommend_baseline": q_recommend_baseline,
     "recommend_popularity": q_recommend_popularity,
     "recommend_knn": q_recommend_knn,
+    "recommend_knn_fold_in": q_recommend_knn_fold_in,
+    "fold_in_vectors": q_fold_in_vectors,
     "recommend_knn_all": q_recommend_knn_all,
     "mean_model_differences": q_mean_model_differences,
     "model_comparison": q_model_comparison,
