@@ -11,7 +11,8 @@ So a pair has a lower and an upper bound before any tile is opened.
    of the block and its lowest floor, or by a light pair between the two.  Whoever could be the partner goes there by
    the same test.  Tiles that lack a side are not opened.
 
-The result is that of all tiles; only work is saved.  How much depends on how the ratings are divided between hot and light items.
+The result is that of all tiles; only work is saved.  How much depends on how the ratings are divided between hot and light
+items: where the typical user's norm over hot items is large, bounds reach every floor and all tiles are opened at once.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from kindred.sources.staging import stage
 # Ranges of hot items over which partial norms are formed, and of norms by which users are placed.
 ITEM_RANGES = 8
 NORM_RANGES = 16
+# Bounds are worth forming if the product of two typical norms over hot items is at most this.
+PROMISING = 0.2
 # No floor: fewer than k partners are known.
 NOTHING = -2.0
 # Similarities are rounded to nine places before they are compared.
@@ -54,6 +57,12 @@ def placed_users(rows: DataFrame, settings: FitSettings) -> DataFrame:
     return ranged.join(F.broadcast(sizes), "range").select("user_id", (F.col("offset") + part).alias("block"), "norm", "norms")
 
 
+def best_per_user(edges: DataFrame, k: int) -> DataFrame:
+    """The k best edges of each user; the limit is applied before the shuffle, too."""
+    order = Window.partitionBy("user_id").orderBy(F.desc("similarity"), "neighbor_id")
+    return edges.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
+
+
 def _light(rows: DataFrame, places: DataFrame) -> DataFrame:
     """Light sums of pairs of tiled users with the block and norm of both."""
     found = tiles.light_sums(rows).withColumn("kind", F.lit(tiles.SUM)).withColumn("item_id", F.lit(0).cast("bigint"))
@@ -77,8 +86,7 @@ def floors(first: DataFrame, light: DataFrame, places: DataFrame, k: int) -> Dat
     least = F.col("value") - F.col("a_norm") * F.col("b_norm")
     sure = _both_ends(light.withColumn("least", least), "least").select("user_id", F.col("least").alias("similarity"))
     known = first.select("user_id", "similarity").unionByName(sure)
-    order = Window.partitionBy("user_id").orderBy(F.desc("similarity"))
-    kth = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    kth = best_per_user(known.withColumn("neighbor_id", F.lit(0)), k)
     kth = kth.groupBy("user_id").agg(F.when(F.count(F.lit(1)) == k, F.min("similarity")).alias("kth"))
     return places.join(kth, "user_id", "left").select(
         "user_id", "block", "norm", "norms", F.coalesce(F.col("kth") - SLACK, F.lit(NOTHING)).alias("floor")
@@ -117,12 +125,19 @@ def opened(visits: DataFrame) -> DataFrame:
     return sides.where("low < high").select("tile_i", "tile_j")
 
 
+def promising(places: DataFrame) -> bool:
+    typical = places.agg(F.percentile_approx("norm", 0.5)).first()[0]
+    return typical is not None and typical * typical <= PROMISING
+
+
 def top_k_tiled(rows: DataFrame, untiled: DataFrame, settings: FitSettings, metric: str, k: int) -> DataFrame:
     """Edges among which are the k best of every user: user_id, neighbor_id, similarity.
 
     ``untiled``: the edges of pairs with an untiled user, both directions.
     """
     places = stage(placed_users(rows, settings), "places")
+    if settings.skip_tiles is None and not promising(places):
+        return untiled.unionByName(tiles.tile_top_k(rows, settings, metric, k))
     light = stage(_light(rows, places), "light-pairs")
     heavy = rows.where("tiled and hot").select("user_id", "item_id", "weight", "dev", "n_rated", F.lit(False).alias("wanted"))
     heavy = join_per_key(heavy, places.select("user_id", "block"), "user_id", "item_id")
@@ -130,7 +145,8 @@ def top_k_tiled(rows: DataFrame, untiled: DataFrame, settings: FitSettings, metr
 
     inside = light.where("a_block = b_block")
     first = tiles.per_tile(tiles.to_tiles(heavy, F.array("block")), tiles.light_tiles(inside), emit, tiles.PAIR_SCHEMA)
-    first = stage(first.unionByName(untiled.select("user_id", "neighbor_id", "similarity")), "first")
+    first = best_per_user(first.unionByName(untiled.select("user_id", "neighbor_id", "similarity")), k)
+    first = stage(first, "first")
 
     between = light.where("a_block <> b_block")
     users = stage(floors(first, between, places, k), "floors")

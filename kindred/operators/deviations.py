@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from kindred.functions import deviation
 from kindred.operators.joins import join_per_key
-from kindred.operators.stats import user_means
 from kindred.schema import RatingScale
 
 
@@ -39,16 +38,20 @@ def user_profiles(
     """Mean, rating count and L2 norm of the deviations per user.
 
     The mean is that of ``ratings`` unless ``means`` (user_id, user_mean) says otherwise;
-    users without one are left out, and so are rows without a rating.  Two plain
-    aggregates, both combined map-side, with a salted join between them: a user with a third
-    of all rows costs no task more than another.
+    users without one are left out, and so are rows without a rating.  The ratings are counted by user and
+    value first, combined map-side; means are joined, salted, to these counts, so a user with a third of all rows
+    costs no task more than another.
     """
-    rows = ratings.where(F.col("rating").isNotNull())
-    devs = deviations(rows, user_means(rows) if means is None else means, bounds)
-    return devs.groupBy("user_id").agg(
+    counts = ratings.where(F.col("rating").isNotNull()).groupBy("user_id", "rating").agg(F.count(F.lit(1)).alias("n"))
+    if means is None:
+        total = F.sum(F.col("rating") * F.col("n"))
+        means = counts.groupBy("user_id").agg((total / F.sum("n")).alias("user_mean"))
+    joined = join_per_key(counts, means.select("user_id", "user_mean"), "user_id", "rating")
+    dev = deviation(F.col("rating"), F.col("user_mean"), bounds)
+    return joined.groupBy("user_id").agg(
         F.max("user_mean").alias("user_mean"),
-        F.count(F.lit(1)).alias("n_rated"),
-        F.sqrt(F.sum(F.col("dev") * F.col("dev"))).alias("norm"),
+        F.sum("n").alias("n_rated"),
+        F.sqrt(F.sum(F.col("n") * dev * dev)).alias("norm"),
     )
 
 

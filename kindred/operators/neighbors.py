@@ -59,7 +59,7 @@ def top_k(fitted: Fitted, k: int | None, metric: str = pairs.COSINE) -> DataFram
     edges = pairs.joined_edges(fitted, metric)
     if fitted.hot_items is not None:
         rows = pairs.usable(fitted.vectors, metric)
-        if metric == pairs.COSINE and fitted.settings.skip_tiles:
+        if metric == pairs.COSINE and fitted.settings.skip_tiles is not False:
             edges = bounded.top_k_tiled(rows, edges, fitted.settings, metric, k)
         else:
             edges = edges.unionByName(tiles.tile_top_k(rows, fitted.settings, metric, k))

@@ -48,11 +48,12 @@ class FitSettings:
     who rated a hot item are compared tile by tile (``tile_users`` against
     ``tile_users``) instead, unless they have more than ``tiled_user_ratings``
     ratings themselves, which would make the tile too tall.  ``skip_tiles`` looks for
-    the k nearest only in tiles whose bounds allow one (operators.bounded).
+    the k nearest only in tiles whose bounds allow one (operators.bounded): always, never, or (None) where the
+    typical user has little weight on hot items.
     """
 
     hot_item_ratings: int | None = 1_000
     tiled_user_ratings: int = 100_000
     tile_users: int = 2_048
     tile_ratings: int = 500_000
-    skip_tiles: bool = True
+    skip_tiles: bool | None = None

@@ -36,11 +36,11 @@ def test_equals_all_tiles_and_brute_force(spark, k):
     rows = cliques()
     train = spark.createDataFrame(rows, SCHEMA)
     found = []
-    for skip in (True, False):
+    for skip in (True, False, None):
         fitted = fit(train, FitSettings(hot_item_ratings=20, tile_users=12, skip_tiles=skip))
         found.append({(r.user_id, r.rank): (r.neighbor_id, r.similarity) for r in top_k(fitted, k).collect()})
     expected = {(u, n + 1): e for u, x in Brute(rows).ranked().items() for n, e in enumerate(x[:k])}
-    assert found[0] == found[1] == expected
+    assert found[0] == found[1] == found[2] == expected
 
 
 def test_tiles_are_skipped_and_floors_hold(spark):

@@ -396,6 +396,7 @@ SELECT model, n, {rnd('mae', 6)} AS mae,
 ORACLE |= {f"{name}_hot": ORACLE[name] for name in (
     "cosine_similarity", "jaccard_similarity", "overlap_stats", "top_k_neighbors", "cosine_prediction", "mae_by_k",
 )}
+ORACLE["top_k_neighbors_skipping"] = ORACLE["top_k_neighbors"]
 ORACLE["cosine_similarity_chosen_split"] = ORACLE["cosine_similarity"]
 ORACLE["knn_prediction_saved"] = ORACLE["knn_prediction"]
 ORACLE["recommend_knn_fold_in"] = ORACLE["recommend_knn"]

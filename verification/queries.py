@@ -7,6 +7,7 @@ models are fitted on train and judged on test.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -269,6 +270,11 @@ def q_top_k_neighbors_hot(spark, d):
     return top_k(_fitted_all(spark, d, HOT), NEIGHBORS)
 
 
+def q_top_k_neighbors_skipping(spark, d):
+    """Tiles are opened only where bounds allow a neighbour."""
+    return top_k(_fitted_all(spark, d, replace(HOT, skip_tiles=True)), NEIGHBORS)
+
+
 def q_neighbor_lists(spark, d):
     lists = neighbor_lists(top_k(_fitted_all(spark, d), NEIGHBORS))
     return lists.select(
@@ -492,6 +498,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_count_storage": q_pair_count_storage,
     "top_k_neighbors": q_top_k_neighbors,
     "top_k_neighbors_hot": q_top_k_neighbors_hot,
+    "top_k_neighbors_skipping": q_top_k_neighbors_skipping,
     "neighbor_lists": q_neighbor_lists,
     "cosine_prediction": _all_neighbor_predictions(pairs.COSINE),
     "cosine_prediction_hot": _all_neighbor_predictions(pairs.COSINE, HOT),
