@@ -69,7 +69,7 @@ def test_top_k_of_long_lists_is_limited_before_its_shuffle(split):
 def test_hot_items_are_tiled(split):
     hot = fit(split[0], FitSettings(hot_item_ratings=20), stored=True)
     plan = plan_of(top_k(hot, 5))
-    assert "FlatMapGroupsInPandas" in plan and "CartesianProduct" not in plan
+    assert "FlatMapCoGroupsInPandas" in plan and "CartesianProduct" not in plan
 
 
 def test_self_join_shuffles_the_vectors_once(spark, fitted):
