@@ -4,9 +4,10 @@ Every run of K words of a text is hashed and joined with the runs of the license
 A hit at word w of a text and word t of a template votes for the diagonal w - t: an
 unchanged copy of the template puts all its votes on one diagonal.  Neighbouring diagonals
 of one template are merged as long as they are at most DRIFT apart, so inserted or lost
-words do not break a match.  A merged span is verified: the different template runs it
-covers must be at least COVERAGE of the template's, within a stretch of text of about the
-template's length.
+words do not break a match.  A run that repeats beside a notice can chain diagonals without
+end, so what is verified are stretches of merged diagonals, from each diagonal as far as
+the template is long: the different template runs of one stretch must be at least COVERAGE
+of the template's.  Stretches that overlap are one span, that of the best of them.
 
 Words and hits never leave the JVM.  Runs are hashed where the text is split, inside
 generated code, and only hits and one row per document are shuffled.
@@ -145,18 +146,18 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFr
     gap = F.col("diagonal") - F.lag("diagonal").over(in_order)
     votes = votes.withColumn("breaks", F.when(gap <= DRIFT, 0).otherwise(1))
     votes = votes.withColumn("island", F.sum("breaks").over(in_order))
-    spans = votes.groupBy("row", "template", "label", "n_runs", "island").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), *_phrase_summary(again=True),
-        F.min("from_p").alias("from_p"), F.max("to_p").alias("to_p"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n_covered"),
+    votes = _verified(votes)
+    overlaps = Window.partitionBy("row", "template").orderBy("span.first_word", "span.last_word")
+    reached = F.max("span.last_word").over(overlaps.rowsBetween(Window.unboundedPreceding, -1))
+    votes = votes.withColumn("apart", F.when(F.col("span.first_word") <= reached, 0).otherwise(1))
+    votes = votes.withColumn("stretch", F.sum("apart").over(overlaps.rowsBetween(Window.unboundedPreceding, 0)))
+    best = F.max(F.when(F.col("span").isNotNull(), F.struct("span.coverage", (F.col("span.first_word") - F.col("span.last_word")).alias("size"), "span")))
+    spans = votes.groupBy("row", "template", F.when(F.col("span").isNotNull(), F.col("stretch"))).agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), *_phrase_summary(again=True), best["span"].alias("span")
     )
-    covered = F.col("n_covered") / F.col("n_runs")
-    long_enough = F.col("to_p") - F.col("from_p") + 1 <= 2 * F.col("n_runs") + DRIFT
-    verified = F.col("template").isNotNull() & (covered >= COVERAGE) & long_enough
-    span = F.when(verified, F.struct(F.col("from_p").alias("first_word"), (F.col("to_p") + K - 1).alias("last_word"), "label", covered.alias("coverage")))
     found = spans.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), *_phrase_summary(again=True),
-        F.sort_array(F.collect_list(span)).alias("spans"),
+        F.sort_array(F.collect_list("span")).alias("spans"),
     )
     base = F.filter(F.array(*[F.when(F.col(f"has_{label}") > 0, F.lit(label)) for label in sorted(set(PHRASES.values()))]), lambda x: x.isNotNull())
     every = F.array_sort(F.array_distinct(F.concat(base, F.col("spans.label"))))
@@ -168,6 +169,26 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFr
     )
 
 
+def _verified(votes: DataFrame) -> DataFrame:
+    """Add ``span`` to the votes: (first_word, last_word, label, coverage) of the diagonal, or of the
+    stretch of its island that begins with it where that covers more; null where neither covers enough.
+
+    Runs on diagonals at most a template's length apart lie within about twice its length, so a
+    stretch needs no test of its size and no more diagonals than that.
+    """
+    reach = F.col("diagonal") / (F.col("n_runs") + DRIFT)
+    stretch = Window.partitionBy("row", "template", "island").orderBy(reach).rangeBetween(0, 1)
+    votes = votes.withColumn("together", F.size(F.array_distinct(F.flatten(F.collect_list("covered").over(stretch)))))
+    votes = votes.withColumn("last_p", F.max("to_p").over(stretch)).withColumn("first_p", F.min("from_p").over(stretch))
+    alone = F.size("covered") >= F.col("together")
+    covered = F.col("together") / F.col("n_runs")
+    span = F.struct(
+        F.when(alone, F.col("from_p")).otherwise(F.col("first_p")).alias("first_word"),
+        (F.when(alone, F.col("to_p")).otherwise(F.col("last_p")) + K - 1).alias("last_word"), "label", covered.alias("coverage"),
+    )
+    return votes.withColumn("span", F.when(F.col("template").isNotNull() & (covered >= COVERAGE), span))
+
+
 def _phrase_summary(again: bool = False) -> list[Column]:
     """Number and ends of the phrases, and how often each label occurs; ``again``: of summaries."""
     labels = sorted(set(PHRASES.values()))

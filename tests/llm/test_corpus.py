@@ -113,6 +113,24 @@ def test_notices_are_found_with_edits_and_not_elsewhere(spark):
     assert (out[1].spans[0].first_word, out[1].spans[0].last_word) == (2, 2 + len(words) - 1)
 
 
+@pytest.mark.parametrize(
+    "label, before, after",
+    [("bsd", "", "conditions are met"), ("bsd", "redistribution and use", ""), ("mpl", "", "this source code"), ("mpl", "this source code", "")],
+)
+@pytest.mark.parametrize("times", [40, 4000])
+def test_a_notice_beside_its_own_repeated_words_is_found(spark, label, before, after, times):
+    notice = licenses.TEMPLATES[label][0]
+    text = " ".join([before] * times + [notice] + [after] * times)
+    found = licenses.scan(table(spark, [(1, text, "en", "s"), (2, " ".join([before + after] * times), "en", "s")])).collect()
+    rows = {r.doc_id: r for r in found}
+    assert rows[1].labels == label and rows[1].score == 1.0
+    (span,) = rows[1].spans
+    n = len(re.findall(r"[0-9A-Za-z]+", notice))
+    first = times * len(before.split())
+    assert (span.first_word, span.last_word) == (first, first + n - 1)
+    assert rows[2].labels == "" and rows[2].score == 0.0
+
+
 def test_scan_of_nothing(spark):
     assert licenses.scan(table(spark, [])).count() == 0
 
