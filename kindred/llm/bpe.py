@@ -146,6 +146,39 @@ class Transducer:
         alive.append((ended, _ROOT))
         return alive
 
+    def _simulate(self, runs, rest: bytes) -> list[int]:
+        """The tokens that the runs put out over the rest of a piece.
+
+        Runs share what they have put out: each holds its last token and a link to what was
+        before it, so a byte costs as many steps as runs are alive, however long the piece is.
+        """
+        linked = []
+        for tokens, node in runs:
+            link = None
+            for token in tokens:
+                link = (token, link)
+            linked.append((link, node))
+        children, token_of, leaf, neighbours = self._child, self._token, self._leaf, self._neighbours
+        for byte in rest:
+            alive, ended = [], None
+            for link, node in linked:
+                child = children.get(node << 8 | byte)
+                if child is None:
+                    continue
+                if ended is None and (token := token_of[child]) is not None:
+                    fits = neighbours.get(link[0] << 32 | token)
+                    if fits if fits is not None else self._tolerates(link[0], token):
+                        ended = token, link
+                if not leaf[child]:
+                    alive.append((link, child))
+            alive.append((ended, _ROOT))
+            linked = alive
+        out, link = [], linked[-1][0]
+        while link is not None:
+            out.append(link[0])
+            link = link[1]
+        return out[-2::-1]
+
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Make the transition of ``state`` on ``byte``: runs that agree on tokens emit them."""
         alive = self._advance(self._states[state], byte)
@@ -178,10 +211,7 @@ class Transducer:
                     # the table is full, the runs themselves go through the rest of the piece.
                     if len(self._met) < 4 * MAX_TRANSITIONS:
                         self._met.add(key)
-                    runs = self._states[state]
-                    for rest in piece[at:]:
-                        runs = self._advance(runs, rest)
-                    out += runs[-1][0][1:]
+                    out += self._simulate(self._states[state], piece[at:])
                     return tuple(out)
                 made = self._step(state, byte)
             state, emitted = made

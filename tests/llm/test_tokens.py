@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -63,6 +64,18 @@ def test_small_tables_change_nothing(ranks, reference, monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("piece", ["x", "the", "qzjw", "漢字仮名交じり文", " ", "-", "=*", "\n"])
+def test_a_long_piece_takes_time_in_proportion(encoder, reference, piece):
+    text = (piece * (1_000_000 // len(piece.encode())))[:1_000_000]
+    rnd = random.Random(len(piece))
+    mixed = "".join(rnd.choice("etaoinshrdlucmfwypvbgkjqxz") for _ in range(100_000))
+    began = time.process_time()
+    got = [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode([text, mixed])]
+    assert time.process_time() - began < 100
+    # Each text is one piece; the library's own splitting gives up on a million blanks.
+    assert got == [reference._encode_single_piece(x) for x in (text, mixed)]
+
+
 def test_transducer_equals_the_definition():
     """A small vocabulary with unreachable tokens and merges across several borders."""
     tokens = [bytes([b]) for b in range(256)] + [b"ab", b"bc", b"abc", b"cd", b"abcd", b"aa", b"aaa", b"ba", b"dab"]
