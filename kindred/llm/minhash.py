@@ -23,16 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.components import components
 from kindred.llm.hashing import SPACED, batch_words, mix, shingles
-from kindred.sources.staging import stage
+from kindred.sources.staging import release, stage
 
 SKETCH = 128
 BANDS, ROWS = 25, 5
 PIVOTS = 4
+#: So many nodes of a community meet its pivots in one part.
+PART = 512
 TILE = 384
 TILE_BYTES = 24 << 20
 _ROUND_BITS = 10
@@ -99,14 +101,16 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
 
 
 def _full_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, members): the sorted hashes of a text's shingles as bytes."""
+    """The columns of a candidate and ``members``: the sorted hashes of its text's shingles as bytes."""
+    kept = ["node", "n", "community", "pivot", "parts", "part"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(x, words).tobytes() for x in batch_words(batch.column("text").to_pylist(), SPACED)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "members"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(sets, pa.binary())], [*kept, "members"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, members binary")
+    schema = "node long, n long, community long, pivot boolean, parts int, part int, members binary"
+    return texts.select(*kept, "text").mapInArrow(run, schema)
 
 
 def _alike(a: int, b: int, shared: int | np.ndarray, percent: int):
@@ -154,27 +158,28 @@ def tile_edges(nodes: np.ndarray, labels: np.ndarray, left: np.ndarray, sets: li
     return edges
 
 
-def _tiles(members: DataFrame, percent: int) -> DataFrame:
+def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges between different labels inside each community.
 
-    ``members``: node, n, community, label, members.  A community is cut into parts of
+    ``members``: node, n, community, label; ``sets``: node, members.  A community is cut into parts of
     bounded bytes, its largest label (``main``) apart from the rest, by hashes of the node.  A tile is a
     pair of parts of which one at least is of the rest: two parts of one label need no comparison.
+    Sets are sent for communities of several labels only, spread by tile.
     """
-    sized = members.groupBy("community", "label").agg(
-        F.count("*").alias("rows"), F.sum("n").alias("total"), F.max("n").alias("most")
-    )
-    biggest = Window.partitionBy("community").orderBy(F.desc("rows"), "label")
-    sized = sized.withColumn("main", F.row_number().over(biggest) == 1).withColumn(
-        "labels", F.count("*").over(Window.partitionBy("community"))
-    ).where("labels > 1")
-    main = sized.where("main").select("community", F.col("label").alias("main_label"))
-    parts = sized.groupBy("community").agg(*[
-        F.greatest(F.ceil(F.sum(F.when(side, F.col("rows"))) / TILE),
-                   F.ceil(F.sum(F.when(side, F.col("total"))) * 8 / TILE_BYTES)).cast("int").alias(name)
-        for side, name in ((F.col("main"), "main_parts"), (~F.col("main"), "rest_parts"))
-    ])
-    plan = stage(parts.join(main, "community"), "tile-plan")
+    sized = stage(members.groupBy("community", "label").agg(
+        F.count("*").alias("rows"), F.sum("n").alias("total")
+    ), "label-sizes")
+    # The most rows, then the smallest label.
+    biggest = F.max(F.struct("rows", F.bitwise_not("label").alias("label")))
+    main = sized.groupBy("community").agg(biggest.alias("main"), F.sum("rows").alias("all_rows"), F.sum("total").alias("all_total"))
+    # More rows than the largest label has: another label is there.
+    main = main.where("all_rows > main.rows").withColumn("main_label", F.bitwise_not("main.label"))
+    own = sized.select("community", F.col("label").alias("main_label"), F.col("total").alias("main_total"))
+    count = lambda rows, total: F.greatest(F.ceil(rows / TILE), F.ceil(total * 8 / TILE_BYTES)).cast("int")
+    plan = stage(main.join(own, ["community", "main_label"]).select(
+        "community", "main_label", count(F.col("main.rows"), F.col("main_total")).alias("main_parts"),
+        count(F.col("all_rows") - F.col("main.rows"), F.col("all_total") - F.col("main_total")).alias("rest_parts"),
+    ), "tile-plan")
     spread = F.xxhash64("node", F.lit("part"))
     own = F.when(F.col("in_main"), F.pmod(spread, "main_parts")).otherwise(F.pmod(spread, "rest_parts")).cast("int")
     others = F.sequence(F.lit(0), F.col("rest_parts") - 1)
@@ -183,9 +188,11 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
             F.transform(others, lambda r: F.struct(F.least(r, "part").alias("r"), F.greatest(r, "part").alias("c"), F.lit(False).alias("m"))),
             F.transform(F.sequence(F.lit(0), F.col("main_parts") - 1), lambda c: F.struct(F.col("part").alias("r"), c.alias("c"), F.lit(True).alias("m"))),
         ))
-    rows = members.join(plan, "community").withColumn("in_main", F.col("label") == F.col("main_label"))
-    rows = rows.withColumn("part", own).withColumn("tile", F.explode(mine))
+    rows = stage(members.join(plan, "community").withColumn("in_main", F.col("label") == F.col("main_label")), "tiled")
+    rows = sets.join(rows.withColumn("part", own).drop("n"), "node").withColumn("tile", F.explode(mine))
     rows = rows.select("community", "tile.r", "tile.c", "tile.m", "part", "in_main", "node", "label", "members")
+    # The joins leave rows dealt by community or node; a community's tiles belong to as many tasks as there are.
+    rows = rows.repartition("community", "r", "c", "m")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         nodes, labels = (table.column(c).to_numpy() for c in ("node", "label"))
@@ -199,10 +206,32 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("community", "r", "c", "m").applyInArrow(run, "a long, b long")
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    one = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
-    two = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
-    return pairs.join(two, "b").join(one, "a")
+def _with_pivots(wanted: DataFrame) -> DataFrame:
+    """Mark the pivots of each community, the smallest node and a few others, chosen by hash, and deal the
+    community into parts: ``pivot``, ``parts``, ``part``.  Linear in the community."""
+    chosen = wanted.groupBy("community").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"), F.min("node").alias("p0"), *[
+        F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"p{i}") for i in range(1, PIVOTS)
+    ])
+    chosen = chosen.select("community", "parts", F.array(*[f"p{i}" for i in range(PIVOTS)]).alias("chosen"))
+    return wanted.join(chosen, "community").select(
+        "node", "text_hash", "n", "community", F.array_contains("chosen", F.col("node")).alias("pivot"), "parts",
+        F.pmod(F.xxhash64("node", F.lit("pivot")), "parts").cast("int").alias("part"),
+    )
+
+
+def _pivot_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, set_a, set_b) for the pivots a of each community and its other nodes b of a fitting size.
+
+    Every set is sent once, to its part of the community; the pivots are repeated for each part.
+    """
+    pivots = sets.where("pivot").select(
+        "community", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("members").alias("set_a"),
+    )
+    others = sets.select("community", "part", F.col("node").alias("b"), "n", F.col("pivot").alias("also"), F.col("members").alias("set_b"))
+    close = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
+    apart = F.when(F.col("also"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))
+    return others.join(pivots, ["community", "part"]).where(apart & close).select("a", "b", "set_a", "set_b")
 
 
 def near_duplicates(
@@ -228,28 +257,21 @@ def near_duplicates(
     stars = stage(banded.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "stars")
     star_edges = banded.join(stars, "bucket").where("a < node").select("a", F.col("node").alias("b"))
     communities = stage(components(star_edges).withColumnRenamed("component", "community"), "communities")
+    release(stars)
     wanted = stage(classes.join(communities, "node").select("node", "text_hash", "n", "community"), "candidates")
+    wanted = stage(_with_pivots(wanted), "candidates")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.xxhash64("text").alias("text_hash"), "text")
     found = wanted.join(texts, ["node", "text_hash"]).dropDuplicates(["node", "text_hash"])
     sets = stage(_full_sets(found, words), "sets")
-
-    # Pivots: the smallest node and a few others, chosen by hash; linear in the community.
-    chosen = wanted.groupBy("community").agg(F.min("node").alias("p0"), *[
-        F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"p{i}") for i in range(1, PIVOTS)
-    ])
-    chosen = stage(chosen.select("community", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("a")), "pivots")
-    chosen = stage(chosen.join(wanted.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a"), "pivots")
-    close = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
-    tried = wanted.join(chosen, "community").where((F.col("node") != F.col("a")) & close)
-    tried = tried.select("a", F.col("node").alias("b")).distinct()
-    edges = stage(_verify(_with_sets(tried, sets), percent), "edges")
+    edges = stage(_verify(_pivot_pairs(sets, percent), percent), "edges")
     labels = stage(components(edges), "labels")
 
     # The rest: communities in which more than one component is left.
     members = wanted.join(labels, "node", "left").select(
         "node", "n", "community", F.coalesce("component", "node").alias("label")
-    ).join(sets, "node")
-    edges = edges.unionByName(stage(_tiles(stage(members, "members"), percent), "edges"))
+    )
+    edges = edges.unionByName(stage(_tiles(stage(members, "members"), sets.select("node", "members"), percent), "edges"))
+    release(sets)
     # Rows to representatives; a doc_id with several texts ties their representatives.
     rows_of = able.join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
     rows_of = stage(rows_of.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), "rows")

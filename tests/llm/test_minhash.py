@@ -1,5 +1,7 @@
 """Near-duplicates against brute force over planted copies, and the edge cases."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -11,7 +13,7 @@ SCHEMA = "doc_id long, text string, lang string, n_shingles int"
 
 def sets_of(text, words):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    tokens = [t for t in __import__("re").split(r"[\x20\x09-\x0D]+", text) if t]
+    tokens = [t for t in re.split(r"[\x20\x09-\x0D]+", text) if t]
     if not tokens:
         return set()
     size = min(words, len(tokens))
@@ -74,6 +76,20 @@ def test_without_pivots_and_with_tiny_tiles(spark, monkeypatch):
     check(spark, planted(3))
 
 
+def test_pivots_meet_communities_in_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PART", 3)
+    check(spark, planted(4, groups=5, copies=25))
+
+
+def test_tiles_are_spread_by_all_their_keys(spark, capsys):
+    members = spark.createDataFrame([(i, 3, 1, i % 2) for i in range(9)], "node long, n long, community long, label long")
+    sets = spark.createDataFrame([(i, bytes(24)) for i in range(9)], "node long, members binary")
+    tiles = minhash._tiles(members, sets, 80)
+    tiles.explain()
+    assert re.search(r"Exchange hashpartitioning\(community#\d+L?, r#\d+, c#\d+, m#\d+", capsys.readouterr().out)
+    assert {frozenset((r.a % 2, r.b % 2)) for r in tiles.collect()} == {frozenset((0, 1))}
+
+
 def test_nulls_blanks_ties_and_repeats(spark):
     long = " ".join(f"v{i}" for i in range(30_000))
     rows = [
