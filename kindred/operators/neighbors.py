@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from kindred.functions import rounded
 from kindred.operators import bounded, pairs, tiles
+from kindred.operators.order import rank_in_ranges
 from kindred.operators.vectors import Fitted
 from kindred.schema import SIMILARITY_PLACES
 
-# Ranges of similarity over which the ranking of a very long list is divided.
-SIMILARITY_RANGES = 256
-
 
 def rank_edges(edges: DataFrame, k: int | None = None) -> DataFrame:
     """Rank each user's neighbours by similarity, ties by smaller neighbour id.
@@ -29,24 +27,10 @@ def rank_edges(edges: DataFrame, k: int | None = None) -> DataFrame:
 def rank_long_lists(edges: DataFrame) -> DataFrame:
     """Rank all neighbours where one user may have too many to sort in one task.
 
-    Similarities are divided into ranges; the rank is the position inside the range
-    plus the number of neighbours in the user's higher ranges.
+    Ranges are cut where the edges are, so many neighbours of one similarity are divided, too.
     """
-    ranged = edges.withColumn("range", F.floor(F.col("similarity") * SIMILARITY_RANGES))
-    higher = (
-        Window.partitionBy("user_id").orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        ranged.groupBy("user_id", "range")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .select("user_id", "range", F.coalesce(F.sum("c").over(higher), F.lit(0)).alias("ahead"))
-    )
-    inside = Window.partitionBy("user_id", "range").orderBy(F.desc("similarity"), F.asc("neighbor_id"))
-    return (
-        ranged.withColumn("at", F.row_number().over(inside))
-        .join(offsets, ["user_id", "range"])
-        .select("user_id", "neighbor_id", "similarity", (F.col("at") + F.col("ahead")).alias("rank"))
-    )
+    ranked = rank_in_ranges(edges, [F.desc("similarity"), F.asc("neighbor_id")], ("user_id",))
+    return ranked.select("user_id", "neighbor_id", "similarity", "rank")
 
 
 def top_k(fitted: Fitted, k: int | None, metric: str = pairs.COSINE) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Top-n recommendations.  Ties go to the smaller item id."""
+"""Top-n recommendations, or all items ranked (n=None).  Ties go to the smaller item id."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kindred.functions import denormalise, rounded
 from kindred.operators.deviations import deviations, item_deviations
 from kindred.operators.neighbors import top_k, top_k_of
+from kindred.operators.order import rank_in_ranges
 from kindred.operators.stats import user_means
 from kindred.operators.vectors import Fitted
 from kindred.operators.weighting import full_table_sums, weighted_prediction, with_user_means
@@ -21,16 +22,20 @@ from kindred.sources.staging import stage
 PREDICTION_PLACES = 9
 
 
-def _top_of_one(scored: DataFrame, n: int) -> DataFrame:
-    """The n best rows overall: TakeOrderedAndProject, then a rank over those n rows."""
+def _top_of_one(scored: DataFrame, n: int | None) -> DataFrame:
+    """The n best rows overall: TakeOrderedAndProject, then a rank over those n rows; all rows without n."""
+    if n is None:
+        return rank_in_ranges(scored, [F.desc("prediction"), F.asc("item_id")])
     best = scored.orderBy(F.desc("prediction"), F.asc("item_id")).limit(n)
     return best.withColumn(
         "rank", F.row_number().over(Window.orderBy(F.desc("prediction"), F.asc("item_id")))
     )
 
 
-def top_n(scored: DataFrame, n: int) -> DataFrame:
-    """The n best items of each user, ranked."""
+def top_n(scored: DataFrame, n: int | None) -> DataFrame:
+    """The n best items of each user, ranked; all of them without n."""
+    if n is None:
+        return rank_in_ranges(scored, [F.desc("prediction"), F.asc("item_id")], ("user_id",))
     best_first = Window.partitionBy("user_id").orderBy(F.desc("prediction"), F.asc("item_id"))
     return scored.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= n)
 
@@ -67,7 +72,7 @@ def baseline_scores(
 
 
 def recommend_baseline(
-    ratings: DataFrame, personal: DataFrame, user_id: int, n: int = 5,
+    ratings: DataFrame, personal: DataFrame, user_id: int, n: int | None = 5,
     items: DataFrame | None = None, bounds: RatingScale = RatingScale(), exclude_rated: bool = True,
 ) -> DataFrame:
     scored = baseline_scores(ratings, personal, user_id, None, bounds, exclude_rated)
@@ -75,7 +80,7 @@ def recommend_baseline(
 
 
 def recommend_popular(
-    ratings: DataFrame, personal: DataFrame, user_id: int, n: int = 5,
+    ratings: DataFrame, personal: DataFrame, user_id: int, n: int | None = 5,
     items: DataFrame | None = None, bounds: RatingScale = RatingScale(), exclude_rated: bool = True,
 ) -> DataFrame:
     """Baseline predictions weighted by the item's share of the largest rating count."""
@@ -102,7 +107,7 @@ def _knn_scores(neighbors: DataFrame, fitted: Fitted) -> DataFrame:
 
 
 def recommend_knn(
-    fitted: Fitted, targets: DataFrame, k: int, n: int = 5, items: DataFrame | None = None
+    fitted: Fitted, targets: DataFrame, k: int, n: int | None = 5, items: DataFrame | None = None
 ) -> DataFrame:
     """Top n unrated items for each user in ``targets`` (user_id), from its k nearest users.
 
@@ -113,7 +118,7 @@ def recommend_knn(
 
 
 def recommend_knn_for_ks(
-    fitted: Fitted, targets: DataFrame, ks: tuple[int, ...], n: int = 5, items: DataFrame | None = None
+    fitted: Fitted, targets: DataFrame, ks: tuple[int, ...], n: int | None = 5, items: DataFrame | None = None
 ) -> DataFrame:
     """The same for several k, with a column k: neighbours are searched once, at the largest.
 
@@ -128,7 +133,7 @@ def recommend_knn_for_ks(
 
 
 def recommend_knn_all(
-    fitted: Fitted, k: int, n: int = 5, items: DataFrame | None = None
+    fitted: Fitted, k: int, n: int | None = 5, items: DataFrame | None = None
 ) -> DataFrame:
     """The same for every user of the fitted ratings."""
     return with_titles(top_n(_knn_scores(top_k(fitted, k), fitted), n), items)

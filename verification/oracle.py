@@ -221,6 +221,9 @@ def personal_candidates(weight: str = "") -> str:
 
 
 ALL_USERS = "all_mean AS (SELECT user_id, avg(rating) AS a FROM ratings GROUP BY 1)"
+COHORTS = """c AS MATERIALIZED (
+  SELECT CAST(CAST(floor(a) AS BIGINT) AS VARCHAR) || '/' || CAST(user_id % 2 AS VARCHAR) AS cohort, item_id
+  FROM ratings JOIN all_mean USING (user_id))"""
 TRAIN = (SPLIT, vectors())
 TEST_FIT = (SPLIT, vectors("seen", "user_mean"))
 COSINE = (*TRAIN, similar("cosine"))
@@ -302,6 +305,15 @@ SELECT item_id, {rnd('m', 6)} AS item_mean, n,
   {rnd('n / (SELECT max(n) FROM im)', 6)} AS share_of_max FROM im"""),
     "user_item_sets": with_(RATINGS, select="""
 SELECT user_id, item_id, count(*) OVER (PARTITION BY user_id) AS set_size FROM ratings"""),
+    "cohort_item_sets": with_(RATINGS, ALL_USERS, COHORTS, select="""
+SELECT cohort, count(DISTINCT item_id) AS set_size FROM c GROUP BY 1
+UNION ALL SELECT split_part(cohort, '/', 1), count(DISTINCT item_id) FROM c GROUP BY 1"""),
+    "cohort_overlap": with_(RATINGS, ALL_USERS, COHORTS, """s AS (SELECT DISTINCT cohort, item_id FROM c),
+n AS (SELECT cohort, count(*) AS n FROM s GROUP BY 1),
+o AS (SELECT x.cohort AS a, y.cohort AS b, count(*) AS shared FROM s x JOIN s y USING (item_id) GROUP BY 1, 2)""", select=f"""
+SELECT x.cohort AS a, y.cohort AS b, coalesce(shared, 0) AS shared, x.n + y.n - coalesce(shared, 0) AS joint,
+  {rnd('coalesce(shared, 0) / (x.n + y.n - coalesce(shared, 0))', 6)} AS jaccard
+FROM n x JOIN n y ON x.cohort < y.cohort LEFT JOIN o ON o.a = x.cohort AND o.b = y.cohort"""),
     "mae_global": with_(SPLIT, GLOBAL, select=mae("global", "gp")),
     "mae_user": with_(SPLIT, USER, select=mae("user", "up")),
     "mae_item": with_(SPLIT, ITEM, select=mae("item", "ip")),
@@ -368,6 +380,9 @@ JOIN all_mean u ON u.user_id = w.user_id WHERE wd IS NOT NULL"""),
     "recommend_baseline": with_(
         RATINGS, PERSONAL, ALL_USERS, vectors("ratings", "all_mean"),
         select=recommended(personal_candidates())),
+    "rank_all_items": with_(
+        RATINGS, PERSONAL, ALL_USERS, vectors("ratings", "all_mean"),
+        select=recommended(personal_candidates()).removesuffix("WHERE rank <= 5")),
     "recommend_popularity": with_(
         RATINGS, PERSONAL, ALL_USERS, vectors("ratings", "all_mean"),
         select=recommended(personal_candidates("n / most * "))),

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from kindred.functions import rounded
 from kindred.operators import pairs
+from kindred.operators.bitmaps import item_bitmaps, set_overlaps, set_sizes, united
 from kindred.operators.deviations import (
     deviations, item_deviations, processed_deviations, user_profiles,
 )
+from kindred.operators.joins import join_per_key
 from kindred.operators.metrics import absolute_errors, compare, mae
 from kindred.operators.neighbors import neighbor_lists, top_k
 from kindred.operators.store import fold_in, load, save
@@ -186,6 +188,31 @@ def q_user_item_sets(spark, d):
     return item_sets(_ratings(spark, d))
 
 
+def _cohort_bitmaps(spark, d):
+    """Item sets of cohorts: users of the same whole number of mean stars and parity of id, so that cohorts can be united."""
+    ratings = _ratings(spark, d)
+    cohorts = user_means(ratings).select(
+        "user_id", F.concat_ws("/", F.floor("user_mean"), F.col("user_id") % 2).alias("cohort")
+    )
+    rows = join_per_key(ratings.select("user_id", "item_id"), cohorts, "user_id", "item_id")
+    return stage(item_bitmaps(rows, "cohort"), "bitmaps")
+
+
+def q_cohort_item_sets(spark, d):
+    """Different items of each cohort, and of the cohorts with the same number of stars together."""
+    sets = _cohort_bitmaps(spark, d)
+    stars = sets.select(F.split("cohort", "/")[0].alias("cohort"), "bucket", "items")
+    return set_sizes(sets, "cohort").unionByName(set_sizes(united(stars, "cohort"), "cohort"))
+
+
+def q_cohort_overlap(spark, d):
+    """What each cohort's items share with those of the cohorts named after it."""
+    sets = _cohort_bitmaps(spark, d)
+    names = sets.agg(F.collect_set("cohort").alias("names"))  # as many as there are stars, twice
+    wanted = names.select("names", F.explode("names").alias("a")).select("a", F.explode("names").alias("b")).where("a < b")
+    return neat(set_overlaps(sets, "cohort", wanted), jaccard=6)
+
+
 # --- mean predictors ---------------------------------------------------------
 
 
@@ -410,6 +437,13 @@ def q_recommend_baseline(spark, d):
     ))
 
 
+def q_rank_all_items(spark, d):
+    """Every item the user has not rated, ranked."""
+    return _recommended(recommend_baseline(
+        _ratings(spark, d), _personal(spark, d), PERSONAL_USER, n=None, items=item_titles(spark, d)
+    ))
+
+
 def q_recommend_popularity(spark, d):
     return _recommended(recommend_popular(
         _ratings(spark, d), _personal(spark, d), PERSONAL_USER, items=item_titles(spark, d)
@@ -477,6 +511,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "close_to_global_ratio": q_close_to_global_ratio,
     "item_popularity": q_item_popularity,
     "user_item_sets": q_user_item_sets,
+    "cohort_item_sets": q_cohort_item_sets,
+    "cohort_overlap": q_cohort_overlap,
     "mae_global": _mae_of(predict_global, "global"),
     "mae_user": _mae_of(predict_user_mean, "user"),
     "mae_item": _mae_of(predict_item_mean, "item"),
@@ -521,6 +557,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lowest_k": q_lowest_k,
     "knn_full_table": q_knn_full_table,
     "recommend_baseline": q_recommend_baseline,
+    "rank_all_items": q_rank_all_items,
     "recommend_popularity": q_recommend_popularity,
     "recommend_knn": q_recommend_knn,
     "recommend_knn_fold_in": q_recommend_knn_fold_in,
