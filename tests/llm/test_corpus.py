@@ -237,8 +237,61 @@ def test_without_labels_nothing_is_toxic(spark):
 
 def test_ratio_of_known_words():
     hashes = list(batch_words(["bad", "fine word"], ALPHANUMERIC))
-    model = toxicity.Model((hashes[0], np.array([2.0])), (np.empty(0, np.uint64), np.empty(0)), (np.empty(0, np.uint64), np.empty(0)), -0.5)
-    assert model.ratio(hashes[0]) == 2.0 and model.ratio(hashes[1]) == -0.5 and model.ratio(hashes[0][:0]) == -0.5
+    pair = toxicity.pair_keys(np.concatenate((hashes[0], hashes[1])))[2:]
+    model = toxicity.Model((hashes[0], np.array([2.0])), (pair, np.array([-3.0])))
+    assert model.ratio(hashes[0]) == 2.0 and model.ratio(hashes[1]) == -1.5 and model.ratio(hashes[0][:0]) == 0.0
+
+
+def counted(seed):
+    """(without, word, context, t, o) of two small models; context 0 begins a text."""
+    rnd = random.Random(seed)
+    rows = {(f, rnd.randrange(1, 9), rnd.randrange(0, 9)): (float(rnd.choice([0, 0, 1, 1, 2, 5])), float(rnd.choice([0, 1, 2, 3]))) for f in (0, 1) for _ in range(40)}
+    return [(f, w, u, t, o) for (f, w, u), (t, o) in rows.items() if t or o]
+
+
+def kneser_ney(rows, at):
+    """p(word) and p(word | context) of one class, from the definition.  ``at``: 3 toxic, 4 ordinary."""
+    def discount(counts):
+        n1, n2 = (sum(c == size for c in counts) for size in (1, 2))
+        return n1 / (n1 + 2 * n2) if n1 and n2 else toxicity.DISCOUNT
+
+    words = {r[1] for r in rows} | {None}
+    both = {w: sum(r[1] == w for r in rows) for w in words}
+    before = {w: sum(r[1] == w and r[at] > 0 for r in rows) for w in words}
+    d, total = discount(before.values()), sum(before.values())
+    shared = {w: (both[w] + 0.5) / (sum(both.values()) + 0.5 * len(words)) for w in words}
+    single = {w: (max(before[w] - d, 0) + d * sum(n > 0 for n in before.values()) * shared[w]) / total for w in words}
+    d = discount([r[at] for r in rows])
+
+    def after(word, context):
+        seen = {r[1]: r[at] for r in rows if r[2] == context and r[at] > 0}
+        if not seen:
+            return single[word]
+        return (max(seen.get(word, 0) - d, 0) + d * len(seen) * single[word]) / sum(seen.values())
+
+    return single, after
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_probabilities_are_kneser_neys_and_sum_to_one(spark, seed):
+    rows = counted(seed)
+    pairs = spark.createDataFrame(rows, "without int, word long, context long, t double, o double")
+    words = toxicity.word_probabilities(pairs)
+    every = words.where("word is not null").select("without", "word").crossJoin(spark.range(9).withColumnRenamed("id", "context"))
+    wanted = every.join(pairs, ["without", "word", "context"], "left").fillna(0.0, ["t", "o"])
+    single = {(r.without, r.word): (r.p_t, r.p_o) for r in words.collect()}
+    double = {(r.without, r.word, r.context): (r.p_t, r.p_o) for r in toxicity.pair_probabilities(pairs, words, wanted).collect()}
+    for f in (0, 1):
+        own = [r for r in rows if r[0] == f]
+        for i, at in enumerate((3, 4)):
+            alone, after = kneser_ney(own, at)
+            assert {w: p[i] for (g, w), p in single.items() if g == f} == pytest.approx(alone)
+            assert sum(alone.values()) == pytest.approx(1)
+            for context in {r[2] for r in own}:
+                assert sum(after(w, context) for w in alone) == pytest.approx(1)
+                for word in alone:
+                    if word is not None:
+                        assert double[f, word, context][i] == pytest.approx(after(word, context))
 
 
 def rare_toxic(seed, count, every):
