@@ -33,6 +33,8 @@ from kindred.sources.staging import release, stage
 SKETCH = 128
 BANDS, ROWS = 25, 5
 PIVOTS = 4
+#: The map of the texts wanted has at most 2 to the power of so many bits.
+MAP_BITS = 28
 #: So many nodes of a community meet its pivots in one part.
 PART = 512
 TILE = 384
@@ -206,6 +208,24 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("community", "r", "c", "m").applyInArrow(run, "a long, b long")
 
 
+def _perhaps(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose text_hash may be among those of ``wanted``: all that are, and few others.
+
+    The hashes wanted mark one bit each of a map, eight bits for each hash but at most 2 ** MAP_BITS (32 MB)
+    in all, which is broadcast in pieces of 4 KB: texts that are not wanted stay out of the
+    shuffle.  A full map would let every row pass.
+    """
+    bits = min(MAP_BITS, max(20, (8 * wanted.count()).bit_length()))
+    spot = F.pmod("text_hash", F.lit(1 << bits))
+    marked = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("map")
+    )
+    spots = texts.withColumn("bucket", F.bitmap_bucket_number(spot)).withColumn("at", F.bitmap_bit_position(spot))
+    byte = F.conv(F.hex(F.substring("map", (F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.get(F.array(*[byte.bitwiseAND(F.lit(1 << i)) for i in range(8)]), (F.col("at") % 8).cast("int")) != 0
+    return spots.join(F.broadcast(marked), "bucket").where(hit).select(*texts.columns)
+
+
 def _with_pivots(wanted: DataFrame) -> DataFrame:
     """Mark the pivots of each community, the smallest node and a few others, chosen by hash, and deal the
     community into parts: ``pivot``, ``parts``, ``part``.  Linear in the community."""
@@ -261,7 +281,7 @@ def near_duplicates(
     wanted = stage(classes.join(communities, "node").select("node", "text_hash", "n", "community"), "candidates")
     wanted = stage(_with_pivots(wanted), "candidates")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.xxhash64("text").alias("text_hash"), "text")
-    found = wanted.join(texts, ["node", "text_hash"]).dropDuplicates(["node", "text_hash"])
+    found = wanted.join(_perhaps(texts, wanted), ["node", "text_hash"]).dropDuplicates(["node", "text_hash"])
     sets = stage(_full_sets(found, words), "sets")
     edges = stage(_verify(_pivot_pairs(sets, percent), percent), "edges")
     labels = stage(components(edges), "labels")

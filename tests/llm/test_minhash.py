@@ -81,6 +81,17 @@ def test_pivots_meet_communities_in_many_parts(spark, monkeypatch):
     check(spark, planted(4, groups=5, copies=25))
 
 
+@pytest.mark.parametrize("bits", [28, 3])
+def test_the_map_of_wanted_texts_lets_them_pass(spark, monkeypatch, bits):
+    monkeypatch.setattr(minhash, "MAP_BITS", bits)
+    texts = spark.range(20_000).selectExpr("id node", "xxhash64(id) text_hash", "'x' text")
+    wanted = texts.where("node % 97 = 5").select("node", "text_hash")
+    passed = {r.node for r in minhash._perhaps(texts, wanted).collect()}
+    assert passed >= {i for i in range(20_000) if i % 97 == 5}
+    assert len(passed) < 1_000 if bits == 28 else len(passed) == 20_000
+    assert minhash._perhaps(texts, wanted.limit(0)).count() == 0
+
+
 def test_tiles_are_spread_by_all_their_keys(spark, capsys):
     members = spark.createDataFrame([(i, 3, 1, i % 2) for i in range(9)], "node long, n long, community long, label long")
     sets = spark.createDataFrame([(i, bytes(24)) for i in range(9)], "node long, members binary")
