@@ -10,8 +10,15 @@ For every language, in log space and by Bayes' rule:
 * the host: how its rows divide among the languages by their texts, smoothed towards the
   host's domain, and that towards the whole table.
 
-All counts are sums of the text posteriors, grouped aggregations over all rows.  The trigram
-models are fitted on a bounded sample of rows whose language is known.
+All counts are sums of the text posteriors, grouped aggregations over all rows; a row's own
+text is left out of the sums that it is judged by.  The trigram models are fitted on a bounded
+sample of rows whose language is known.  The most frequent languages have a model each; the
+others share one.  A text that fits the shared model best has the language that is declared
+for it, if that is one of the others, and else none.
+
+Nulls and empty texts: no letters, the other evidence decides, never accepted.  Repeated rows
+each count and each get a row.  Of languages with equal posteriors the first by name wins,
+the shared model last.  Kept columns named like one that is added are replaced.
 """
 
 from __future__ import annotations
@@ -27,9 +34,12 @@ from pyspark.sql.types import StructType
 
 from kindred.sources.staging import stage
 
-#: At most so many rows of each language are used to fit, and so many languages, the most frequent.
+#: At most so many rows of each model are used to fit; so many languages, the most frequent, have their own.
 SAMPLE = 2000
 LANGUAGES = 100
+#: Name of the model that all other languages share.
+OTHERS = ""
+ADDED = ("language", "posterior", "accepted")
 BUCKETS = 1 << 16
 EVIDENCE = 60
 SMOOTHING = 5.0
@@ -65,17 +75,25 @@ def trigram_buckets(text: str | None) -> Iterator[np.ndarray]:
         yield ((hashed ^ (hashed >> np.uint32(15)))[middle] & np.uint32(BUCKETS - 1)).astype(np.intp)
 
 
-def fit(texts: DataFrame, sample: int = SAMPLE) -> Trigrams | None:
-    """Fit on rows (id, text, language), at most ``sample`` of each language, chosen by a hash
-    of the id.  None without any.  What reaches the driver: a count per language and bucket.
+def fit(texts: DataFrame, sample: int = SAMPLE, own: int = LANGUAGES) -> Trigrams | None:
+    """Fit on rows (id, text, language), about ``sample`` for each model, chosen by a hash of
+    the id.  An empty language is none.  The ``own`` most frequent languages have a model each,
+    all others one together.  None without any.  What reaches the driver: a count per model and bucket.
     """
-    known = stage(texts.where("language is not null and id is not null and text is not null").select("id", "language"), "known")
-    counts = known.groupBy("language").count().orderBy(F.desc("count"), "language").limit(LANGUAGES).collect()
+    texts = texts.where("language <> '' and id is not null and text is not null").select("id", "text", "language")
+    by_language = stage(texts.groupBy("language").count(), "languages-known")
+    counts = {r["language"]: r["count"] for r in by_language.orderBy(F.desc("count"), "language").limit(own).collect()}
     if not counts:
         return None
-    # A hash below sample / count takes about ``sample`` rows of a language, whatever its size.
-    share = F.coalesce(*[F.when(F.col("language") == r["language"], F.lit(min(1.0, sample / r["count"]))) for r in counts])
-    chosen = texts.where(share.isNotNull() & (F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20)))
+    named = sorted(counts)
+    rest = (by_language.agg(F.sum("count")).first()[0] or 0) - sum(counts.values())
+    if rest:
+        counts[OTHERS] = rest
+    languages = [*named, OTHERS] if rest else named
+    texts = texts.withColumn("language", F.when(F.col("language").isin(named), F.col("language")).otherwise(F.lit(OTHERS)))
+    # A hash below sample / count takes about ``sample`` rows for a model, whatever the count.
+    share = F.coalesce(*[F.when(F.col("language") == name, F.lit(min(1.0, sample / n))) for name, n in counts.items()])
+    chosen = texts.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -92,7 +110,6 @@ def fit(texts: DataFrame, sample: int = SAMPLE) -> Trigrams | None:
 
     summed = chosen.select("language", "text").mapInArrow(run, "language string, bucket long, n long")
     table = summed.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    languages = sorted(r["language"] for r in counts)
     found = np.full((BUCKETS, len(languages)), 0.5)
     columns = [languages.index(x) for x in table.column("language").to_pylist()]
     found[table.column("bucket").to_numpy(), columns] += table.column("n").to_numpy()
@@ -100,10 +117,10 @@ def fit(texts: DataFrame, sample: int = SAMPLE) -> Trigrams | None:
 
 
 def _evidence(rows: DataFrame, model: Trigrams, keep: list[str]) -> DataFrame:
-    """``keep``, ``n`` trigrams and ``e0``, ``e1``, ...: the text's log-evidence for each language."""
+    """``keep``, ``__n`` trigrams and ``__e0``, ``__e1``, ...: the text's log-evidence for each model."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    names = [f"e{i}" for i in range(len(model.languages))]
-    rows = rows.select(*keep, "text")
+    names = [f"__e{i}" for i in range(len(model.languages))]
+    rows = rows.select(*[F.col(f"`{c}`") for c in keep], "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,10 +134,10 @@ def _evidence(rows: DataFrame, model: Trigrams, keep: list[str]) -> DataFrame:
                 columns = np.array(means).reshape(len(counts), -1).T
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(counts, pa.int64()), *[pa.array(c.copy(), pa.float64()) for c in columns]],
-                    [*keep, "n", *names],
+                    [*keep, "__n", *names],
                 )
 
-    more = StructType.fromDDL(", ".join(["n long", *[f"{e} double" for e in names]]))
+    more = StructType.fromDDL(", ".join(["__n long", *[f"{e} double" for e in names]]))
     return rows.mapInArrow(run, StructType([*rows.schema.fields[:-1], *more.fields]))
 
 
@@ -135,45 +152,68 @@ def identify(rows: DataFrame, model: Trigrams | None, keep: list[str]) -> DataFr
     """Add ``language``, ``posterior`` and ``accepted`` to the columns ``keep`` of each row.
 
     ``rows`` has text, declared, suffix, domain and host (strings, null where unknown: an unknown value is a value of
-    its own) besides ``keep``.  A row is accepted if its text has letters and the best language
-    has a posterior of SURE.  Without a model every language is null and nothing is accepted.
+    its own) besides ``keep``.  A row is accepted if its text has letters, the best model
+    has a posterior of SURE, and the language is known.  Without a model every language is null and nothing is accepted.
     """
+    keep = [c for c in keep if c.lower() not in ADDED]
+    kept = [F.col(f"`{c}`") for c in keep]
     named = [F.coalesce(F.lower(F.col(c)), F.lit("")).alias(f"__{c}") for c in ("declared", "suffix", "domain", "host")]
-    rows = rows.select(*keep, *named, "text")
+    rows = rows.select(*kept, *named, F.col("text").alias("__text"))
     if model is None:
-        return rows.select(*keep, F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"))
+        return rows.select(*kept, F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"))
     keys = ["__declared", "__suffix", "__domain", "__host"]
     seen = stage(_evidence(rows, model, [*keep, *keys]), "language-evidence")
     size = range(len(model.languages))
-    shares = _softmax([F.col(f"e{i}") for i in size])
-    seen = seen.select("*", *[s.alias(f"p{i}") for i, s in enumerate(shares)])
-    sums = lambda name: [F.sum(f"p{i}").alias(f"{name}{i}") for i in size]
+    shares = _softmax([F.col(f"__e{i}") for i in size])
+    seen = seen.select("*", *[s.alias(f"__p{i}") for i, s in enumerate(shares)])
+    sums = lambda name: [F.sum(f"__p{i}").alias(f"__{name}{i}") for i in size]
     hosts = stage(seen.groupBy("__domain", "__host").agg(*sums("h")), "hosts")
-    domains = hosts.groupBy("__domain").agg(*[F.sum(f"h{i}").alias(f"d{i}") for i in size])
+    domains = hosts.groupBy("__domain").agg(*[F.sum(f"__h{i}").alias(f"__d{i}") for i in size])
     whole = seen.agg(*sums("g")).first()
-    whole = [whole[f"g{i}"] or 0.0 for i in size]
-    prior = [(g + 1) / (sum(whole) + len(whole)) for g in whole]
-
-    def smoothed(name: str, towards: list[Column]) -> list[Column]:
-        total = sum((F.col(f"{name}{i}") for i in size), F.lit(0.0))
-        return [(F.col(f"{name}{i}") + SMOOTHING * towards[i]) / (total + SMOOTHING) for i in size]
-
-    at_domain = smoothed("d", [F.lit(p) for p in prior])
-    priors = hosts.join(domains, "__domain").select("__domain", "__host", *[F.log(x).alias(f"h{i}") for i, x in enumerate(smoothed("h", at_domain))])
-    joined = seen.join(stage(priors, "host-priors"), ["__domain", "__host"])
+    whole = [whole[f"__g{i}"] or 0.0 for i in size]
+    joined = seen.join(stage(hosts.join(domains, "__domain"), "host-sums"), ["__domain", "__host"])
     for key, name in (("__declared", "c"), ("__suffix", "s")):
-        table = stage(seen.groupBy(key).agg(*sums(name)), "likelihoods")
-        # How likely a text of the language comes with this value; one unit of smoothing, spread by the value's frequency.
-        total = sum((F.col(f"{name}{i}") for i in size), F.lit(0.0))
-        likely = [F.log((F.col(f"{name}{i}") + SMOOTHING * total / sum(whole)) / (whole[i] + SMOOTHING)).alias(f"{name}{i}") for i in size]
-        joined = joined.join(table.select(key, *likely), key)
-    logs = [F.col(f"e{i}") + F.col(f"h{i}") + F.col(f"c{i}") + F.col(f"s{i}") for i in size]
-    posterior = _softmax(logs)
-    best = F.greatest(*posterior) if len(posterior) > 1 else posterior[0]
-    out = joined.select(*keep, "n", *[p.alias(f"p{i}") for i, p in enumerate(posterior)], best.alias("posterior"))
-    language = F.coalesce(*[F.when(F.col(f"p{i}") == F.col("posterior"), F.lit(name)) for i, name in enumerate(model.languages)])
-    accepted = F.coalesce((F.col("n") > 0) & (F.col("posterior") >= SURE), F.lit(False))
-    return out.select(*keep, language.alias("language"), "posterior", accepted.alias("accepted"))
+        joined = joined.join(stage(seen.groupBy(key).agg(*sums(name)), "likelihoods"), key)
+
+    # Sums over all rows but this one; rounding may leave less than nothing.
+    def others(name: str) -> list[Column]:
+        return [F.greatest(F.col(f"__{name}{i}") - F.col(f"__p{i}"), F.lit(0.0)) for i in size]
+
+    rest = [F.greatest(F.lit(whole[i]) - F.col(f"__p{i}"), F.lit(0.0)) for i in size]
+    added = lambda columns: sum(columns, F.lit(0.0))
+
+    def smoothed(counts: list[Column], towards: list[Column]) -> list[Column]:
+        return [(c + SMOOTHING * t) / (added(counts) + SMOOTHING) for c, t in zip(counts, towards)]
+
+    def step(frame: DataFrame, name: str, columns: list[Column]) -> DataFrame:
+        return frame.select("*", *[c.alias(f"__{name}{i}") for i, c in enumerate(columns)])
+
+    ready = step(step(joined, "r", rest), "a", others("d"))
+    table = [F.col(f"__r{i}") for i in size]
+    prior = [(r + 1) / (added(table) + len(size)) for r in table]
+    ready = step(ready, "t", smoothed([F.col(f"__a{i}") for i in size], prior))
+    ready = step(ready, "b", others("h"))
+    logs = [F.col(f"__e{i}") + F.log(x) for i, x in enumerate(smoothed([F.col(f"__b{i}") for i in size], [F.col(f"__t{i}") for i in size]))]
+    for name in ("c", "s"):
+        # How likely a text of the language comes with this value; one unit of smoothing, spread by the value's frequency,
+        # with one row more, so that a value seen only here is possible.
+        counts = others(name)
+        spread = (added(counts) + 1) / (added(table) + 1)
+        logs = [log + F.log((c + SMOOTHING * spread) / (r + SMOOTHING)) for log, c, r in zip(logs, counts, table)]
+    ready = step(ready, "l", logs)
+    ready = step(ready, "q", _softmax([F.col(f"__l{i}") for i in size]))
+    final = [F.col(f"__q{i}") for i in size]
+    best = F.greatest(*final) if len(final) > 1 else final[0]
+    own = [name for name in model.languages if name != OTHERS]
+    undeclared = (F.col("__declared") == "") | F.col("__declared").isin(own)
+    meant = [F.lit(name) if name != OTHERS else F.when(~undeclared, F.col("__declared")) for name in model.languages]
+    # Nested, not coalesced: where the shared model is best, no language is an answer, too.
+    language = F.lit(None).cast("string")
+    for q, name in reversed(list(zip(final, meant))):
+        language = F.when(q == best, name).otherwise(language)
+    ready = ready.select(*kept, "__n", language.alias("language"), best.alias("posterior"))
+    accepted = F.coalesce((F.col("__n") > 0) & (F.col("posterior") >= SURE) & F.col("language").isNotNull(), F.lit(False))
+    return ready.select(*kept, "language", "posterior", accepted.alias("accepted"))
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:

@@ -163,6 +163,71 @@ def test_weak_texts_follow_declaration_and_host(spark):
     assert all(0 < r.posterior <= 1 + 1e-9 for rs in out.values() for r in rs)
 
 
+def fused(model, rows):
+    """Posterior of each row (text, declared, suffix, domain, host) by plain sums over the other rows."""
+    size, keys = len(model.languages), [tuple((v or "").lower() for v in r[1:]) for r in rows]
+    evidence = []
+    for r in rows:
+        mean, n = model.evidence(r[0])
+        evidence.append(mean * min(n, languages.EVIDENCE))
+    shares = [np.exp(e - e.max()) / np.exp(e - e.max()).sum() for e in evidence]
+    out = []
+    for i, (e, k) in enumerate(zip(evidence, keys)):
+        def total(same):
+            return sum((s for j, s in enumerate(shares) if j != i and same(keys[j])), np.zeros(size))
+        every = total(lambda o: True)
+        p = (every + 1) / (every.sum() + size)
+        for counts in (total(lambda o: o[2] == k[2]), total(lambda o: o[2:] == k[2:])):
+            p = (counts + languages.SMOOTHING * p) / (counts.sum() + languages.SMOOTHING)
+        log = e + np.log(p)
+        for at in (0, 1):
+            counts = total(lambda o: o[at] == k[at])
+            log += np.log((counts + languages.SMOOTHING * (counts.sum() + 1) / (every.sum() + 1)) / (every + languages.SMOOTHING))
+        out.append(np.exp(log - log.max()) / np.exp(log - log.max()).sum())
+    return out
+
+
+def test_fusion_equals_plain_sums_over_the_other_rows(spark):
+    model = languages.fit_documents(table(spark, corpus(1, 60)))
+    model = languages.Trigrams(model.languages, model.logs * 0.1)  # so that the other evidence matters
+    rnd = random.Random(5)
+    rows = [("a b", None, None, None, None), ("", "de", "de", "x.de", "www.x.de"), (None, "DE", "de", "x.de", "x.de"), ("le", "zz", "fr", "only.fr", "only.fr")]
+    rows += [
+        (prose(rnd, lang, rnd.randrange(1, 6)), rnd.choice([lang, None, "en"]), rnd.choice(["de", "com"]), d := rnd.choice(["a.com", "b.de"]), rnd.choice(["", "www."]) + d)
+        for lang in ("de", "fr", "en") for _ in range(15)
+    ]
+    rows += rows[-3:]
+    # Names that the operator uses or adds do no harm.
+    schema = "id long, text string, declared string, suffix string, domain string, host string, n long, e0 long, Language string, p0 long"
+    frame = spark.createDataFrame([(i, *r, 1, 2, "x", 3) for i, r in enumerate(rows)], schema)
+    found = languages.identify(frame, model, ["id", "n", "e0", "Language", "p0"])
+    assert found.columns == ["id", "n", "e0", "p0", "language", "posterior", "accepted"]
+    found = sorted(found.collect(), key=lambda r: r.id)
+    for r, q in zip(found, fused(model, rows)):
+        assert abs(r.posterior - q.max()) < 1e-9 and (r.n, r.e0, r.p0) == (1, 2, 3)
+        assert q[model.languages.index(r.language)] > q.max() - 1e-9
+    assert len(found) == len(rows) and len({round(r.posterior, 6) for r in found}) > 10
+
+
+def test_rare_languages_share_a_model_and_keep_their_names(spark):
+    rows = [r for r in corpus(6, 300) if r[2] != "fr"] + [(5000 + i, prose(random.Random(i), "fr", 40), ("fr", "oc")[i % 2], "rare") for i in range(20)]
+    docs = table(spark, rows + [(9000, prose(random.Random(99), "fr", 40), None, "rare"), (9001, "", "", "rare")])
+    model = languages.fit(docs.selectExpr("doc_id as id", "text", "lang as language"), own=2)
+    assert model.languages == ["de", "en", languages.OTHERS]
+    out = {r.doc_id: r for r in languages.identify(languages.document_evidence(docs), model, ["doc_id"]).collect()}
+    rare = [r for r in rows if r[0] >= 5000]
+    assert all(out[i].language == lang and out[i].accepted for i, _, lang, _ in rare)
+    assert out[9000].language is None and not out[9000].accepted
+    assert np.mean([out[i].language == lang for i, _, lang, _ in rows]) >= 0.97
+
+
+def test_a_very_long_text_is_read_whole(spark):
+    text = prose(random.Random(1), "en", 40) + " " + " ".join(prose(random.Random(i), "de", 60) for i in range(3000))
+    docs = table(spark, corpus(7, 90) + [(777, text, None, "long")])
+    out = {r.doc_id: r for r in languages.identify(languages.document_evidence(docs), languages.fit_documents(docs), ["doc_id"]).collect()}
+    assert len(text) > 1_000_000 // 2 and out[777].language == "de"
+
+
 def test_pages_give_their_evidence(spark):
     pages = spark.createDataFrame([
         (1, "https://user@www.Shop.example.DE:8080/a?b", '<HTML class=x LANG="de-AT"><script>var t="</p>en";</script><!-- no --><p>Straße</p>'),
