@@ -507,3 +507,19 @@ def test_the_curve_converges_on_separable_ratios():
         slope, offset = toxicity.logistic(ratio, toxic, weight)
         predicted = slope * toxicity.stretched(ratio) + offset >= 0
         assert slope > 0 and (predicted == toxic).all()
+
+
+def test_pipeline_rows_that_repeat_an_id_and_a_text(spark):
+    import corpus_pipeline
+
+    text = prose(random.Random(3), "en", 60)
+    rows = [
+        (1, text, "en", "b", 5), (1, text, "en", "a", 7), (1, text, "en", "a", 6), (1, text, "de", "z", 9), (None, prose(random.Random(4), "de", 60), "de", None, None),
+        (2, None, "en", "a", 0), (2, None, None, "b", 0),
+    ]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+        out = {tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+        assert out == {rows[3], rows[4], rows[6]}
+        keyed = corpus_pipeline._keyed(docs)
+        assert keyed.select("row_key", "row_check").distinct().count() == len(rows)
