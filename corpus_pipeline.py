@@ -4,8 +4,12 @@ Every stage takes what its predecessor kept and returns the columns of documents
 returns the token ids.  Stages are written as Parquet and read again in between.
 
 A stage that decides by statistics over all rows carries only a row's key through them
-(a hash of doc_id and text) and meets the texts again in one join.  Rows repeated whole share a
+(two hashes of its columns) and meets the texts again in one join.  Rows repeated whole share a
 key and a decision.
+
+Null and empty texts are ordinary rows: they are not toxic, have no sure language, and so end
+at the second stage.  Rows with a null doc_id are treated like others.  Of rows that repeat doc_id and
+text the one with the smallest lang, source and n_chars stays (nulls first).
 """
 
 from __future__ import annotations
@@ -22,7 +26,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    """With two hashes of the whole row: rows share them only if they are equal in every column."""
+    docs = docs.select(*COLUMNS)
+    return docs.withColumn("row_key", F.xxhash64(*COLUMNS)).withColumn("row_check", F.xxhash64(F.lit("check"), *COLUMNS))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,17 +40,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a sure language go; ``lang`` becomes the language found."""
     keyed = _keyed(docs)
-    found = languages.identify(languages.document_evidence(keyed), languages.fit_documents(docs), ["row_key"])
-    found = found.where("accepted").select("row_key", F.col("language").alias("lang")).dropDuplicates(["row_key"])
-    return keyed.drop("lang").join(stage(found, "languages"), "row_key").select(*COLUMNS)
+    keys = ["row_key", "row_check"]
+    found = languages.identify(languages.document_evidence(keyed), languages.fit_documents(docs), keys)
+    # Equal rows have equal posteriors but for rounding.
+    found = found.where("accepted").groupBy(*keys).agg(F.min("language").alias("lang"))
+    return keyed.drop("lang").join(stage(found, "languages"), keys).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, similarity 0.8) stays."""
     found = minhash.near_duplicates(docs, words=5, percent=80).where("kept").select("doc_id", "text_hash").distinct()
-    kept = stage(found.select(F.xxhash64("doc_id", "text_hash").alias("row_key")), "kept")
-    keyed = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", F.xxhash64("text")))
-    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*COLUMNS)
+    kept = stage(found.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")), "kept")
+    rows = docs.select(*COLUMNS, F.xxhash64("text").alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & F.col("text_hash").eqNullSafe(F.col("kept_hash"))
+    first = F.min(F.struct("lang", "source", "n_chars", "text")).alias("first")
+    rows = rows.join(kept, same, "left_semi").groupBy("doc_id", "text_hash").agg(first)
+    return rows.select("doc_id", "first.text", "first.lang", "first.source", "first.n_chars")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
