@@ -11,8 +11,12 @@ written in ascending document order by Spark's own writer, with its commit proto
 is handed over as the bytes of one line, so that any file system Spark knows will do and a
 lost task leaves nothing behind.
 
+Files are cut by bytes: running sums over (doc_id, hash of the text) say where each begins, so
+long documents, or many rows of one document, do not make one file large.
+
 The index is a separate table: document, file, offset, length, number of tokens and the
-number of ids before it.  ``read_at`` fetches records by index rows, in any order.
+number of ids before it.  ``read_at`` fetches records by index rows, in any order;
+``read_all`` walks whole files and needs one number for each file.
 """
 
 from __future__ import annotations
@@ -28,12 +32,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindred.llm.pieces import PATTERN, PieceEncoder
+from kindred.sources.staging import stage
 
+#: Text of a file; larger where there would be more than MAX_FILES files.
 FILE_BYTES = 16 << 20
+MAX_FILES = 1 << 20
 BATCH_ROWS = 250
 _HEAD = struct.Struct("<QI")
 _SUM = struct.Struct("<I")
 _ID = struct.Struct("<q")
+_ID_BYTES = _ID.size
 _OVERHEAD = _HEAD.size + _SUM.size + 1
 
 
@@ -119,19 +127,76 @@ def _payload(doc_id: int | None, ids: np.ndarray, width: str) -> bytes:
     return _ID.pack(-(1 << 63) if doc_id is None else doc_id) + ids.astype(width).tobytes()
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, wide: bool = False) -> None:
+_KEY = np.dtype([("doc_id", "<i8"), ("text_hash", "<i8")])
+
+
+def _keys(rows: DataFrame) -> DataFrame:
+    """``doc_id`` without null, and the hash of the text: the order in which rows go to files."""
+    return rows.withColumns({"key_id": F.coalesce("doc_id", F.lit(-(1 << 63))), "key_hash": F.xxhash64("text")})
+
+
+def _cuts(rows: DataFrame, file_bytes: int) -> np.ndarray:
+    """First keys of the files but the first, as often as files begin within the rows of a key.
+
+    Bytes are summed by key; a key's place among all bytes is its place in its range of keys
+    plus the bytes of lower ranges.  The driver gets a sum for each range and a key for each
+    file, at most MAX_FILES keys of 16 bytes.
+    """
+    spark = rows.sparkSession
+    sized = _keys(rows).groupBy("key_id", "key_hash").agg(F.sum(F.octet_length("text").cast("long") + 32).alias("size"))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    ranged = stage(sized.repartitionByRange(ranges, "key_id", "key_hash").withColumn("part", F.spark_partition_id()), "record-sizes")
+    sums = {r["part"]: r["size"] for r in ranged.groupBy("part").agg(F.sum("size").alias("size")).collect()}
+    total, lower = 0, []
+    for part in sorted(sums):
+        lower.append((part, total))
+        total += sums[part]
+    if not lower:
+        return np.empty(0, _KEY)
+    file_bytes = max(file_bytes, -(-total // MAX_FILES))
+    before = F.element_at(F.create_map(*[F.lit(x) for pair in lower for x in pair]), F.col("part"))
+    inside = Window.partitionBy("part").orderBy("key_id", "key_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = (before + F.sum("size").over(inside)).cast("long")
+    placed = ranged.select("key_id", "key_hash", upto.alias("upto"), (upto - F.col("size")).alias("from"))
+    # File f begins with the first key that reaches beyond f * file_bytes.
+    begun = lambda c: F.expr(f"({c} + {file_bytes} - 1) div {file_bytes}")
+    placed = placed.select("key_id", "key_hash", (begun("upto") - F.greatest(begun("`from`"), F.lit(1))).cast("int").alias("files"))
+    found = placed.where("files > 0").select("key_id", "key_hash", "files").toArrow()
+    cuts = np.empty(found.num_rows, _KEY)
+    cuts["doc_id"], cuts["text_hash"] = found.column(0).to_numpy(), found.column(1).to_numpy()
+    return np.sort(np.repeat(cuts, found.column(2).to_numpy()), order=("doc_id", "text_hash"))
+
+
+def _dealt(rows: DataFrame, cuts: np.ndarray) -> DataFrame:
+    """Add ``file``: how many cuts are at or below the row's key; rows of a key with several cuts by turns."""
+    shared = rows.sparkSession.sparkContext.broadcast(cuts)
+
+    @F.arrow_udf("int")
+    def file_of(key_id: pa.Array, key_hash: pa.Array, turn: pa.Array) -> pa.Array:
+        keys = np.empty(len(key_id), _KEY)
+        keys["doc_id"], keys["text_hash"] = key_id.to_numpy(), key_hash.to_numpy()
+        below, last = (np.searchsorted(shared.value, keys, side) for side in ("left", "right"))
+        first = np.minimum(below + 1, last)  # a key with a cut begins a file
+        return pa.array((first + turn.to_numpy() % (last - first + 1)).astype(np.int32))
+
+    keyed = _keys(rows).withColumn("turn", F.monotonically_increasing_id())
+    return keyed.select("doc_id", "text", file_of("key_id", "key_hash", "turn").alias("file"))
+
+
+def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, wide: bool = False, file_bytes: int = FILE_BYTES) -> None:
     """Encode ``docs`` (doc_id, text), append ``end_id`` to each, and write record files.
 
-    Rows are dealt to files by ranges of doc_id and sorted, so that files and records ascend;
-    rows of one doc_id are ordered by their text.  A null text is empty; a null doc_id comes
-    first and is stored as the smallest int64.
+    Rows are dealt to files of about ``file_bytes`` of text (at most twice that and the largest text)
+    by ranges of doc_id and sorted, so that files and records ascend; rows of one doc_id may be
+    divided by their texts' hashes, and those of one file are ordered by their text.  Equal rows may go to
+    any of the files that they fill.  A null text is empty; a null doc_id comes
+    first and is stored as the smallest int64, which is read as null.
     """
     with open(tokenizer_path, "rb") as file:  # a vocabulary: a megabyte or two, whatever the input
         content = docs.sparkSession.sparkContext.broadcast(file.read())
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 32), F.lit(0))).first()[0]
-    files = max(1, -(-size // FILE_BYTES))
-    rows = rows.repartitionByRange(files, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    cuts = _cuts(rows, file_bytes)
+    rows = _dealt(rows, cuts).repartitionById(len(cuts) + 1, F.col("file")).drop("file").sortWithinPartitions("doc_id", "text")
     width = "<u4" if wide else "<u2"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,6 +224,7 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 _RECORD = "file string, doc_id long, offset long, length long, n_tokens long, start long"
+_START = "file string, before long"
 
 
 def build_index(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
@@ -186,7 +252,8 @@ def build_index(spark: SparkSession, path: str, wide: bool = False) -> DataFrame
 
 
 def write_index(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
-    """Write the offset index beside the files (``_index``, which readers of the files skip).
+    """Write the offset index beside the files (``_index``, and the ids before each file in
+    ``_starts``; readers of the files skip both).
 
     Within a file the starts are known when it is walked; a window over one row per file adds
     what the files before it hold.
@@ -196,12 +263,45 @@ def write_index(spark: SparkSession, path: str, wide: bool = False) -> DataFrame
     files = records.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     files = files.select("file", F.coalesce(before, F.lit(0)).alias("before"))
-    index = records.join(files, "file")
+    files.write.parquet(f"{path}/_starts")
+    index = records.join(spark.read.schema(_START).parquet(f"{path}/_starts"), "file")
     index = index.select("file", "doc_id", "offset", "length", "n_tokens", (F.col("start") + F.col("before")).alias("start"))
     index.write.parquet(f"{path}/_index")
     return spark.read.schema(_RECORD).parquet(f"{path}/_index")
 
 
+def read_all(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
+    """All records under ``path``, which has an index: doc_id, n_tokens, start, file and ``ids`` (binary, little-endian uint32).
+
+    Files are walked where they are read; the table of their starts has a row for each file, and its
+    size on disk tells Spark how to join it.
+    """
+    source = "<u4" if wide else "<u2"
+    schema = "doc_id long, n_tokens long, start long, file string, ids binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content, start in zip(*(batch.column(i) for i in range(3))):
+                start, rows = start.as_py(), []
+                for _, payload in unframe(memoryview(content.as_buffer())):
+                    ids = np.frombuffer(payload[_ID_BYTES:], dtype=source).astype("<u4")
+                    rows.append((document_of(payload), len(ids), start, name.as_py(), ids.tobytes()))
+                    start += len(ids)
+                    if len(rows) == BATCH_ROWS:
+                        yield _batch(rows)
+                        rows = []
+                if rows:
+                    yield _batch(rows)
+
+    def _batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "n_tokens", "start", "file", "ids"])
+
+    starts = spark.read.schema(_START).parquet(f"{path}/_starts")
+    read = _files(spark, path).join(starts, "file").select("file", "content", "before").mapInArrow(run, schema)
+    return read.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(-(1 << 63)), F.col("doc_id")))
+
+
 def read_at(spark: SparkSession, path: str, index: DataFrame, wide: bool = False) -> DataFrame:
     """The records that ``index`` names: its columns and ``ids`` (binary, little-endian uint32).
 

@@ -12,6 +12,7 @@ import public_tokenizers as public
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kindred.llm import bpe, records
@@ -136,24 +137,43 @@ def test_records_round_trip(spark, tmp_path):
     assert not any(expected.values())
     known = [r.doc_id for r in back if r.doc_id is not None]
     assert known == sorted(known) and back[0].doc_id is None
+    fields = ["doc_id", "n_tokens", "start", "file", "ids"]
+    assert {tuple(r) for r in records.read_all(spark, path).select(fields).collect()} == {tuple(r[f] for f in fields) for r in back}
     some = index.where("doc_id % 7 = 3")
     assert records.read_at(spark, path, some).count() == some.count()
     order = [r.doc_id for r in records.shuffled(index, 1).collect()]
     assert order == [r.doc_id for r in records.shuffled(index, 1).collect()] and order != known
 
 
-def test_small_files_ascend(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(records, "FILE_BYTES", 2000)
+def test_small_files_ascend(spark, tmp_path):
     df = spark.createDataFrame([(i, f"text {i} " * (i % 9), "x") for i in range(400)], SCHEMA)
-    records.write(df, str(tmp_path / "r"), LIBRARY)
+    records.write(df, str(tmp_path / "r"), LIBRARY, file_bytes=2000)
     index = records.write_index(spark, str(tmp_path / "r"))
     assert index.select("file").distinct().count() > 3
     assert [r.doc_id for r in index.orderBy("start").collect()] == list(range(400))
 
 
+def test_files_are_even_in_bytes(spark, tmp_path):
+    """Few long texts at the end, one longer than a file, and a row that repeats over more than a file."""
+    rows = [(i, "w " * 4, "x") for i in range(1000)] + [(2000 + i, f"long {i} " * 100, "x") for i in range(50)]
+    rows += [(1500, "again " * 20, "x")] * 300 + [(1600, "x" * 30_000, "x"), (None, None, "x"), (-(1 << 63), "least", "x")]
+    df, path, limit = spark.createDataFrame(rows, SCHEMA).repartition(5), str(tmp_path / "r"), 10_000
+    records.write(df, path, LIBRARY, file_bytes=limit)
+    index = records.write_index(spark, path)
+    texts = index.join(df.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("i"), F.octet_length("text").alias("b")).distinct(), F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("i"))
+    sizes = {r.file: (r.s, r.m) for r in texts.groupBy("file").agg(F.sum(F.coalesce("b", F.lit(0)) + 32).alias("s"), F.max("b").alias("m")).collect()}
+    assert max(s for s, m in sizes.values() if m < limit) <= 1.5 * limit and len(sizes) >= 10
+    back = records.read_all(spark, path).orderBy("start").collect()
+    # The smallest id stands for null, and is read as null.
+    order = [r.doc_id for r in back]
+    assert len(back) == len(rows) and order == sorted(order, key=lambda i: -(1 << 63) if i is None else i) and order.count(None) == 2
+    assert [r.start for r in back] == np.cumsum([0, *[r.n_tokens for r in back]])[:-1].tolist()
+
+
 def test_empty_table_has_no_records(spark, tmp_path):
     records.write(spark.createDataFrame([], SCHEMA), str(tmp_path / "r"), LIBRARY)
     index = records.write_index(spark, str(tmp_path / "r"))
+    assert records.read_all(spark, str(tmp_path / "r")).count() == 0
     assert index.count() == 0 and records.read_at(spark, str(tmp_path / "r"), index).count() == 0
 
 
