@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import rounded
-from kindred.operators import bounded, pairs, tiles
+from kindred.operators import bounded, lists, pairs, tiles
 from kindred.operators.order import rank_in_ranges
 from kindred.operators.vectors import Fitted
 from kindred.schema import SIMILARITY_PLACES
@@ -38,6 +38,8 @@ def top_k(fitted: Fitted, k: int | None, metric: str = pairs.COSINE) -> DataFram
 
     ``k=None`` ranks all of them.
     """
+    if parts := lists.part_count(fitted):
+        return lists.list_ranks(pairs.usable(fitted.vectors, metric), fitted, metric, k, parts)
     if k is None and fitted.long_groups:
         return rank_long_lists(pairs.mirror(pairs.similarity_pairs(fitted, metric)))
     edges = pairs.joined_edges(fitted, metric)

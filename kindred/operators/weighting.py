@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions import denormalise
-from kindred.operators import pairs, tiles
+from kindred.operators import lists, pairs, tiles
 from kindred.operators.joins import join_per_key
+from kindred.operators.neighbors import top_k
 from kindred.operators.vectors import Fitted
 from kindred.schema import RatingScale
 from kindred.sources.staging import stage
@@ -81,6 +82,24 @@ def _sums(when: Column | None = None) -> tuple[Column, Column]:
     return F.sum(s * dev), F.sum(F.abs(s))
 
 
+def nearest_sums(wanted: DataFrame, fitted: Fitted, k: int, metric: str) -> DataFrame:
+    """Weighted sums of wanted cells over the k nearest of all users."""
+    if parts := lists.part_count(fitted):
+        return _named(lists.list_sums(pairs.usable(fitted.vectors, metric), fitted, metric, wanted, [k], parts), k)
+    return knn_sums(wanted, top_k(fitted, k, metric), fitted)
+
+
+def nearest_sums_for_ks(wanted: DataFrame, fitted: Fitted, ks: list[int], metric: str) -> DataFrame:
+    """The same for several k, ranked once."""
+    if parts := lists.part_count(fitted):
+        return lists.list_sums(pairs.usable(fitted.vectors, metric), fitted, metric, wanted, ks, parts)
+    return knn_sums_for_ks(wanted, top_k(fitted, ks[-1], metric), fitted, ks)
+
+
+def _named(sums: DataFrame, k: int | None) -> DataFrame:
+    return sums.withColumnsRenamed({f"num_{k}": "num", f"den_{k}": "den"})
+
+
 def knn_sums(wanted: DataFrame, neighbors: DataFrame, fitted: Fitted) -> DataFrame:
     """Weighted sums of wanted cells over the given neighbours.
 
@@ -114,6 +133,8 @@ def all_neighbor_sums(wanted: DataFrame, fitted: Fitted, metric: str) -> DataFra
     sums; the others go through the pair join.
     """
     cells = wanted.select("user_id", "item_id")
+    if parts := lists.part_count(fitted):
+        return _named(lists.list_sums(pairs.usable(fitted.vectors, metric), fitted, metric, cells, [None], parts), None)
     num, den = _sums()
     joined = (
         co_rater_terms(cells, fitted, metric)

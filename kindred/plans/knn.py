@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.operators import pairs
+from kindred.operators import lists, pairs
 from kindred.operators.metrics import absolute_errors
 from kindred.operators.neighbors import top_k, top_k_of
 from kindred.operators.vectors import Fitted
 from kindred.operators.weighting import (
-    all_neighbor_sums, full_table_sums, knn_sums, knn_sums_for_ks, neighbor_terms, predict,
-    weighted_prediction, with_user_means,
+    all_neighbor_sums, full_table_sums, knn_sums, nearest_sums, nearest_sums_for_ks, neighbor_terms,
+    predict, weighted_prediction, with_user_means,
 )
 from kindred.schema import SWEEP_KS
 
@@ -33,7 +33,7 @@ def predict_knn(
     fallback: str = "user_mean",
 ) -> DataFrame:
     """Predictions from the k most similar users; neighbours are found for all users."""
-    return predict(test, knn_sums(test, top_k(fitted, k, metric), fitted), fitted, fallback)
+    return predict(test, nearest_sums(test, fitted, k, metric), fitted, fallback)
 
 
 def predict_knn_for(
@@ -68,7 +68,7 @@ def knn_sweep(
 ) -> DataFrame:
     """MAE for several k in one job: neighbours are ranked once, at the largest k."""
     ks = sorted(set(ks))
-    sums = knn_sums_for_ks(test, top_k(fitted, ks[-1], metric), fitted, ks)
+    sums = nearest_sums_for_ks(test, fitted, ks, metric)
     mean = F.col("user_mean")
     per_k = F.explode(F.array(*[
         F.struct(
@@ -116,21 +116,27 @@ def mae_by_k(
     in order of k gives the total error at every k.  The running total is formed in
     ranges of k first, so that no task sees all of them.
     """
-    ranked = top_k(fitted, None, metric).select("user_id", "neighbor_id", "similarity", "rank")
     known = with_user_means(test, fitted)
-    cells = test.select("user_id", "item_id").distinct()
-    terms = neighbor_terms(cells, ranked, fitted).select(
-        "user_id", "item_id", F.col("rank").cast("bigint").alias("k"),
-        (F.col("similarity") * F.col("dev")).alias("num"), F.abs("similarity").alias("den"),
-    )
-    steps = running_totals(terms, ["user_id", "item_id"], ["num", "den"], fitted.long_groups)
+    if parts := lists.part_count(fitted):
+        cells = known.select("user_id", "item_id", "rating", "user_mean")
+        steps = lists.list_steps(pairs.usable(fitted.vectors, metric), fitted, metric, cells, parts)
+    else:
+        ranked = top_k(fitted, None, metric).select("user_id", "neighbor_id", "similarity", "rank")
+        cells = test.select("user_id", "item_id").distinct()
+        terms = neighbor_terms(cells, ranked, fitted).select(
+            "user_id", "item_id", F.col("rank").cast("bigint").alias("k"),
+            (F.col("similarity") * F.col("dev")).alias("num"), F.abs("similarity").alias("den"),
+        )
+        steps = known.join(
+            running_totals(terms, ["user_id", "item_id"], ["num", "den"], fitted.long_groups), ["user_id", "item_id"]
+        )
 
     def error(num: str, den: str) -> Column:
         return F.abs(F.col("rating") - weighted_prediction(
             F.col(num), F.col(den), F.col("user_mean"), fitted.bounds, fallback
         ))
 
-    changed = known.join(steps, ["user_id", "item_id"]).select(
+    changed = steps.select(
         "k", error("num", "den").alias("after"), error("num_before", "den_before").alias("before")
     )
     bookings = changed.select(
