@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.operators.deviations import processed_deviations, user_profiles
@@ -26,7 +26,7 @@ class Fitted:
     ``users``     user_id, user_mean, n_rated, norm, tiled: one row per user
     ``hot_items`` item_id of the hot items, or None if there are none
 
-    * hot: the item has too many raters to join them with each other;
+    * hot: the item has too many raters to join them with each other, and more than there would be blocks;
     * tiled: the user rated a hot item, so pairs of tiled users are compared in
       tiles.  Two users who are not both tiled share no hot item, except with a user
       whose own rating count is over ``tiled_user_ratings``; of those there can be
@@ -89,7 +89,8 @@ def fit(
     degrees = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
     if settings.hot_item_ratings is None:
         settings = replace(settings, hot_item_ratings=split_at(degrees, ratings, settings))
-    hot_items = degrees.where(F.col("n") > settings.hot_item_ratings).select("item_id")
+    busy = degrees.where(F.col("n") > settings.hot_item_ratings)
+    hot_items = busy.where(F.col("n") > most_blocks(busy, ratings, settings)).select("item_id")
     hot_items = stage(hot_items, "hot-items")
     hot_count = hot_items.count()
     hot_items = hot_items if hot_count else None
@@ -128,6 +129,17 @@ def fit_users(
     return users, stage(vectors, "vectors"), long_lists
 
 
+def most_blocks(busy: DataFrame, ratings: DataFrame, settings: FitSettings) -> Column:
+    """The blocks that the ratings of all ``busy`` items would make, as a scalar.
+
+    A hot rating is sent to every block, a joined one to the other raters of its item: an item with no more raters than
+    blocks costs less joined.  So what is sent to tiles never grows with the square of the users alone.
+    """
+    users = ratings.agg(F.approx_count_distinct("user_id")).scalar()
+    sent = F.coalesce(F.sum("n"), F.lit(0))
+    return busy.agg(F.ceil(F.greatest(F.least(users, sent) / settings.tile_users, sent / settings.tile_ratings))).scalar()
+
+
 def split_at(degrees: DataFrame, ratings: DataFrame, settings: FitSettings) -> int:
     """The number of ratings up to which an item's raters are best joined with each other.
 

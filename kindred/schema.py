@@ -43,7 +43,8 @@ class FitSettings:
     """Sizes that decide how similarity work is divided; none changes a result.
 
     An item with more than ``hot_item_ratings`` ratings is hot: joining its
-    raters with each other would grow with the square of its popularity.  None lets
+    raters with each other would grow with the square of its popularity; unless it has no more
+    raters than there would be blocks of users, each of which its ratings would be sent to.  None lets
     ``fit`` choose the number from the ratings (operators.vectors.split_at).  Users
     who rated a hot item are compared tile by tile (``tile_users`` against
     ``tile_users``) instead, unless they have more than ``tiled_user_ratings``

@@ -1,12 +1,14 @@
 """Lists of co-raters must give what the pair join gives, whatever the number of parts."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from kindred.operators import lists, pairs
 from kindred.operators.neighbors import top_k
 from kindred.operators.vectors import fit
 from kindred.plans.knn import knn_sweep, mae_by_k, predict_all_neighbors, predict_knn
 from kindred.plans.report import overlap_stats, storage
+from kindred.schema import FitSettings
 from test_skew import SCHEMA, skewed_rows
 
 #: How far apart the ids of users are: neighbouring, and too far for one number per pair.
@@ -61,3 +63,13 @@ def test_long_lists_of_a_user_are_left_to_the_join(monkeypatch, data):
     monkeypatch.setattr(lists, "PART_PAIRS", 900)
     monkeypatch.setattr(lists, "USER_PAIRS", 100)
     assert lists.part_count(fit(data[0])) is None
+
+
+def test_an_item_with_fewer_raters_than_blocks_is_not_hot(spark):
+    """400 items of 6 raters each among 600 users: tiles would get each rating 75 times, the join 5 times."""
+    rows = [(i * 6 % 600 + n, i, float(1 + (i + n) % 5)) for i in range(400) for n in range(6)]
+    rows += [(u, 1000, float(1 + u % 5)) for u in range(300)]
+    settings = FitSettings(hot_item_ratings=4, tile_users=8)
+    fitted = fit(spark.createDataFrame(rows, SCHEMA), settings)
+    assert [r.item_id for r in fitted.hot_items.collect()] == [1000]
+    assert fitted.vectors.where("hot").agg(F.count("*")).first()[0] == 300
