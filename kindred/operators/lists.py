@@ -244,12 +244,14 @@ def _terms(batches: list[pa.RecordBatch], metric: str):
 
 def _sent_with_cells(rows: DataFrame, fitted: Fitted, metric: str, cells: DataFrame) -> DataFrame:
     """Products, and ``cells`` (user_id, item_id, more columns) with the raters of their items."""
-    lists = item_lists(rows, metric, fitted, ("dev",))
+    lists = item_lists(rows, metric, fitted)
+    # A rater without a usable rating is no part of a product, but counts among the raters of a cell.
+    raters = item_lists(fitted.vectors, "overlap", fitted, ("dev",))
     more = [(f.name, f.dataType) for f in cells.schema.fields if f.name not in ("user_id", "item_id")]
     products = sent_products(lists, metric, False).withColumns(
         {"item_id": F.lit(None).cast("bigint"), **{c: F.lit(None).cast(t) for c, t in more}}
     )
-    wanted = cells.join(lists.select("item_id", "ids", "dev"), "item_id").select(
+    wanted = cells.join(raters.select("item_id", "ids", "dev"), "item_id").select(
         "user_id", F.lit(None).cast("double").alias("weight"), F.lit(None).cast("int").alias("n_rated"), "ids",
         F.col("dev").alias("values"), F.lit(None).cast("array<int>").alias("sizes"), "item_id", *[c for c, _ in more],
     )

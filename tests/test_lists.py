@@ -51,6 +51,16 @@ def test_lists_equal_the_join(monkeypatch, data, name):
     assert rounded_rows(QUERIES[name](fitted, data[1])) == joined and joined
 
 
+@pytest.mark.parametrize("name", ["sweep", "curve", "all cosine drop", "all jaccard user_mean"])
+def test_stored_rows_without_a_rating(monkeypatch, data, name):
+    """A neighbour whose rating of the cell's item is null still has its weight in the denominator, as in the join."""
+    item, user = F.col("item_id"), F.col("user_id")
+    fitted = fit(data[0].withColumn("rating", F.when((item + user) % 4 != 0, F.col("rating"))), stored=True)
+    joined = rounded_rows(QUERIES[name](fitted, data[1]))
+    monkeypatch.setattr(lists, "PART_PAIRS", 900)
+    assert lists.part_count(fitted) and rounded_rows(QUERIES[name](fitted, data[1])) == joined
+
+
 def test_lists_shuffle_pairs_once(monkeypatch, data):
     """One shuffle of lists by user, and none of pairs: predictions add only the joins with their own cells."""
     fitted = fit(data[0])
