@@ -213,7 +213,8 @@ def identify(rows: DataFrame, model: Trigrams | None, keep: list[str]) -> DataFr
         language = F.when(q == best, name).otherwise(language)
     ready = ready.select(*kept, "__n", language.alias("language"), best.alias("posterior"))
     accepted = F.coalesce((F.col("__n") > 0) & (F.col("posterior") >= SURE) & F.col("language").isNotNull(), F.lit(False))
-    return ready.select(*kept, "language", "posterior", accepted.alias("accepted"))
+    # Staged: a filter on the result would be pushed down the steps above, each of which names those before it many times.
+    return stage(ready.select(*kept, "language", "posterior", accepted.alias("accepted")), "identified")
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:

@@ -209,6 +209,14 @@ def test_fusion_equals_plain_sums_over_the_other_rows(spark):
     assert len(found) == len(rows) and len({round(r.posterior, 6) for r in found}) > 10
 
 
+def test_a_filter_on_languages_does_not_grow_the_plan(spark):
+    """Pushed down the steps of the fusion, the filter named each step many times: the driver ran out of memory."""
+    docs = table(spark, [r for r in corpus(8, 40) if r[2] != "fr"])
+    found = languages.identify(languages.document_evidence(docs), languages.fit_documents(docs), ["doc_id"]).where("accepted")
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 2_000
+    assert found.count() > 0
+
+
 def test_rare_languages_share_a_model_and_keep_their_names(spark):
     rows = [r for r in corpus(6, 300) if r[2] != "fr"] + [(5000 + i, prose(random.Random(i), "fr", 40), ("fr", "oc")[i % 2], "rare") for i in range(20)]
     docs = table(spark, rows + [(9000, prose(random.Random(99), "fr", 40), None, "rare"), (9001, "", "", "rare")])
