@@ -1,23 +1,25 @@
 """Co-raters sent as lists: similarities of all users where no item is hot and there are many pairs.
 
-Joining the raters of an item makes a row for each pair and shared item, and each such row is shuffled.  Here an
-item's raters are gathered in one list first (no item is hot, so lists are short), and a list goes to the users that
-rated the item, as one row.  Users are hashed into as many parts as the number of products asks for; a part's users have all their
+Joining the raters of an item makes a row for each pair and shared item, and each such row is shuffled.  Here the ratings
+are divided by item first (no item is hot, so an item's list of raters is short), and a list goes to the users that
+rated the item.  Users are hashed into as many parts as the number of products asks for, and all that a task has for a
+part travels as one row of packed arrays (one list for all of an item's raters in the part).  A part's users have all their
 co-raters in it, so sums, ranks and predictions are formed there by numpy and need no shuffle of pairs.  The
-cells to be predicted bring the lists of their items' raters along in the same shuffle.
+cells to be predicted meet the lists of their items' raters in the same tasks and travel with them.
 
-A part holds PART_PAIRS products on average, whatever the data.  Few products are left to the join (operators.pairs),
-and so are users whose own products could be more than a part should hold.
+A part holds PART_PAIRS products on average, whatever the data, and so do the tasks that make lists: their number follows from
+the products, not from the size of the ratings, so none has to spill.  Few products are left to the join
+(operators.pairs), and so are users whose own products could be more than a part should hold.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +33,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Products of a part on average, and the most that one user may bring.
 PART_PAIRS = 3_000_000
 USER_PAIRS = 6_000_000
-INT_MAX = (1 << 31) - 1
+# A task that makes lists serves so many parts' worth of products, so many at a time.
+PARTS_SENT = 2
+SENT_PAIRS = 4_000_000
 
 PAIR_SCHEMA = "user_id bigint, neighbor_id bigint, similarity double"
 STATS_SCHEMA = "shared bigint, nonzero bigint, total double, squares double, low double, high double"
+PACKED = ["widths", "counts", "firsts", "steps", "values", "owners"]
 
 
 def part_count(fitted: Fitted) -> int | None:
@@ -53,59 +58,201 @@ def part_count(fitted: Fitted) -> int | None:
     return -(-raters.products // PART_PAIRS)
 
 
-def _small_ids(fitted: Fitted) -> str:
-    """The type that holds all user ids."""
-    low, high = fitted.users.agg(F.min("user_id"), F.max("user_id")).first()
-    return "int" if -INT_MAX <= low and high <= INT_MAX else "bigint"
-
-
-def item_lists(rows: DataFrame, metric: str, fitted: Fitted, extra: tuple[str, ...] = ()) -> DataFrame:
-    """item_id and its raters as arrays in order of user_id: ids, what the metric needs of them, and ``extra`` columns."""
-    rows = rows.where("user_id is not null and item_id is not null")
-    if fitted.light is None:  # a saved model is divided by item already
-        rows = rows.repartition("item_id")
-    needed = {"cosine": ["weight"], "jaccard": ["n_rated"], "overlap": []}[metric]
-    fields = list(dict.fromkeys(["user_id", *needed, *extra]))
-    lists = rows.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("raters"))
-    ids = _small_ids(fitted)
-    types = {"weight": "double", "n_rated": "int", "dev": "double"}
-    return lists.select(
-        "item_id", "raters", F.col("raters.user_id").cast(f"array<{ids}>").alias("ids"),
-        *[F.col(f"raters.{c}").cast(f"array<{types[c]}>").alias(c) for c in fields[1:]],
+def squeeze(values: np.ndarray) -> bytes:
+    """An array's bytes, first those of one place and then those of the next, compressed without loss."""
+    places = values.view(np.uint8).reshape(len(values), values.itemsize)
+    return len(values).to_bytes(8, "little") + pa.compress(places.T.tobytes(), codec="zstd", asbytes=True)
+
+
+def expand(data: bytes, kind: type) -> np.ndarray:
+    count, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    places = np.frombuffer(pa.decompress(data[8:], decompressed_size=count * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(places.reshape(size, count).T).view(kind).reshape(count)
+
+
+def spread(starts: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of runs of the given widths, one run after the other."""
+    ends = np.cumsum(widths)
+    return np.repeat(starts - (ends - widths), widths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+@dataclass
+class Raters:
+    """Ratings in order of item and user: where each item starts, and its number of raters."""
+
+    items: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+    users: np.ndarray
+    values: np.ndarray
+    parts: np.ndarray
+
+    @classmethod
+    def of(cls, item: np.ndarray, user: np.ndarray, value: np.ndarray, part: np.ndarray) -> Raters:
+        order = np.lexsort((user, item))
+        item = item[order]
+        starts = np.flatnonzero(np.concatenate(([True], item[1:] != item[:-1]))) if len(item) else np.zeros(0, np.int64)
+        return cls(item[starts], starts, np.diff(starts, append=len(item)), user[order], value[order], part[order])
+
+
+def _lists(raters: Raters, at: np.ndarray, parts: np.ndarray, skipped: np.ndarray, owners: list[np.ndarray]) -> Iterator[tuple[int, list[bytes]]]:
+    """Per part, the packed lists of its entries.
+
+    An entry is a run of equal (part, item) in ``parts`` and ``at`` (an item's position in ``raters``), which are in that order;
+    ``owners`` has arrays of a value for each; ``skipped``: how many raters of the item are left out.
+    """
+    new = np.concatenate(([True], (parts[1:] != parts[:-1]) | (at[1:] != at[:-1])))
+    entry = np.flatnonzero(new)
+    counts = np.diff(entry, append=len(at))
+    starts, widths = raters.starts[at[entry]] + skipped[entry], raters.sizes[at[entry]] - skipped[entry]
+    bounds = np.flatnonzero(np.concatenate(([True], np.diff(parts[entry]) != 0)))
+    for low, high in zip(bounds, [*bounds[1:], len(entry)]):
+        flat = spread(starts[low:high], widths[low:high])
+        users = raters.users[flat]
+        steps = np.diff(users, prepend=users[:1])
+        begins = np.cumsum(widths[low:high]) - widths[low:high]
+        steps[begins] = 0
+        own = slice(entry[low], entry[high] if high < len(entry) else len(at))
+        arrays = [widths[low:high].astype(np.int32), counts[low:high].astype(np.int32), users[begins], steps, raters.values[flat]]
+        yield int(parts[entry[low]]), [squeeze(x) for x in [*arrays, *[np.ascontiguousarray(o[own]) for o in owners]]]
+
+
+def _products(raters: Raters, half: bool) -> Iterator[tuple[int, list[bytes]]]:
+    """Each rating with its item's raters; with ``half`` for the sake of those with a larger id only."""
+    last = np.cumsum(raters.sizes * raters.sizes) // SENT_PAIRS
+    for chunk in np.split(np.arange(len(raters.sizes)), np.flatnonzero(np.diff(last)) + 1):
+        if not len(chunk):
+            continue
+        rows = spread(raters.starts[chunk], raters.sizes[chunk])
+        at = np.repeat(chunk, raters.sizes[chunk])
+        place = rows - raters.starts[at]
+        if half:
+            some = place < raters.sizes[at] - 1
+            rows, at, place = rows[some], at[some], place[some]
+        if not len(rows):
+            continue
+        order = np.lexsort((place, at, raters.parts[rows]))
+        part, at, place = raters.parts[rows][order], at[order], place[order]
+        new = np.concatenate(([True], (part[1:] != part[:-1]) | (at[1:] != at[:-1])))
+        # Where only larger ids count, a list begins with the first of its owners.
+        skipped = place[new][np.cumsum(new) - 1] if half else np.zeros(len(at), np.int64)
+        yield from _lists(raters, at, part, skipped, [(place - skipped).astype(np.int32)])
+
+
+def _cells(raters: Raters, item: np.ndarray, part: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, list[bytes]]]:
+    """Wanted cells, ``columns`` of them, with their items' raters."""
+    at = np.minimum(np.searchsorted(raters.items, item), max(0, len(raters.items) - 1))
+    known = np.flatnonzero(raters.items[at] == item) if len(raters.items) else np.zeros(0, np.int64)
+    order = known[np.lexsort((at[known], part[known]))]
+    for chunk in np.split(order, np.flatnonzero(np.diff(np.cumsum(raters.sizes[at[order]]) // SENT_PAIRS)) + 1):
+        if len(chunk):
+            none = np.zeros(len(chunk), np.int64)
+            yield from _lists(raters, at[chunk], part[chunk], none, [c[chunk] for c in columns])
+
+
+def _numbers(column: pa.ChunkedArray, missing: float = np.nan) -> np.ndarray:
+    """Values with ``missing`` for null."""
+    return column.fill_null(missing).to_numpy()
+
+
+def _sent(rows: DataFrame, fitted: Fitted, metric: str, parts: int, half: bool, cells: DataFrame | None = None) -> DataFrame:
+    """part, wanted (whether of cells) and packed arrays: the products of the parts' users, and ``cells`` (user_id, item_id, doubles).
+
+    A rater without a usable rating is no part of a product, but counts among the raters of a cell.
+    """
+    value = {"cosine": F.col("pdev"), "jaccard": F.col("n_rated").cast("double"), "overlap": F.lit(0.0)}[metric]
+    asked = cells is not None
+    more = [] if cells is None else [c for c in cells.columns if c not in ("user_id", "item_id")]
+    frame = (rows if cells is None else fitted.vectors).select(
+        "item_id", "user_id", value.alias("value"), (F.lit(None) if cells is None else F.col("dev")).cast("double").alias("dev"),
+        F.lit(False).alias("wanted"), *[F.lit(None).cast("double").alias(c) for c in more],
     )
+    if cells is not None:
+        none = F.lit(None).cast("double")
+        frame = frame.unionByName(cells.select(
+            "item_id", "user_id", none.alias("value"), none.alias("dev"), F.lit(True).alias("wanted"), *[F.col(c).cast("double") for c in more]
+        ))
+    frame = frame.where("user_id is not null and item_id is not null")
+    frame = frame.withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(parts)).cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
+        item, user, part = (table.column(c).to_numpy() for c in ("item_id", "user_id", "part"))
+        wanted = table.column("wanted").to_numpy()
+        value, rated = _numbers(table.column("value")), ~wanted
+        usable = rated & table.column("value").is_valid().to_numpy()
+        found = [(False, _products(Raters.of(item[usable], user[usable], value[usable], part[usable]), half))]
+        if asked:
+            dev = _numbers(table.column("dev"))
+            columns = [user[wanted], item[wanted]]
+            for c in more:
+                columns += [_numbers(table.column(c), 0.0)[wanted], table.column(c).is_valid().to_numpy()[wanted].astype(np.uint8)]
+            found.append((True, _cells(Raters.of(item[rated], user[rated], dev[rated], part[rated]), item[wanted], part[wanted], columns)))
+        for kind, packed in found:
+            rows, size = [], 0
+            for at, arrays in packed:
+                rows.append((at, arrays))
+                size += sum(map(len, arrays))
+                if size > 1 << 25:
+                    yield _packed_rows(kind, rows)
+                    rows, size = [], 0
+            if rows:
+                yield _packed_rows(kind, rows)
+
+    packed = frame.repartition(max(1, parts // PARTS_SENT), "item_id").mapInArrow(
+        run, "part int, wanted boolean, " + ", ".join(f"{c} binary" for c in PACKED[:-1]) + ", owners array<binary>"
+    )
+    return packed.repartition(parts, "part")
 
 
-def sent_products(lists: DataFrame, metric: str, half: bool) -> DataFrame:
-    """Each rating with its item's list of raters; with ``half`` of those with a larger id only."""
-    column = {"cosine": "weight", "jaccard": "n_rated", "overlap": None}[metric]
-    rows = lists.select("*", F.posexplode("raters").alias("at", "me"))
-    if half:
-        rows = rows.where(F.col("at") < F.size("ids") - 1)
-    rest = lambda c: F.slice(c, F.col("at") + 2, F.size("ids")) if half else F.col(c)
-    none = lambda t: F.lit(None).cast(t)
-    return rows.select(
-        F.col("me.user_id").alias("user_id"),
-        (F.col("me.weight") if metric == "cosine" else none("double")).alias("weight"),
-        (F.col("me.n_rated").cast("int") if metric == "jaccard" else none("int")).alias("n_rated"),
-        rest("ids").alias("ids"),
-        (rest(column) if metric == "cosine" else none("array<double>")).alias("values"),
-        (rest(column) if metric == "jaccard" else none("array<int>")).alias("sizes"),
+def _packed_rows(wanted: bool, rows: list[tuple[int, list[bytes]]]) -> pa.RecordBatch:
+    columns = [pa.array([r[1][i] for r in rows], pa.binary()) for i in range(len(PACKED) - 1)]
+    owners = pa.array([r[1][len(PACKED) - 1:] for r in rows], pa.list_(pa.binary()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([wanted] * len(rows), pa.bool_()), *columns, owners], ["part", "wanted", *PACKED]
     )
 
 
-def _flat(columns: list[pa.Array]) -> np.ndarray:
-    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in columns])
+@dataclass
+class Unpacked:
+    """Lists of one kind in a part: users and values, where each list starts, its width, and the owners' values."""
+
+    starts: np.ndarray
+    widths: np.ndarray
+    counts: np.ndarray
+    users: np.ndarray
+    values: np.ndarray
+    owners: list[np.ndarray] = field(default_factory=list)
+
+    @classmethod
+    def of(cls, rows: list[dict], kinds: list[type]) -> Unpacked:
+        def together(name: str, kind: type) -> np.ndarray:
+            return np.concatenate([expand(r[name], kind) for r in rows] or [np.zeros(0, kind)])
+
+        widths, counts, firsts = together("widths", np.int32).astype(np.int64), together("counts", np.int32), together("firsts", np.int64)
+        starts = np.cumsum(widths) - widths
+        steps = np.cumsum(together("steps", np.int64))
+        users = steps + np.repeat(firsts - steps[starts], widths)
+        owners = [np.concatenate([expand(r["owners"][i], kind) for r in rows] or [np.zeros(0, kind)]) for i, kind in enumerate(kinds)]
+        return cls(starts, widths, counts, users, together("values", np.float64), owners)
 
 
 class Part:
     """The pairs of a part's users with their co-raters: arrays users, neighbors and similarity, by user and neighbour."""
 
-    def __init__(self, batches: list[pa.RecordBatch], metric: str):
-        column = lambda name: [b.column(name) for b in batches]
-        width = np.concatenate([pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in column("ids")]).astype(np.int64)
-        owner = np.repeat(np.concatenate([c.to_numpy(zero_copy_only=False) for c in column("user_id")]), width)
-        other = _flat(column("ids")).astype(np.int64)
-        self.names, at = np.unique(owner, return_inverse=True)
+    def __init__(self, products: Unpacked, metric: str, half: bool):
+        place = products.owners[0].astype(np.int64)
+        start, width = np.repeat(products.starts, products.counts), np.repeat(products.widths, products.counts)
+        me = start + place
+        if half:
+            start, width = me + 1, width - place - 1
+        flat = spread(start, width)
+        other = products.users[flat]
+        self.names, at = np.unique(products.users[me], return_inverse=True)
+        at = np.repeat(at, width)
         self.low = int(other.min()) if len(other) else 0
         self.span = (int(other.max()) - self.low + 1) if len(other) else 1
         self.known = None
@@ -116,17 +263,17 @@ class Part:
         order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.diff(key, prepend=-1))
-        owner, other = owner[order][first], other[order][first]
+        picked = order[first]
+        owner, other = self.names[at[picked]], other[picked]
+        mine = lambda: np.repeat(products.values[me], width)
         if not len(first):
             similarity = np.zeros(0)
         elif metric == "cosine":
-            mine = np.repeat(np.concatenate([c.to_numpy(zero_copy_only=False) for c in column("weight")]), width)
-            similarity = np.add.reduceat((mine * _flat(column("values")))[order], first)
+            similarity = np.add.reduceat((mine() * products.values[flat])[order], first)
         else:
             similarity = np.diff(first, append=len(key)).astype(float)
             if metric == "jaccard":
-                mine = np.repeat(np.concatenate([c.to_numpy(zero_copy_only=False) for c in column("n_rated")]), width)
-                union = (mine + _flat(column("sizes")).astype(np.int64))[order][first] - similarity
+                union = mine()[picked] + products.values[flat[picked]] - similarity
                 similarity = np.divide(similarity, union, out=np.zeros(len(first)), where=union > 0)
         if metric != "overlap":
             unit = 10.0 ** SIMILARITY_PLACES  # the same steps as functions.rounded
@@ -162,15 +309,18 @@ class Part:
         return at, inside & (self.key[at] == key)
 
 
-def _in_parts(sent: DataFrame, parts: int, emit: Callable, schema: str) -> DataFrame:
-    """Run ``emit(list of batches)`` for each part that has rows."""
+def _in_parts(sent: DataFrame, emit: Callable, schema: str) -> DataFrame:
+    """Run ``emit(rows of products, rows of cells)`` for each part that has rows, one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [b for b in batches if b.num_rows]
-        if rows:
-            yield emit(rows)
+        found: dict[int, tuple[list, list]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                found.setdefault(row["part"], ([], []))[row["wanted"]].append(row)
+        while found:
+            yield emit(*found.popitem()[1])
 
-    return sent.repartition(parts, "user_id").mapInArrow(run, schema)
+    return sent.mapInArrow(run, schema)
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -178,21 +328,25 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, list(columns))
 
 
+def _pairs(rows: list[dict], metric: str, half: bool) -> Part:
+    return Part(Unpacked.of(rows, [np.int32]), metric, half)
+
+
 def list_pairs(rows: DataFrame, fitted: Fitted, metric: str, parts: int) -> DataFrame:
     """Every co-rating pair, user_id < neighbor_id."""
 
-    def emit(batches):
-        part = Part(batches, metric)
+    def emit(products, _):
+        part = _pairs(products, metric, True)
         return _batch(user_id=part.users, neighbor_id=part.neighbors, similarity=part.similarity)
 
-    return _in_parts(sent_products(item_lists(rows, metric, fitted), metric, True), parts, emit, PAIR_SCHEMA)
+    return _in_parts(_sent(rows, fitted, metric, parts, True), emit, PAIR_SCHEMA)
 
 
 def list_stats(rows: DataFrame, fitted: Fitted, metric: str, parts: int) -> DataFrame:
     """One partial statistics row per part."""
 
-    def emit(batches):
-        values = Part(batches, metric).similarity
+    def emit(products, _):
+        values = _pairs(products, metric, True).similarity
         return _batch(
             shared=np.array([values.size]), nonzero=np.array([np.count_nonzero(values)]),
             total=np.array([values.sum()]), squares=np.array([(values * values).sum()]),
@@ -200,14 +354,14 @@ def list_stats(rows: DataFrame, fitted: Fitted, metric: str, parts: int) -> Data
             high=pa.array([values.max() if values.size else None], pa.float64()),
         )
 
-    return _in_parts(sent_products(item_lists(rows, metric, fitted), metric, True), parts, emit, STATS_SCHEMA)
+    return _in_parts(_sent(rows, fitted, metric, parts, True), emit, STATS_SCHEMA)
 
 
 def list_ranks(rows: DataFrame, fitted: Fitted, metric: str, k: int | None, parts: int) -> DataFrame:
     """user_id, neighbor_id, similarity, rank for the k most similar co-raters, or all."""
 
-    def emit(batches):
-        part = Part(batches, metric)
+    def emit(products, _):
+        part = _pairs(products, metric, False)
         order, rank = part.best_first()
         if k is not None:
             order, rank = order[rank <= k], rank[rank <= k]
@@ -216,46 +370,24 @@ def list_ranks(rows: DataFrame, fitted: Fitted, metric: str, k: int | None, part
             similarity=part.similarity[order], rank=rank.astype(np.int32),
         )
 
-    sent = sent_products(item_lists(rows, metric, fitted), metric, False)
-    return _in_parts(sent, parts, emit, f"{PAIR_SCHEMA}, rank int")
+    return _in_parts(_sent(rows, fitted, metric, parts, False), emit, f"{PAIR_SCHEMA}, rank int")
 
 
-def _asked(batches: list[pa.RecordBatch]) -> tuple[list[pa.RecordBatch], list[pa.RecordBatch]]:
-    """Batches of products and of wanted cells."""
-    kinds = [(b.filter(pc.is_null(b.column("item_id"))), b.filter(pc.is_valid(b.column("item_id")))) for b in batches]
-    return [p for p, _ in kinds], [w for _, w in kinds]
-
-
-def _terms(batches: list[pa.RecordBatch], metric: str):
-    """Wanted cells as a table, and their terms: position of the cell, similarity, deviation and rank."""
-    products, wanted = _asked(batches)
-    part = Part(products, metric)
+def _terms(products: list[dict], wanted: list[dict], metric: str, more: tuple[str, ...] = ()):
+    """Wanted cells as arrays by column, and their terms: position of the cell, similarity, deviation and rank."""
+    part = _pairs(products, metric, False)
     order, by_order = part.best_first()
     rank = np.empty(len(order), np.int64)
     rank[order] = by_order
-    cells = pa.Table.from_batches(wanted)
-    width = np.concatenate([pc.list_value_length(b.column("ids")).to_numpy(zero_copy_only=False) for b in wanted]).astype(np.int64)
-    cell = np.repeat(np.arange(len(width)), width)
-    users = cells.column("user_id").to_numpy()
-    at, met = part.find(users[cell], _flat([b.column("ids") for b in wanted]).astype(np.int64))
+    lists = Unpacked.of(wanted, [np.int64, np.int64, *[np.float64, np.uint8] * len(more)])
+    cells = dict(zip(("user_id", "item_id"), lists.owners))
+    for i, c in enumerate(more):
+        cells[c] = pa.array(lists.owners[2 + 2 * i], mask=lists.owners[3 + 2 * i] == 0)
+    width = np.repeat(lists.widths, lists.counts)
+    cell, flat = np.repeat(np.arange(len(width)), width), spread(np.repeat(lists.starts, lists.counts), width)
+    at, met = part.find(cells["user_id"][cell], lists.users[flat])
     at = at[met]
-    return cells, cell[met], part.similarity[at], _flat([b.column("values") for b in wanted])[met], rank[at]
-
-
-def _sent_with_cells(rows: DataFrame, fitted: Fitted, metric: str, cells: DataFrame) -> DataFrame:
-    """Products, and ``cells`` (user_id, item_id, more columns) with the raters of their items."""
-    lists = item_lists(rows, metric, fitted)
-    # A rater without a usable rating is no part of a product, but counts among the raters of a cell.
-    raters = item_lists(fitted.vectors, "overlap", fitted, ("dev",))
-    more = [(f.name, f.dataType) for f in cells.schema.fields if f.name not in ("user_id", "item_id")]
-    products = sent_products(lists, metric, False).withColumns(
-        {"item_id": F.lit(None).cast("bigint"), **{c: F.lit(None).cast(t) for c, t in more}}
-    )
-    wanted = cells.join(raters.select("item_id", "ids", "dev"), "item_id").select(
-        "user_id", F.lit(None).cast("double").alias("weight"), F.lit(None).cast("int").alias("n_rated"), "ids",
-        F.col("dev").alias("values"), F.lit(None).cast("array<int>").alias("sizes"), "item_id", *[c for c, _ in more],
-    )
-    return products.unionByName(wanted.where("user_id is not null"))
+    return cells, cell[met], part.similarity[at], lists.values[flat[met]], rank[at]
 
 
 def list_sums(
@@ -264,21 +396,20 @@ def list_sums(
     """user_id, item_id and, for each k, num_k and den_k: weighted sums of wanted cells over the k nearest (None: all) raters."""
     names = [f"{c}_{k}" for k in ks for c in ("num", "den")]
 
-    def emit(batches):
-        cells, cell, similarity, dev, rank = _terms(batches, metric)
+    def emit(products, wanted):
+        cells, cell, similarity, dev, rank = _terms(products, wanted, metric)
         found = np.unique(cell)
         sums = []
         for k in ks:
             near = np.ones(len(cell), bool) if k is None else rank <= k
             for values in (similarity * dev, np.abs(similarity)):
                 some = near & ~np.isnan(values)  # as in SQL, no deviation adds nothing, and the sum of nothing is null
-                total, count = (np.bincount(cell[some], x, len(cells))[found] for x in (values[some], None))
-                sums.append(pa.array(total, mask=count == 0))
-        ids = [cells.column(c).to_numpy()[found] for c in ("user_id", "item_id")]
-        return _batch(user_id=ids[0], item_id=ids[1], **dict(zip(names, sums)))
+                total, count = (np.bincount(cell[some], x, len(cells["user_id"]))[found] for x in (values[some], None))
+                sums.append(pa.array(total, pa.float64(), mask=count == 0))  # of nothing, numpy counts in integers
+        return _batch(user_id=cells["user_id"][found], item_id=cells["item_id"][found], **dict(zip(names, sums)))
 
-    sent = _sent_with_cells(rows, fitted, metric, cells.select("user_id", "item_id").distinct())
-    return _in_parts(sent, parts, emit, "user_id bigint, item_id bigint, " + ", ".join(f"{c} double" for c in names))
+    sent = _sent(rows, fitted, metric, parts, False, cells.select("user_id", "item_id").distinct())
+    return _in_parts(sent, emit, "user_id bigint, item_id bigint, " + ", ".join(f"{c} double" for c in names))
 
 
 def list_steps(rows: DataFrame, fitted: Fitted, metric: str, cells: DataFrame, parts: int) -> DataFrame:
@@ -287,8 +418,8 @@ def list_steps(rows: DataFrame, fitted: Fitted, metric: str, cells: DataFrame, p
     ``cells``: user_id, item_id, rating, user_mean.
     """
 
-    def emit(batches):
-        cells, cell, similarity, dev, rank = _terms(batches, metric)
+    def emit(products, wanted):
+        cells, cell, similarity, dev, rank = _terms(products, wanted, metric, ("rating", "user_mean"))
         order = np.lexsort((rank, cell))
         cell, rank = cell[order], rank[order]
         first = np.flatnonzero(np.diff(cell, prepend=-1))
@@ -299,12 +430,12 @@ def list_steps(rows: DataFrame, fitted: Fitted, metric: str, cells: DataFrame, p
             upto, sums[f"{name}_before"] = running_sums(np.where(missing, 0.0, values), first, count)
             nothing = running_sums((~missing).astype(float), first, count)[0] == 0 if missing.any() else missing
             sums[name] = pa.array(upto, mask=nothing)
-        about = {c: cells.column(c).combine_chunks().take(pa.array(cell)) for c in ("rating", "user_mean")}
+        about = {c: cells[c].take(pa.array(cell)) for c in ("rating", "user_mean")}
         return _batch(k=rank, **about, **{c: sums[c] for c in ("num", "num_before", "den", "den_before")})
 
-    sent = _sent_with_cells(rows, fitted, metric, cells)
+    sent = _sent(rows, fitted, metric, parts, False, cells)
     return _in_parts(
-        sent, parts, emit,
+        sent, emit,
         "k bigint, rating double, user_mean double, num double, num_before double, den double, den_before double",
     )
 

@@ -1,5 +1,6 @@
 """Lists of co-raters must give what the pair join gives, whatever the number of parts."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +70,19 @@ def test_lists_shuffle_pairs_once(monkeypatch, data):
     assert plan.count("Exchange") == 2 and "Join" not in plan  # by item, by user
 
 
+def test_tasks_that_make_lists_follow_the_products(monkeypatch, data):
+    """Their number came from the size of the ratings: few tasks made all lists, and spilled."""
+    monkeypatch.setattr(lists, "PART_PAIRS", 300)
+    plan = pairs.similarity_pairs(fit(data[0]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "REPARTITION_BY_COL" not in plan
+
+
+def test_packed_arrays_come_back():
+    for values in (np.array([], np.int32), np.array([3, -1, 1 << 62]), np.array([0.1, np.nan, -0.0])):
+        back = lists.expand(lists.squeeze(values), values.dtype.type)
+        assert back.dtype == values.dtype and back.tobytes() == values.tobytes()
+
+
 def test_long_lists_of_a_user_are_left_to_the_join(monkeypatch, data):
     monkeypatch.setattr(lists, "PART_PAIRS", 900)
     monkeypatch.setattr(lists, "USER_PAIRS", 100)
