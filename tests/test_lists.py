@@ -97,3 +97,42 @@ def test_an_item_with_fewer_raters_than_blocks_is_not_hot(spark):
     fitted = fit(spark.createDataFrame(rows, SCHEMA), settings)
     assert [r.item_id for r in fitted.hot_items.collect()] == [1000]
     assert fitted.vectors.where("hot").agg(F.count("*")).first()[0] == 300
+
+
+@pytest.mark.parametrize("top", [5_000, 1 << 40, 1 << 62])
+def test_sorted_positions_are_those_of_a_stable_sort(top):
+    keys = np.random.default_rng(1).integers(0, 50, 3_000) * (top // 50)
+    found, order = lists.in_order(keys, top)
+    assert (order == np.argsort(keys, kind="stable")).all() and (found == np.sort(keys)).all()
+    assert [len(x) for x in lists.in_order(keys[:0], 1)] == [0, 0]
+
+
+def ranked(users, similarity):
+    part = lists.Part.__new__(lists.Part)
+    part.users, part.similarity = users, similarity
+    return part.best_first()
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-9, 1e6])
+def test_ranks_in_groups_of_users(monkeypatch, scale):
+    rnd = np.random.default_rng(2)
+    users = np.sort(rnd.integers(-3, 60, 4_000))
+    similarity = np.floor(rnd.integers(-40, 40, 4_000) / 40 * scale * 1e9 + 0.5) / 1e9
+    monkeypatch.setattr(lists, "SORTED_PAIRS", 100)
+    order, rank = ranked(users, similarity)
+    assert (order == np.lexsort((-similarity, users))).all()
+    assert rank.tolist() == [i + 1 for n in np.unique(users, return_counts=True)[1] for i in range(n)]
+    assert [len(x) for x in ranked(users[:0], similarity[:0])] == [0, 0]
+
+
+def test_repeated_doubles_travel_as_a_list_of_different_ones():
+    rnd = np.random.default_rng(3)
+    some = np.concatenate((rnd.standard_normal(900), [np.nan, -0.0, 0.0, np.inf]))
+    for values in (some, some[rnd.integers(0, 904, 9_000)], some[:0], some[:1], np.full(700, np.nan)):
+        assert lists.expand(lists.squeeze(values), np.float64).tobytes() == values.tobytes()
+    few = some[rnd.integers(0, 904, 9_000)]
+    assert len(lists.squeeze(few)) < 0.4 * few.nbytes  # 0.8 before
+
+
+def test_large_jobs_send_large_rows():
+    assert [lists.senders(p) for p in (1, 4, 40, 240, 1_450, 16_000)] == [1, 2, 20, 96, 96, 1_000]
