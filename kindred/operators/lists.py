@@ -224,7 +224,8 @@ def _sent(rows: DataFrame, fitted: Fitted, metric: str, parts: int, half: bool,
             "item_id", "user_id", none.alias("value"), none.alias("dev"), F.lit(True).alias("wanted"), *[F.col(c).cast("double") for c in more]
         ))
     frame = frame.where("user_id is not null and item_id is not null")
-    frame = frame.withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(parts)).cast("int"))
+    # The part follows from the user, so it need not travel to the tasks that make lists.
+    by_item = frame.repartition(senders(parts), "item_id").withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(parts)).cast("int"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = [b for b in batches if b.num_rows]
@@ -253,7 +254,7 @@ def _sent(rows: DataFrame, fitted: Fitted, metric: str, parts: int, half: bool,
             if rows:
                 yield _packed_rows(kind, rows)
 
-    packed = frame.repartition(senders(parts), "item_id").mapInArrow(
+    packed = by_item.mapInArrow(
         run, "part int, wanted boolean, " + ", ".join(f"{c} binary" for c in PACKED[:-1]) + ", owners array<binary>"
     )
     return packed.repartition(parts, "part")
