@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import regex
 
@@ -34,24 +35,25 @@ class PieceEncoder:
     """``learn`` maps a list of different pieces to a dict of their encodings (bytes)."""
 
     def __init__(self, pattern: str, learn: Callable[[list[str]], dict[str, bytes]], limit: int = 400_000):
-        self._split = splitter(pattern)
+        self.split = splitter(pattern)
         self._learn = learn
         self._limit = limit
         self._known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The encodings of several texts."""
-        lists = [self._split(text) for text in texts]
-        met = set()
-        for pieces in lists:
-            met.update(pieces)
+        return self.encode_pieces([self.split(text) for text in texts])
+
+    def encode_pieces(self, lists: list[list[str]]) -> list[bytes]:
+        """The encodings of several texts that are split already."""
+        met = set(chain.from_iterable(lists))
         new = met.difference(self._known)
         if len(self._known) + len(new) > self._limit:
             # What these texts use stays, so that frequent pieces are not learnt again.
             self._known = {piece: self._known[piece] for piece in met.difference(new)}
         self._known.update(self._learn(list(new)))
         find = self._known.__getitem__
-        encoded = [b"".join(map(find, pieces)) for pieces in lists]
+        encoded = [find(pieces[0]) if len(pieces) == 1 else b"".join(map(find, pieces)) for pieces in lists]
         for piece in new:
             if len(piece) > MAX_KEPT:
                 del self._known[piece]

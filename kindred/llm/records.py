@@ -21,6 +21,7 @@ number of ids before it.  ``read_at`` fetches records by index rows, in any orde
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +40,10 @@ from kindred.sources.staging import stage
 FILE_BYTES = 16 << 20
 MAX_FILES = 1 << 20
 BATCH_ROWS = 250
+#: Text that is encoded at once: the more, the fewer of its chunks are different ones.
+BATCH_BYTES = 4 << 20
+# So many new pieces go to the library at a time, which keeps much about each token until it is done.
+LEARNT = 4096
 _HEAD = struct.Struct("<QI")
 _SUM = struct.Struct("<I")
 _ID = struct.Struct("<q")
@@ -76,9 +82,16 @@ def document_of(payload: memoryview) -> int:
     return _ID.unpack_from(payload)[0]
 
 
+_LETTERS, _PUNCTUATION = "[A-Za-zÀ-ÖØ-öø-ɏ]", "[!-/:-@\\[-`{-~]"
+
+
 class LibraryEncoder:
     """Encode texts with the tokenizers library, each different piece once.
 
+    Arrow cuts texts before each blank, where a piece begins unless the blank is inside white space, and puts their ids
+    together from those of the different chunks, so only these are split into pieces.  Texts with a blank that has white
+    space on both sides, or white space before it and nothing after it, are split whole.
+
     New pieces without white space inside go to the library together, on lines of their own:
     a line feed between two such pieces is a piece and one token.  All others, and texts that name a
     special token, are handed to the library by themselves.
@@ -95,25 +108,66 @@ class LibraryEncoder:
     def _ids(self, text: str) -> list[int]:
         return self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """uint32 ids of each text."""
-        special = [any(s in text for s in self._special) for text in texts]
-        found = self._pieces.encode(["" if own else text for own, text in zip(special, texts)])
+        special = np.zeros(len(texts), bool)
+        for content in self._special:
+            special |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(pc.if_else(pa.array(special), "", texts), " ")
+        starts = cut.offsets.to_numpy().astype(np.int64)
+        chunks = cut.flatten().dictionary_encode()
+        which, names = chunks.indices.to_numpy(), chunks.dictionary
+        flags = lambda x: x.to_numpy(zero_copy_only=False)
+        # Latin letters are a piece, with a blank or without; punctuation at their end is one more.
+        letters, ended = (flags(pc.match_substring_regex(names, f"^{_LETTERS}+{end}$")) for end in ("", f"{_PUNCTUATION}+"))
+        kind = np.where(letters, 1, np.where(ended, 2, 0))
+        empty = flags(pc.equal(names, ""))
+        before = empty | flags(pc.utf8_is_space(pc.utf8_slice_codeunits(names, -1)))
+        after = empty | flags(pc.utf8_is_space(pc.utf8_slice_codeunits(names, 0, 1)))
+        names = flags(names)
+        first = np.zeros(len(which), bool)
+        first[starts[:-1]] = True
+        # Nothing is before a blank at the start of a text.
+        unsure = before[which[:-1]] & ~(first[:-1] & empty[which[:-1]]) & after[which[1:]] & ~first[1:]
+        whole = np.zeros(len(texts), bool)
+        whole[np.searchsorted(starts, np.flatnonzero(unsure), side="right") - 1] = True
+
+        # All chunks but a text's first begin with their blank.
+        code = which + np.int32(len(names)) * first
+        kept = ~np.repeat(whole, np.diff(starts))
+        used = np.flatnonzero(np.bincount(code[kept], minlength=2 * len(names)))
+        name, blank = used % max(1, len(names)), used < len(names)
+        keys = [" " + c if b else c for c, b in zip(names[name].tolist(), blank.tolist())]
+        split = self._pieces.split
+        lists = [
+            [key] if k == 1 else [word := key.rstrip(string.punctuation), key[len(word):]] if k else split(key)
+            for key, k in zip(keys, kind[name].tolist())
+        ]
+        lists += [[], *map(split, texts.filter(pa.array(whole)).to_pylist())]
+        place = np.zeros(2 * len(names), np.int32)
+        place[used] = np.arange(len(used))
+        place = np.where(kept, place[code], np.int32(len(used)))
+        place[starts[:-1][whole]] = len(used) + 1 + np.arange(np.count_nonzero(whole))
+        found = self._pieces.encode_pieces(lists)
+        joined = pa.array(found, pa.large_binary()).take(pa.array(place))
+        ends, ids = np.frombuffer(joined.buffers()[1], np.int64)[starts] // 4, np.frombuffer(joined.buffers()[2], "<u4")
         return [
-            np.array(self._ids(text), dtype=np.uint32) if own else np.frombuffer(ids, dtype="<u4")
-            for own, text, ids in zip(special, texts, found)
+            np.array(self._ids(texts[row].as_py()), dtype=np.uint32) if own else ids[ends[row]: ends[row + 1]]
+            for row, own in enumerate(special.tolist())
         ]
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        words = [p for p in pieces if not p.isspace()]
+        spaces = [p for p in pieces if p.isspace()]
+        words = [p for p in pieces if not p.isspace()] if spaces else pieces
         known: dict[str, bytes] = {}
-        if len(self._feed) == 1 and words:
-            ids = np.array(self._ids("\n".join(words)), dtype="<u4")
+        for start in range(0, len(words) if len(self._feed) == 1 else 0, LEARNT):
+            some = words[start: start + LEARNT]
+            ids = np.array(self._ids("\n".join(some)), dtype="<u4")
             cuts = 4 * np.flatnonzero(ids == self._feed[0])
-            if len(cuts) == len(words) - 1:
+            if len(cuts) == len(some) - 1:
                 data, ends = ids.tobytes(), cuts.tolist()
-                known = {w: data[a:b] for w, a, b in zip(words, [0, *(cuts + 4).tolist()], [*ends, len(data)])}
-        for piece in pieces if len(known) < len(words) else [p for p in pieces if p.isspace()]:
+                known.update((w, data[a:b]) for w, a, b in zip(some, [0, *(cuts + 4).tolist()], [*ends, len(data)]))
+        for piece in pieces if len(known) < len(words) else spaces:
             known[piece] = np.array(self._ids(piece), dtype="<u4").tobytes()
         return known
 
@@ -202,10 +256,12 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, wide
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(start, BATCH_ROWS)
+            upto = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64) // BATCH_BYTES
+            starts = np.flatnonzero(np.diff(upto, prepend=-1)).tolist()
+            for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+                part = batch.slice(start, end - start)
                 lines = []
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1))):
                     ids = np.append(ids, np.uint32(end_id))
                     if not wide and int(ids.max()) > 0xFFFF:
                         raise ValueError("the vocabulary needs wide=True")

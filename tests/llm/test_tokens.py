@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as public
 import pytest
 import tiktoken
@@ -177,6 +178,30 @@ def test_empty_table_has_no_records(spark, tmp_path):
     assert index.count() == 0 and records.read_at(spark, str(tmp_path / "r"), index).count() == 0
 
 
+ODD = ["", " ", "  ", "a ", "a  ", "  b", "a  b", "a   b", "\n \nb", "a\n b", "a \nb", "a\u00a0 b", "x's 's", "b,, c$$ é! ², _ 1.", "<|endoftext|> a  b"]
+
+
+def test_only_different_chunks_are_split(monkeypatch):
+    """Texts that share their words are split by different chunks; those with blanks inside white space by themselves."""
+    with open(public.path("byte_bpe_50k.json"), "rb") as file:
+        content = file.read()
+    monkeypatch.setattr(records, "LEARNT", 50)
+    encoder, library = records.LibraryEncoder(content), Tokenizer.from_buffer(content)
+    rng, split, asked = random.Random(3), [], []
+    whole, ids = encoder._pieces.split, encoder._ids
+    monkeypatch.setattr(encoder._pieces, "split", lambda text: split.append(text) or whole(text))
+    monkeypatch.setattr(encoder, "_ids", lambda text: asked.append(text.count("\n")) or ids(text))
+    words = [f"w{n}x" for n in range(300)]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(100)]
+    found = encoder.encode(pa.array(texts))
+    assert [x.tolist() for x in found] == [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert len(split) <= 2 * len(words) and max(asked) < 50
+    mixed = ODD + ["".join(rng.choices([" ", "\n", "\t", "a", "é", ".", "'", "1", "\u3000"], k=12)) for _ in range(500)]
+    for part in (pa.array(mixed), pa.array(mixed).slice(3, 40), pa.array([], pa.string())):
+        expected = [e.ids for e in library.encode_batch_fast(part.to_pylist(), add_special_tokens=False)]
+        assert [x.tolist() for x in encoder.encode(part)] == expected
+
+
 def test_damage_is_noticed():
     data = records.frame(b"12345678payload") + records.frame(b"12345678")
     assert [bytes(p) for _, p in records.unframe(memoryview(data))] == [b"12345678payload", b"12345678"]
