@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +40,24 @@ def top_k(fitted: Fitted, k: int | None, metric: str = pairs.COSINE) -> DataFram
 
     ``k=None`` ranks all of them.
     """
+    return from_top_k(fitted, k, lambda neighbors: neighbors, metric)
+
+
+def from_top_k(
+    fitted: Fitted, k: int | None, then: Callable[[DataFrame], DataFrame], metric: str = pairs.COSINE
+) -> DataFrame:
+    """The rows that ``then`` makes of the k most similar co-raters.
+
+    Where users are served in rounds (operators.lists), it is called with the neighbours of each round's users, all of a
+    user's at once, so that the neighbours, and what joins with them, are never on disk for all users together.
+    """
     if parts := lists.part_count(fitted):
-        return lists.list_ranks(pairs.usable(fitted.vectors, metric), fitted, metric, k, parts)
+        return lists.list_ranks(pairs.usable(fitted.vectors, metric), fitted, metric, k, parts, then)
+    return then(_top_k(fitted, k, metric))
+
+
+def _top_k(fitted: Fitted, k: int | None, metric: str) -> DataFrame:
+    """The same by the item join and tiles."""
     if k is None and fitted.long_groups:
         return rank_long_lists(pairs.mirror(pairs.similarity_pairs(fitted, metric)))
     edges = pairs.joined_edges(fitted, metric)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kindred.operators.vectors import Fitted, fit_users, one_rating_each
 from kindred.schema import FitSettings, RatingScale
-from kindred.sources.staging import stage
+from kindred.sources.staging import shuffles_removed, stage
 
 BUCKETED = {"light": "item_id", "by_user": "user_id", "users": "user_id"}
 
@@ -47,7 +47,8 @@ def save(fitted: Fitted, path: str, buckets: int | None = None) -> None:
     for name, df in frames.items():
         table, column = f"kindred_{name}_{uuid.uuid4().hex}", BUCKETED[name]
         writer = df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column)
-        writer.option("path", f"{path}/{name}").saveAsTable(table)
+        with shuffles_removed(spark):
+            writer.option("path", f"{path}/{name}").saveAsTable(table)
         spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
     fitted.vectors.where("hot").write.parquet(f"{path}/hot")
     if fitted.hot_items is not None:

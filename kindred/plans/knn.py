@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.operators import lists, pairs
 from kindred.operators.metrics import absolute_errors
-from kindred.operators.neighbors import top_k, top_k_of
+from kindred.operators.neighbors import from_top_k, top_k, top_k_of
 from kindred.operators.vectors import Fitted
 from kindred.operators.weighting import (
     all_neighbor_sums, full_table_sums, knn_sums, nearest_sums, nearest_sums_for_ks, neighbor_terms,
@@ -46,17 +46,20 @@ def predict_knn_for(
 
 def predict_table(fitted: Fitted, k: int, metric: str = pairs.COSINE) -> DataFrame:
     """Predictions for all cells with a usable neighbour among the k nearest."""
-    sums = full_table_sums(top_k(fitted, k, metric), fitted)
-    return (
-        with_user_means(sums, fitted)
-        .select(
-            "user_id", "item_id",
-            weighted_prediction(
-                F.col("num"), F.col("den"), F.col("user_mean"), fitted.bounds, "drop"
-            ).alias("prediction"),
+
+    def predicted(neighbors: DataFrame) -> DataFrame:
+        return (
+            with_user_means(full_table_sums(neighbors, fitted), fitted)
+            .select(
+                "user_id", "item_id",
+                weighted_prediction(
+                    F.col("num"), F.col("den"), F.col("user_mean"), fitted.bounds, "drop"
+                ).alias("prediction"),
+            )
+            .where(F.col("prediction").isNotNull())
         )
-        .where(F.col("prediction").isNotNull())
-    )
+
+    return from_top_k(fitted, k, predicted, metric)
 
 
 def knn_sweep(
@@ -95,9 +98,10 @@ def edges_by_k(
 ) -> DataFrame:
     """How many similarities a k-nearest-neighbour table holds, and their bytes at 8 each."""
     ks = sorted(set(ks))
-    ranked = top_k(fitted, ks[-1], metric).agg(
+    counts = from_top_k(fitted, ks[-1], lambda neighbors: neighbors.agg(
         *[F.count_if(F.col("rank") <= k).alias(f"edges_{k}") for k in ks]
-    )
+    ), metric)
+    ranked = counts.agg(*[F.sum(f"edges_{k}").alias(f"edges_{k}") for k in ks])
     per_k = F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.col(f"edges_{k}").alias("edges")) for k in ks
     ]))
@@ -117,9 +121,30 @@ def mae_by_k(
     ranges of k first, so that no task sees all of them.
     """
     known = with_user_means(test, fitted)
+
+    def error(num: str, den: str) -> Column:
+        return F.abs(F.col("rating") - weighted_prediction(
+            F.col(num), F.col(den), F.col("user_mean"), fitted.bounds, fallback
+        ))
+
+    def booked(steps: DataFrame) -> DataFrame:
+        changed = steps.select(
+            "k", error("num", "den").alias("after"), error("num_before", "den_before").alias("before")
+        )
+        return changed.select(
+            "k",
+            (F.coalesce("after", F.lit(0.0)) - F.coalesce("before", F.lit(0.0))).alias("error"),
+            (F.col("after").isNotNull().cast("bigint") - F.col("before").isNotNull().cast("bigint")).alias("n"),
+        )
+
+    def summed(bookings: DataFrame) -> DataFrame:
+        return bookings.groupBy("k").agg(F.sum("error").alias("error"), F.sum("n").alias("n"))
+
     if parts := lists.part_count(fitted):
         cells = known.select("user_id", "item_id", "rating", "user_mean")
-        steps = lists.list_steps(pairs.usable(fitted.vectors, metric), fitted, metric, cells, parts)
+        bookings = lists.list_steps(
+            pairs.usable(fitted.vectors, metric), fitted, metric, cells, parts, lambda steps: summed(booked(steps))
+        )
     else:
         ranked = top_k(fitted, None, metric).select("user_id", "neighbor_id", "similarity", "rank")
         cells = test.select("user_id", "item_id").distinct()
@@ -127,23 +152,9 @@ def mae_by_k(
             "user_id", "item_id", F.col("rank").cast("bigint").alias("k"),
             (F.col("similarity") * F.col("dev")).alias("num"), F.abs("similarity").alias("den"),
         )
-        steps = known.join(
+        bookings = booked(known.join(
             running_totals(terms, ["user_id", "item_id"], ["num", "den"], fitted.long_groups), ["user_id", "item_id"]
-        )
-
-    def error(num: str, den: str) -> Column:
-        return F.abs(F.col("rating") - weighted_prediction(
-            F.col(num), F.col(den), F.col("user_mean"), fitted.bounds, fallback
         ))
-
-    changed = steps.select(
-        "k", error("num", "den").alias("after"), error("num_before", "den_before").alias("before")
-    )
-    bookings = changed.select(
-        "k",
-        (F.coalesce("after", F.lit(0.0)) - F.coalesce("before", F.lit(0.0))).alias("error"),
-        (F.col("after").isNotNull().cast("bigint") - F.col("before").isNotNull().cast("bigint")).alias("n"),
-    )
     if fallback == "user_mean":
         base = known.agg(
             F.lit(1).cast("bigint").alias("k"),
@@ -151,8 +162,7 @@ def mae_by_k(
             F.count(F.lit(1)).alias("n"),
         )
         bookings = bookings.unionByName(base)
-    changes = bookings.groupBy("k").agg(F.sum("error").alias("error"), F.sum("n").alias("n"))
-    return running_totals(changes, [], ["error", "n"], True).select(
+    return running_totals(summed(bookings), [], ["error", "n"], True).select(
         "k", "n", F.try_divide(F.col("error"), F.col("n")).alias("mae")
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import denormalise, rounded
 from kindred.operators.deviations import deviations, item_deviations
-from kindred.operators.neighbors import top_k, top_k_of
+from kindred.operators.neighbors import from_top_k, top_k_of
 from kindred.operators.order import rank_in_ranges
 from kindred.operators.stats import user_means
 from kindred.operators.vectors import Fitted
@@ -136,4 +136,4 @@ def recommend_knn_all(
     fitted: Fitted, k: int, n: int | None = 5, items: DataFrame | None = None
 ) -> DataFrame:
     """The same for every user of the fitted ratings."""
-    return with_titles(top_n(_knn_scores(top_k(fitted, k), fitted), n), items)
+    return with_titles(from_top_k(fitted, k, lambda neighbors: top_n(_knn_scores(neighbors, fitted), n)), items)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from kindred.operators import lists, pairs
 from kindred.operators.neighbors import top_k
 from kindred.operators.vectors import fit
-from kindred.plans.knn import knn_sweep, mae_by_k, predict_all_neighbors, predict_knn
+from kindred.plans.knn import edges_by_k, knn_sweep, mae_by_k, predict_all_neighbors, predict_knn, predict_table
+from kindred.plans.recommend import recommend_knn_all
 from kindred.plans.report import overlap_stats, storage
 from kindred.schema import FitSettings
 from test_skew import SCHEMA, skewed_rows
@@ -52,6 +53,40 @@ def test_lists_equal_the_join(monkeypatch, data, name):
     assert rounded_rows(QUERIES[name](fitted, data[1])) == joined and joined
 
 
+ROUNDS = {
+    **{name: QUERIES[name] for name in ("pairs cosine", "pairs overlap", "top 3 cosine", "knn", "curve drop", "overlaps")},
+    "table": lambda f, t: predict_table(f, 3),
+    "recommended": lambda f, t: recommend_knn_all(f, 3, 2),
+    "edges": lambda f, t: edges_by_k(f, (2, 30)),
+}
+
+
+@pytest.mark.parametrize("data", ["near"], indirect=True)
+@pytest.mark.parametrize("name", list(ROUNDS))
+def test_rounds_equal_the_join_and_keep_no_lists(monkeypatch, data, name):
+    """All lists were shuffled at once, and with what joins with them stayed on disk together."""
+    fitted = fit(data[0])
+    joined = rounded_rows(ROUNDS[name](fitted, data[1]))
+    monkeypatch.setattr(lists, "PART_PAIRS", 900)
+    monkeypatch.setattr(lists, "ROUND_PARTS", 1)
+    monkeypatch.setattr(lists, "ROUNDS", 3)
+    assert lists.round_count(lists.part_count(fitted)) == 3
+    found = ROUNDS[name](fitted, data[1])
+    assert found._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") == 0  # no lists in the plan left to run
+    assert rounded_rows(found) == joined and joined
+
+
+def test_packed_pairs_come_back():
+    users, neighbors = np.array([-5, -5, 1 << 60]), np.array([-2, 1 << 61, 3])
+    for similarity in ([0.1, -0.123456789, 1.0], [0.5, np.nan, 0.0], [1e10, 3.0, 0.25], [1 / 3, 0.0, 1.0]):
+        packed = [users, neighbors, np.array(similarity)]
+        assert [x.tobytes() for x in lists.unpacked_pairs(*lists.packed_pairs(*packed))] == [x.tobytes() for x in packed]
+
+
+def test_a_round_has_enough_parts_and_there_are_few():
+    assert [lists.round_count(p) for p in (1, 23, 48, 191, 192, 5_000)] == [1, 1, 2, 7, 8, 8]
+
+
 @pytest.mark.parametrize("name", ["sweep", "curve", "all cosine drop", "all jaccard user_mean"])
 def test_stored_rows_without_a_rating(monkeypatch, data, name):
     """A neighbour whose rating of the cell's item is null still has its weight in the denominator, as in the join."""

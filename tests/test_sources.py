@@ -71,3 +71,12 @@ def test_json_sink(spark, tmp_path):
     assert rows(spark.read.schema(metrics.schema).json(str(tmp_path / "m"))) == rows(metrics)
     with pytest.raises(Exception, match="already exists"):
         write_json(metrics, str(tmp_path / "m"))
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    """They stayed until the driver's heap was collected, beside the table they had made."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = lambda: {str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",").split(",") if "shuffle_" in f}
+    before, setting = disk(), spark.conf.get(key)
+    staged = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "grouped")
+    assert disk() <= before and staged.count() == 7 and spark.conf.get(key) == setting
