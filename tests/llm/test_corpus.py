@@ -413,6 +413,40 @@ def test_one_long_text_and_copies_do_not_make_a_word_toxic(spark):
     assert next(batch_words(["wretch"], ALPHANUMERIC))[0] in known
 
 
+def test_all_labelled_texts_are_fitted_on(spark):
+    """Of more than 6,000 labelled texts of a class the others were left out: expressions only they hold were unknown."""
+    ids = [i for i in range(16_000) if zlib.crc32(str(i).encode()) % 5]
+    assert len(ids) > 12_500
+    docs = spark.range(16_000).selectExpr("id as doc_id", "concat('plain words ', id, if(id % 2 = 0, concat(' odd', id div 1600), '')) as text")
+    marks = spark.range(16_000).selectExpr("id as doc_id", "if(id % 2 = 0, 1, 0) as toxic")
+    sample = toxicity.labelled_sample(docs, marks)
+    assert sorted(r.doc_id for r in sample.select("doc_id").collect()) == ids
+    counted = toxicity._counted(toxicity.stage(sample.select("text", "toxic", "weight", "fold"), "sample"))
+    words = {r.word: r.t1 + r.t2 + r.t3 + r.t4 for r in counted.frequent.where("not paired").collect()}
+    for n in range(10):
+        held = sum(i % 2 == 0 and i // 1600 == n for i in ids)
+        assert words[int(next(batch_words([f"odd{n}"], ALPHANUMERIC))[0].astype(np.int64))] == held
+
+
+def test_portions_give_the_same_model(spark, monkeypatch):
+    rows, labels = rated(7, 300)
+    rows = [(i, text + " you rotten lout" * toxic, *more) for (i, text, *more), (_, toxic) in zip(rows, labels)]
+    sample = toxicity.stage(toxicity.labelled_sample(table(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")), "sample")
+    whole = toxicity.fit(sample)
+    monkeypatch.setattr(toxicity, "PORTION_TEXTS", 100)
+    parts = toxicity.fit(sample)
+    for a, b in zip((*whole.words, *whole.pairs, whole.curve), (*parts.words, *parts.pairs, parts.curve)):
+        assert len(a) and np.allclose(np.asarray(a).astype(float), np.asarray(b).astype(float), rtol=1e-9)
+
+
+def test_the_curve_of_stored_rows_is_that_of_arrays(spark):
+    rnd = np.random.default_rng(1)
+    ratio, toxic, weight = rnd.normal(0, 0.01, 400), rnd.random(400) < 0.3, rnd.integers(1, 4, 400).astype(float)
+    ratio += 0.004 * toxic
+    judged = spark.createDataFrame([(bool(t), float(w), float(r)) for t, w, r in zip(toxic, weight, ratio)], "toxic boolean, weight double, ratio double")
+    assert toxicity._curve(judged) == pytest.approx(toxicity.logistic(ratio, toxic, weight), rel=1e-6)
+
+
 # --- mixing --------------------------------------------------------------------
 
 
